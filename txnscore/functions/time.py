@@ -11,10 +11,14 @@ def _c(c) -> Column:
 
 
 def parse_time(c, fmt: str | None = None) -> Column:
-    """Text -> timestamp; unparsable text gives NULL instead of failing (ANSI-safe)."""
+    """Text -> wall-clock timestamp (``timestamp_ntz``); unparsable text gives
+    NULL instead of failing (ANSI-safe). Parsing straight to a zone-less
+    timestamp keeps the value independent of the session time zone (no
+    daylight-saving gap can shift it)."""
     c = _c(c)
-    parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-    return parsed
+    if fmt:
+        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    return c.try_cast("timestamp_ntz")
 
 
 def trans_hour(c) -> Column:

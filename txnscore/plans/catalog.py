@@ -7,9 +7,7 @@ long on both sides so the two engines can be compared value by value.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import class_name, clean_value, decision, parse_time, to_radians_terms
@@ -23,21 +21,7 @@ from ..schemas import EVENT_TIME, KEY, LABEL
 from ..views import table, transactions, with_transactions
 from .fixed import FIXED_MODEL, FIXED_SCORE_SQL, fixed_score
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def r6(c):
-    return F.round(c, 6)
+from .registry import query, r6
 
 
 TX_COLS = ("trans_num, trans_date_trans_time, cc_num, category, amt, gender, city_pop, "
@@ -58,7 +42,7 @@ select trans_num, cast(trans_date_trans_time as varchar) as time_text,
 from transactions""")
 def q_parse_time(spark, d):
     t = transactions(spark, d).select(KEY, F.col(EVENT_TIME).cast("string").alias("time_text"))
-    return t.withColumn("parsed", parse_time("time_text").cast("timestamp_ntz"))
+    return t.withColumn("parsed", parse_time("time_text"))
 
 
 @query("time_features", with_transactions() + """
