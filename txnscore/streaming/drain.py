@@ -9,6 +9,7 @@ drains what is there and stops; ``False`` keeps the same query running.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import EVENT_TIME, KEY, MESSAGE
@@ -36,7 +37,10 @@ def decoded_stream(messages: DataFrame, dedupe_within: str | None = None) -> Dat
     key is dropped while within the event-time watermark (state is bounded)."""
     rows = decode_messages(messages)
     if dedupe_within:
-        rows = rows.withWatermark(EVENT_TIME, dedupe_within).dropDuplicatesWithinWatermark([KEY])
+        # Watermarks need a zoned timestamp; the wall-clock column is kept.
+        rows = (rows.withColumn("_ev", F.col(EVENT_TIME).cast("timestamp"))
+                    .withWatermark("_ev", dedupe_within)
+                    .dropDuplicatesWithinWatermark([KEY]).drop("_ev"))
     return rows
 
 
