@@ -53,28 +53,43 @@ def copies_column(ratio: float, key: str = KEY, salt: str = OVERSAMPLE_SALT) ->
     return (F.lit(whole) + F.when(hash_unit(key, salt) < F.lit(frac), 1).otherwise(0)).cast("int")
 
 
+# Rows per task after the fan-out of the minority copies.
+ROWS_PER_SPREAD_PARTITION = 2_000_000
+
+
 def oversample(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int = 42,
                key: str = KEY, ratio: float | None = None, minority: int = 1,
-               spread_partitions: int | None = None, copy_col: str | None = "copy") -> DataFrame:
+               minority_rows: int | None = None, spread_partitions: int | None = None,
+               copy_col: str | None = "copy") -> DataFrame:
     """Minority rows repeated to the majority's size (down-sampled when r < 1).
 
-    ``exact``: a hash-decided number of copies per key; the minority class
-    (small) is first hash-partitioned on the key so that a partition that
-    happens to hold many minority rows cannot fan out into one huge task.
+    ``exact``: a hash-decided number of copies per key. Before the fan-out
+    the (small) minority class is spread round-robin over enough tasks for
+    the expected output (``minority_rows * ratio`` rows), so neither a
+    partition that happens to hold many minority rows nor a repeated key can
+    turn into one huge task. Round-robin is retry-safe: Spark sorts each
+    partition before assigning rows (``sortBeforeRepartition``).
     ``poisson``: ``sample(withReplacement=True, ratio, seed)`` as the
     reference; its size is only expected, and depends on partitioning.
     """
-    if ratio is None:
-        ratio = oversample_ratio(df, label)
+    spark = df.sparkSession
+    if ratio is None or minority_rows is None:
+        row = class_balance(df, label).first()
+        if not row["fraud"]:
+            raise ValueError("no minority (fraud) rows: the oversampling ratio is undefined")
+        ratio = float(row["legit"]) / float(row["fraud"]) if ratio is None else ratio
+        minority_rows = int(row["fraud"]) if minority_rows is None else minority_rows
     minor = by_class(df, minority, label)
     if mode == "poisson":
         out = minor.sample(withReplacement=True, fraction=ratio, seed=seed)
         return out.withColumn(copy_col, F.lit(None).cast("int")) if copy_col else out
     if mode != "exact":
         raise ValueError(f"mode must be exact or poisson, not {mode!r}")
-    n = spread_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = spread_partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        math.ceil(minority_rows * max(ratio, 1.0) / ROWS_PER_SPREAD_PARTITION))
     c = copies_column(ratio, key)
-    spread = minor.repartition(n, F.col(key))
+    spread = minor.repartition(n)
     with_c = spread.withColumn("_copies", c).where(F.col("_copies") > 0)
     out = with_c.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     out = out.drop("_copies")
@@ -88,9 +103,13 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def balance(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int = 42,
             key: str = KEY, copy_col: str | None = "copy") -> DataFrame:
-    """Majority rows plus oversampled minority rows."""
-    ratio = oversample_ratio(df, label)
+    """Majority rows plus oversampled minority rows (one counting job first)."""
+    row = class_balance(df, label).first()
+    if not row["fraud"]:
+        raise ValueError("no minority (fraud) rows: the oversampling ratio is undefined")
+    ratio = float(row["legit"]) / float(row["fraud"])
     legit = by_class(df, 0, label)
     if copy_col:
         legit = legit.withColumn(copy_col, F.lit(1))
-    return union_all(legit, oversample(df, label, mode, seed, key, ratio, copy_col=copy_col))
+    return union_all(legit, oversample(df, label, mode, seed, key, ratio,
+                                       minority_rows=int(row["fraud"]), copy_col=copy_col))

@@ -18,7 +18,12 @@ from .stats import running_totals
 
 
 def profile(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Row count of a stage collected while the stage runs (no extra job)."""
+    """Row count of a stage collected while the stage runs (no extra job).
+
+    Caveat (Spark 4.1): after an observed query has run, the ML evaluators'
+    RDD closures fail to serialise in that session; the jobs therefore count
+    written datasets instead.
+    """
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
