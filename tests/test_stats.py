@@ -108,3 +108,16 @@ def test_weighted_f1_matches_evaluator(spark):
     prd = sum(1 for _, p in rows if p == 1)
     assert rep["f1_fraud"] == pytest.approx(2 * tp / (act + prd))
     assert np.isfinite(rep["f1"])
+
+
+def test_vector_scaler_equals_column_scaler(spark):
+    from txnscore.operators.features import add_distance
+    from txnscore.operators.scale import robust_scale, robust_scale_vector
+    from txnscore.views import transactions
+    t = add_distance(transactions(spark, "/root/testdata/sf0.001")).select("trans_num", "amt", "distance_km")
+    a = robust_scale(t, ["amt", "distance_km"], 0.0)
+    b = robust_scale_vector(t, ["amt", "distance_km"], 0.0)
+    j = a.join(b.withColumnsRenamed({"amt_scaled": "a2", "distance_km_scaled": "d2"}), "trans_num")
+    worst = j.agg(F.max(F.abs(F.col("amt_scaled") - F.col("a2"))),
+                  F.max(F.abs(F.col("distance_km_scaled") - F.col("d2")))).first()
+    assert j.count() == 1000 and worst[0] < 1e-12 and worst[1] < 1e-12

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import RobustScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,3 +62,27 @@ def robust_scale(df: DataFrame, cols: Sequence[str],
                  relative_error: float = DEFAULT_RELATIVE_ERROR,
                  suffix: str = "_scaled", drop_source: bool = True) -> DataFrame:
     return scale_columns(df, iqr(df, cols, relative_error), suffix, drop_source)
+
+
+def unpack(df: DataFrame, vec_col: str, names: Sequence[str], drop: bool = True) -> DataFrame:
+    """Vector column -> array -> one scalar column per name (by position)."""
+    arr = vector_to_array(F.col(vec_col))
+    out = df.withColumns({n: arr[i] for i, n in enumerate(names)})
+    return out.drop(vec_col) if drop else out
+
+
+def robust_scale_vector(df: DataFrame, cols: Sequence[str],
+                        relative_error: float = DEFAULT_RELATIVE_ERROR,
+                        suffix: str = "_scaled") -> DataFrame:
+    """The same scaling through Spark ML's vector stages: assemble, fit a
+    ``RobustScaler(withCentering=False)`` and unpack the scaled vector.
+
+    Use a non-zero ``relative_error`` on large data: with 0 the scaler's
+    quantile summaries keep every value of a column in one buffer.
+    """
+    cols = list(cols)
+    vec = VectorAssembler(inputCols=cols, outputCol="_to_scale", handleInvalid="error").transform(df)
+    model = RobustScaler(inputCol="_to_scale", outputCol="_scaled", withCentering=False,
+                         withScaling=True, relativeError=relative_error).fit(vec)
+    out = unpack(model.transform(vec).drop("_to_scale"), "_scaled", [c + suffix for c in cols])
+    return out.drop(*cols)

@@ -170,3 +170,13 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     count predictions per class and model."""
     scored = MD.score(trained(spark, d).scorer(), transactions(spark, d))
     return M.prediction_counts(scored, [MD.LR_NAME, MD.GBT_NAME])
+
+
+@query("robust_scale_vector")
+def q_robust_scale_vector(spark, d):
+    """Scaling through the ML vector stages (sketch quartiles, default error)
+    with the vector unpacked into named columns."""
+    from ..operators.features import add_distance
+    from ..operators.scale import robust_scale_vector
+    t = add_distance(transactions(spark, d)).select(KEY, "amt", "distance_km")
+    return robust_scale_vector(t, ["amt", "distance_km"])
