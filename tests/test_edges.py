@@ -138,3 +138,17 @@ def test_duplicate_message_dedupe(spark, tmp_path):
     assert spark.read.parquet(plain).count() == 3
     dd = drain(spark, log, str(tmp_path / "o2"), str(tmp_path / "c2"), dedupe_within="1 day")
     assert spark.read.parquet(dd).count() == 2
+
+
+def test_stream_windows_ignore_session_zone(spark):
+    import __spark_entry__ as E
+    from oracle import compare
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for name in ("stream_score_counts", "parse_time", "time_features", "decode_messages"):
+            ok, _, detail = compare(spark, name, E.queries()[name], E.oracle_sql()[name],
+                                    "/root/testdata/sf0.001")
+            assert ok, (name, detail)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -34,3 +34,19 @@ def time_text(c) -> Column:
     """Event time as text for a message; a cast keeps the microseconds
     (``to_json`` of a timestamp would cut them to milliseconds)."""
     return _c(c).cast("string")
+
+
+def _epoch_ntz() -> Column:
+    """The epoch as a wall-clock (zone-less) timestamp."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def wall_to_instant(c) -> Column:
+    """Wall-clock (``timestamp_ntz``) -> the instant with that UTC wall clock,
+    whatever the session time zone (watermarks need a zoned timestamp)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c)))
+
+
+def instant_to_wall(c) -> Column:
+    """Inverse of :func:`wall_to_instant`: the UTC wall clock of an instant."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), _epoch_ntz())

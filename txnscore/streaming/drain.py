@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.time import wall_to_instant
 from ..schemas import EVENT_TIME, KEY, MESSAGE
 from ..sources.files import _csv_options
 from ..sources.messages import decode_messages
@@ -38,7 +39,7 @@ def decoded_stream(messages: DataFrame, dedupe_within: str | None = None) -> Dat
     rows = decode_messages(messages)
     if dedupe_within:
         # Watermarks need a zoned timestamp; the wall-clock column is kept.
-        rows = (rows.withColumn("_ev", F.col(EVENT_TIME).cast("timestamp"))
+        rows = (rows.withColumn("_ev", wall_to_instant(EVENT_TIME))
                     .withWatermark("_ev", dedupe_within)
                     .dropDuplicatesWithinWatermark([KEY]).drop("_ev"))
     return rows

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import class_name
+from ..functions.time import instant_to_wall, wall_to_instant
 from ..schemas import EVENT_TIME
 
 COUNT_KEYS = ["window_start", "window_end", "prediction_class", "model_name"]
@@ -27,12 +28,11 @@ def windowed_prediction_counts(scored: DataFrame, model_cols: Sequence[str],
     """Counts per (event-time window, class, model), watermarked.
 
     Watermarks need a zoned timestamp: a wall-clock (``timestamp_ntz``) event
-    time is cast with the session zone and the window bounds are cast back,
-    so with the UTC session pin the windows are whole UTC days.
+    time is read as a UTC instant and the window bounds are turned back into
+    wall clocks, so windows are whole days in any session time zone.
     """
-    ev = F.col(time_col)
-    if dict(scored.dtypes)[time_col] == "timestamp_ntz":
-        ev = ev.cast("timestamp")
+    ntz = dict(scored.dtypes)[time_col] == "timestamp_ntz"
+    ev = wall_to_instant(time_col) if ntz else F.col(time_col)
     stacked = scored.select(ev.alias("_ev"), F.explode(F.array(*[
         F.struct(F.lit(m).alias("model_name"), F.col(m)["is_fraud_prediction"].alias("p"))
         for m in model_cols])).alias("s"))
@@ -41,8 +41,9 @@ def windowed_prediction_counts(scored: DataFrame, model_cols: Sequence[str],
                               class_name("s.p").alias("prediction_class"),
                               F.col("s.model_name").alias("model_name"))
                      .agg(F.count(F.lit(1)).alias("n")))
-    return counts.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    back = instant_to_wall if ntz else (lambda c: c)
+    return counts.select(back(F.col("w.start")).alias("window_start"),
+                         back(F.col("w.end")).alias("window_end"),
                          "prediction_class", "model_name", "n")
 
 
