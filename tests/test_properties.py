@@ -132,3 +132,44 @@ def test_every_query_runs(spark):
                  "train_gbt", "score_batch"):
         df = E.queries()[name](spark, SF_SMALL)
         assert df.count() > 0, name
+
+
+def test_request_scores_equal_raw_scores(spark):
+    t = CM.trained(spark, SF_SMALL)
+    via_requests = CM.q_score_model_requests(spark, SF_SMALL).withColumnRenamed("request_id", "trans_num")
+    raw = MD.score(t.scorer(), transactions(spark, SF_SMALL))
+    assert via_requests.count() == 1000
+    assert via_requests.exceptAll(raw).count() == 0
+
+
+def test_payload_requests_missing_names_are_rejected(spark):
+    """The two payloads of the old smoke calls (21 names each) against a model
+    trained on our categories: unknown names are ignored, missing ones reject."""
+    t = CM.trained(spark, SF_SMALL)
+    # The category feature names carried by the old request payloads.
+    cats = ["cat_grocery_pos", "cat_entertainment", "cat_gas_transport", "cat_grocery_net",
+            "cat_shopping_net", "cat_shopping_pos", "cat_travel", "cat_misc_pos",
+            "cat_health_fitness", "cat_kids_pets", "cat_home", "cat_personal_care",
+            "cat_food_dining", "cat_misc_net"]
+    common = ["trans_hour", "trans_day_of_week", "age", "city_pop", "amt_scaled",
+              "distance_km_scaled", "gender_M"]
+    p1 = dict.fromkeys(common + cats, 0.0)
+    p1.update(trans_hour=14, trans_day_of_week=3, age=35, city_pop=55000, amt_scaled=2.5,
+              distance_km_scaled=0.1, gender_M=1, cat_entertainment=1)
+    p2 = dict.fromkeys(common + cats, 0.0)
+    p2.update(trans_hour=10, trans_day_of_week=2, age=42, city_pop=120000, amt_scaled=-0.15,
+              distance_km_scaled=0.02, cat_grocery_pos=1)
+    reqs = spark.createDataFrame([("entertainment", {k: float(v) for k, v in p1.items()}),
+                                  ("genuine", {k: float(v) for k, v in p2.items()})],
+                                 "request_id string, features map<string,double>")
+    scores, rejects = MD.score_requests(t.scorer(), reqs)
+    assert scores.count() == 0
+    reasons = {r["request_id"]: r["reason"] for r in rejects.collect()}
+    assert set(reasons) == {"entertainment", "genuine"}
+    assert "cat_purchase" in reasons["genuine"]
+    # With the model's own names present, the same request scores.
+    names = MD.model_inputs(t.scorer())
+    full = spark.createDataFrame([("ok", {n: p1.get(n, 0.0) * 1.0 for n in names})],
+                                 "request_id string, features map<string,double>")
+    s2, r2 = MD.score_requests(t.scorer(), full)
+    assert s2.count() == 1 and r2.count() == 0

@@ -180,3 +180,16 @@ def q_robust_scale_vector(spark, d):
     from ..operators.scale import robust_scale_vector
     t = add_distance(transactions(spark, d)).select(KEY, "amt", "distance_km")
     return robust_scale_vector(t, ["amt", "distance_km"])
+
+
+@query("score_model_requests")
+def q_score_model_requests(spark, d):
+    """Every transaction's engineered features sent as a request map (names
+    in reverse order) and scored by both trained models, bound by name."""
+    t = trained(spark, d)
+    scorer = t.scorer()
+    names = MD.model_inputs(scorer)
+    ft = feature_table(t.features, transactions(spark, d), keep=[KEY])
+    reqs = to_requests(ft, list(reversed(names)), KEY)
+    scores, _ = MD.score_requests(scorer, reqs)
+    return scores

@@ -154,3 +154,40 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def _assembler_index(model: PipelineModel) -> int:
+    from pyspark.ml.feature import VectorAssembler as VA
+    for i, s in enumerate(model.stages):
+        if isinstance(s, VA):
+            return i
+    raise ValueError("the model has no feature assembler stage")
+
+
+def model_inputs(model: PipelineModel) -> list[str]:
+    """The saved allow-list of feature names, in the model's order."""
+    return list(model.stages[_assembler_index(model)].getInputCols())
+
+
+def score_requests(model: PipelineModel, requests: DataFrame, id_col: str = "request_id",
+                   map_col: str = "features") -> tuple[DataFrame, DataFrame]:
+    """Score requests that carry engineered features as name -> value maps.
+
+    Features are looked up **by name** from the model's saved allow-list
+    (unknown names are ignored, order never matters). A request missing a
+    feature goes to the rejects (with the missing names) instead of being
+    silently dropped or mis-bound. Returns (scores, rejects).
+    """
+    from ..operators.features import split_invalid
+    from ..sources.requests import expand_requests
+    names = model_inputs(model)
+    wide = expand_requests(requests, names, map_col, keep=(id_col,))
+    valid, rejects = split_invalid(wide, names)
+    idx = _assembler_index(model)
+    out = PipelineModel(stages=list(model.stages[idx:])).transform(valid)
+    structs = []
+    if "lr_probability" in out.columns:
+        structs.append(score_struct("lr").alias(LR_NAME))
+    if "gbt_probability" in out.columns:
+        structs.append(score_struct("gbt").alias(GBT_NAME))
+    return out.select(id_col, *structs), rejects.select(id_col, "reason")
