@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import KEY, LABEL
 from .split import hash_unit
+from .stats import default_parallelism
 
 # Fixed value: salt appended to the key for the oversampling draw.
 OVERSAMPLE_SALT = ":os"
@@ -65,7 +66,8 @@ def oversample(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int
 
     ``exact``: a hash-decided number of copies per key. Before the fan-out
     the (small) minority class is spread round-robin over enough tasks for
-    the expected output (``minority_rows * ratio`` rows), so neither a
+    the expected output (``minority_rows * ratio`` rows, at least one task
+    per core of the cluster), so neither a
     partition that happens to hold many minority rows nor a repeated key can
     turn into one huge task. Round-robin is retry-safe: Spark sorts each
     partition before assigning rows (``sortBeforeRepartition``).
@@ -86,7 +88,7 @@ def oversample(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int
     if mode != "exact":
         raise ValueError(f"mode must be exact or poisson, not {mode!r}")
     n = spread_partitions or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        default_parallelism(spark),
         math.ceil(minority_rows * max(ratio, 1.0) / ROWS_PER_SPREAD_PARTITION))
     c = copies_column(ratio, key)
     spread = minor.repartition(n)

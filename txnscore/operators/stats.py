@@ -27,10 +27,21 @@ _PID = "_range_pid"
 BROADCAST_OFFSETS_MAX_ROWS = 1_000_000
 
 
+def default_parallelism(spark) -> int:
+    """Total task slots of the cluster (falls back to the shuffle setting)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # e.g. no SparkContext access on a remote session
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
+    """Range partitions: one per task slot unless given. The count is fixed
+    up front (not coalesced by AQE) because the partition index is part of
+    the result: both branches must see the same ranges."""
     if n:
         return int(n)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return default_parallelism(df.sparkSession)
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
