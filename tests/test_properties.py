@@ -173,3 +173,35 @@ def test_payload_requests_missing_names_are_rejected(spark):
                                  "request_id string, features map<string,double>")
     s2, r2 = MD.score_requests(t.scorer(), full)
     assert s2.count() == 1 and r2.count() == 0
+
+
+def test_account_number_is_never_a_feature(spark):
+    t = CM.trained(spark, SF_SMALL)
+    names = model_features(t.features)
+    assert "cc_num" not in names and "trans_num" not in names and "is_fraud" not in names
+    assert names[:4] == ["trans_hour", "trans_day_of_week", "city_pop", "gender_M"]
+
+
+def test_reference_order_leaks_copies_across_sides(spark):
+    """Old order (balance, then random split): copies of one fraud row sit on
+    both sides; the default order never does (see test_no_key_on_both_sides)."""
+    t = transactions(spark, SF_SMALL)
+    bal = B.balance(t, mode="exact", copy_col=None)
+    tr, te = split_random(bal, (0.8, 0.2), seed=42)
+    shared = (tr.where("is_fraud = 1").select("trans_num").distinct()
+                .join(te.where("is_fraud = 1").select("trans_num").distinct(), "trans_num"))
+    assert shared.count() > 0
+
+
+def test_reconcile_checksum_mode(spark):
+    from txnscore.operators.gates import gate_reconcile
+    from txnscore.sources.messages import encode_messages
+    t = transactions(spark, SF_SMALL)
+    log = encode_messages(t)
+    ok = {r["gate"]: r["passed"] for r in gate_reconcile(t, log, "trans_num", "key", "checksum").collect()}
+    assert all(ok.values())
+    changed = log.where("key <> '5'").unionByName(log.where("key = '5'").selectExpr("'x5' as key", "value"))
+    bad = {r["gate"]: r for r in gate_reconcile(t, changed, "trans_num", "key", "checksum").collect()}
+    assert bad["published_count"]["passed"] and not bad["missing_in_log"]["passed"]
+    exact = {r["gate"]: r["observed"] for r in gate_reconcile(t, changed, "trans_num", "key").collect()}
+    assert exact == {"published_count": 1000, "missing_in_log": 1, "unknown_in_log": 1}

@@ -112,12 +112,14 @@ def score(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()
     return out.select(key, *keep, *structs)
 
 
-def evaluate(model: PipelineModel, test: DataFrame, prefix: str) -> dict[str, float]:
-    """PR-AUC (evaluator, default 1,000 bins), label-weighted F1 and fraud-class F1."""
+def evaluate(model: PipelineModel, test: DataFrame, prefix: str,
+             num_bins: int = 1000) -> dict[str, float]:
+    """PR-AUC (evaluator; 1,000 bins by default, 0 = every distinct score),
+    label-weighted F1 and fraud-class F1."""
     c = _cols(prefix)
     pred = model.transform(test)
     pr = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=c["raw"],
-                                       metricName="areaUnderPR").evaluate(pred)
+                                       metricName="areaUnderPR", numBins=num_bins).evaluate(pred)
     f1 = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol=c["prediction"],
                                            metricName="f1").evaluate(pred)
     rep = M.f1_report(pred, LABEL, c["prediction"]).first()
@@ -125,7 +127,7 @@ def evaluate(model: PipelineModel, test: DataFrame, prefix: str) -> dict[str, fl
             "f1_fraud": float(rep["f1_fraud"]) if rep["f1_fraud"] is not None else None}
 
 
-def runs(t: Trained, run_prefix: str = "run") -> DataFrame:
+def runs(t: Trained, run_prefix: str = "run", num_bins: int = 1000) -> DataFrame:
     """A runs table (one row per model) for the trained pair."""
     spark = t.train.sparkSession
     test_rows = t.test.count()
@@ -134,7 +136,7 @@ def runs(t: Trained, run_prefix: str = "run") -> DataFrame:
     for name, prefix, m in ((LR_NAME, "lr", t.lr), (GBT_NAME, "gbt", t.gbt)):
         if m is None:
             continue
-        met = evaluate(PipelineModel(stages=list(t.features.stages) + [m]), t.test, prefix)
+        met = evaluate(PipelineModel(stages=list(t.features.stages) + [m]), t.test, prefix, num_bins)
         rows.append((f"{run_prefix}_{name}", type(m).__name__, t.pipeline_id, met["pr_auc"],
                      met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode,
                      train_rows, test_rows))
