@@ -152,3 +152,25 @@ def test_stream_windows_ignore_session_zone(spark):
             assert ok, (name, detail)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_huge_ratio_copies_are_chunked(spark, monkeypatch):
+    monkeypatch.setattr(B, "COPY_CHUNK", 7)
+    rows = [base(i, is_fraud=0) for i in range(100)] + [base(1000 + i, is_fraud=1) for i in range(4)]
+    df = txn_rows(spark, rows)
+    out = B.oversample(df, mode="exact").collect()
+    by_key = {}
+    for r in out:
+        by_key.setdefault(r["trans_num"], []).append(r["copy"])
+    assert sum(len(v) for v in by_key.values()) == 100      # ratio 25 exactly
+    for copies in by_key.values():
+        assert sorted(copies) == list(range(1, 26))
+
+
+def test_drain_in_several_micro_batches(spark, tmp_path):
+    from txnscore.streaming.drain import drain
+    df = txn_rows(spark, [base(i) for i in range(30)])
+    log = str(tmp_path / "log")
+    encode_messages(df).repartition(6).write.parquet(log)
+    out = drain(spark, log, str(tmp_path / "o"), str(tmp_path / "c"), max_files_per_trigger=2)
+    assert spark.read.parquet(out).count() == 30

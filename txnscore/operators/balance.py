@@ -54,8 +54,10 @@ def copies_column(ratio: float, key: str = KEY, salt: str = OVERSAMPLE_SALT) ->
     return (F.lit(whole) + F.when(hash_unit(key, salt) < F.lit(frac), 1).otherwise(0)).cast("int")
 
 
-# Rows per task after the fan-out of the minority copies.
+# Rows per task after the fan-out of the minority copies, and the most
+# copies of one row expanded in one task.
 ROWS_PER_SPREAD_PARTITION = 2_000_000
+COPY_CHUNK = 100_000
 
 
 def oversample(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int = 42,
@@ -91,9 +93,19 @@ def oversample(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int
         default_parallelism(spark),
         math.ceil(minority_rows * max(ratio, 1.0) / ROWS_PER_SPREAD_PARTITION))
     c = copies_column(ratio, key)
-    spread = minor.repartition(n)
-    with_c = spread.withColumn("_copies", c).where(F.col("_copies") > 0)
-    out = with_c.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    with_c = minor.withColumn("_copies", c).where(F.col("_copies") > 0)
+    if ratio <= COPY_CHUNK:
+        spread = with_c.repartition(n)
+        out = spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    else:
+        # A huge ratio would put all copies of one row into one task: cut
+        # each row's copies into chunks, spread the chunks, then expand them.
+        chunks = with_c.withColumn("_chunk", F.explode(F.sequence(
+            F.lit(0), ((F.col("_copies") - 1) / F.lit(COPY_CHUNK)).cast("int"))))
+        spread = chunks.repartition(n)
+        lo = F.col("_chunk") * F.lit(COPY_CHUNK) + 1
+        hi = F.least(F.col("_chunk") * F.lit(COPY_CHUNK) + F.lit(COPY_CHUNK), F.col("_copies"))
+        out = spread.withColumn("_copy", F.explode(F.sequence(lo, hi))).drop("_chunk")
     out = out.drop("_copies")
     return out.withColumnRenamed("_copy", copy_col) if copy_col else out.drop("_copy")
 

@@ -60,10 +60,13 @@ def land(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
 
 def drain(spark: SparkSession, source: str, out_path: str, checkpoint: str,
           fmt: str = "parquet", out_fmt: str = "parquet", dedupe_within: str | None = None,
-          options: dict | None = None) -> str:
-    """Drain everything available now from the log into ``out_path``."""
-    q = land(decoded_stream(message_stream(spark, source, fmt, options), dedupe_within),
-             out_path, checkpoint, out_fmt, available_now=True)
+          options: dict | None = None, max_files_per_trigger: int | None = None) -> str:
+    """Drain everything available now from the log into ``out_path``
+    (in micro-batches of at most ``max_files_per_trigger`` files, or
+    ``maxOffsetsPerTrigger`` in ``options`` for Kafka)."""
+    stream = message_stream(spark, source, fmt, options, max_files_per_trigger)
+    q = land(decoded_stream(stream, dedupe_within), out_path, checkpoint, out_fmt,
+             available_now=True)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
