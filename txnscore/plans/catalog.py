@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import class_name, clean_value, decision, parse_time, to_radians_terms
+from ..functions import clean_value, decision, parse_time, to_radians_terms
 from ..operators import balance as B
 from ..operators import features as FE
 from ..operators import gates as G
@@ -20,12 +20,8 @@ from ..operators.split import SPLIT_SALT, hash_unit, split_side
 from ..schemas import EVENT_TIME, KEY, LABEL
 from ..views import table, transactions, with_transactions
 from .fixed import FIXED_MODEL, FIXED_SCORE_SQL, fixed_score
-
 from .registry import query, r6
 
-
-TX_COLS = ("trans_num, trans_date_trans_time, cc_num, category, amt, gender, city_pop, "
-           "lat, long, merch_lat, merch_long, is_fraud")
 TX_SQL_LONG = ("trans_num, trans_date_trans_time, cc_num, category, amt, gender, city_pop, "
                "lat, long, merch_lat, merch_long, cast(is_fraud as bigint) as is_fraud")
 
@@ -97,8 +93,8 @@ from (select distinct category from transactions where category is not null)""")
 def q_category_vocabulary(spark, d):
     t = transactions(spark, d)
     vocab = FE.fit_vocabulary(t, "category")
-    # The vocabulary is tiny and already on the driver; join it back as a
-    # table of (category, position) built from the distinct values.
+    # The (size-checked) vocabulary is a literal array; each distinct value
+    # looks up its position in it.
     pos = F.array_position(F.array(*[F.lit(v) for v in vocab]), F.col("category")) - 1
     return (t.select("category").where(F.col("category").isNotNull()).distinct()
              .select("category", pos.cast("long").alias("position"))

@@ -6,6 +6,7 @@ session fits once per (tables, settings) and the model queries share it.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +44,6 @@ def trained(spark, d) -> MD.Trained:
     return _memo(spark, ("trained", d), lambda: MD.train(transactions(spark, d)))
 
 
-FEATURE_INTS = ["trans_hour", "trans_day_of_week", "city_pop", "gender_M"]
-
 FEATURE_SQL = f"""
 feat as (select *, {DIST_SQL} as distance_km from transactions),
 q as (select quantile_disc(case when isnan(amt) then null else amt end, 0.25) as a1,
@@ -76,9 +75,11 @@ from ft""")
 def q_feature_table(spark, d):
     fm = exact_features(spark, d)
     ft = feature_table(fm, transactions(spark, d), keep=[KEY, LABEL])
-    return ft.select(*[F.col(c).cast("long") if c not in ("trans_num",) and not c.endswith("_scaled")
-                       else (r6(c).alias(c) if c.endswith("_scaled") else F.col(c))
-                       for c in ft.columns])
+    def out(c):
+        if c == KEY:
+            return F.col(c)
+        return r6(c).alias(c) if c.endswith("_scaled") else F.col(c).cast("long")
+    return ft.select(*[out(c) for c in ft.columns])
 
 
 # Fixed values (ours): a linear scorer over model features, for requests.
@@ -113,7 +114,6 @@ def q_score_requests(spark, d):
 def _test_scores(spark, d, model_name: str) -> DataFrame:
     t = trained(spark, d)
     stages = list(t.features.stages) + [t.lr if model_name == MD.LR_NAME else t.gbt]
-    from pyspark.ml import PipelineModel
     s = MD.score(PipelineModel(stages=stages), t.test, keep=(LABEL,))
     return s.select(KEY, F.col(LABEL).cast("long"),
                     F.col(f"{model_name}.fraud_probability").alias("fraud_probability"),

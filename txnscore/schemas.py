@@ -18,13 +18,6 @@ TXN = T.StructType([
     T.StructField("is_fraud", T.IntegerType()),
 ])
 
-# A transaction as carried in a message: event time is text (the producer
-# sends str(timestamp)), everything else keeps its type.
-TXN_MESSAGE_VALUE = T.StructType([
-    f if f.name != "trans_date_trans_time" else T.StructField(f.name, T.StringType())
-    for f in TXN.fields
-])
-
 # Message log record (same two columns as a Kafka record's key/value).
 MESSAGE = T.StructType([
     T.StructField("key", T.StringType()),

@@ -9,7 +9,6 @@ drains what is there and stops; ``False`` keeps the same query running.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import wall_to_instant
