@@ -24,7 +24,11 @@ def hash_unit(key: str, salt: str) -> Column:
 
 def split_hash(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), key: str = KEY,
                salt: str = SPLIT_SALT) -> list[DataFrame]:
-    """Key-hash split: narrow (no shuffle), repeatable, sides disjoint by key."""
+    """Key-hash split: narrow (no shuffle), repeatable, sides disjoint by key.
+
+    Rows with a NULL key belong to no side: reject them first
+    (``features.split_invalid`` with the key among the checked columns).
+    """
     total = float(sum(weights))
     bounds, acc = [], 0.0
     for w in weights:

@@ -135,11 +135,19 @@ def q_class_filter(spark, d):
     return tx_long(B.by_class(transactions(spark, d), 1).select(KEY, "amt", LABEL))
 
 
-VALID_COLS = ["amt", "lat", "long", "merch_lat", "merch_long", "trans_date_trans_time", "category"]
-_VALID_SQL_REASON = ("concat_ws(',', " + ", ".join(
-    f"case when {c} is null{' or isnan(' + c + ')' if c in ('amt', 'lat', 'long', 'merch_lat', 'merch_long') else ''} "
-    f"then '{c}' end" for c in VALID_COLS)
-    + ", case when is_fraud is null or is_fraud not in (0, 1) then 'is_fraud' end)")
+VALID_COLS = ["trans_num", "amt", "lat", "long", "merch_lat", "merch_long", "trans_date_trans_time",
+              "category"]
+_FLOAT_COLS = {"amt", "lat", "long", "merch_lat", "merch_long"}
+
+
+def _bad_sql(c: str) -> str:
+    return f"{c} is null or isnan({c})" if c in _FLOAT_COLS else f"{c} is null"
+
+
+# The reject reason in SQL: names of the bad columns, comma-separated.
+_VALID_SQL_REASON = ("concat_ws(',', "
+                     + ", ".join(f"case when {_bad_sql(c)} then '{c}' end" for c in VALID_COLS)
+                     + ", case when is_fraud is null or is_fraud not in (0, 1) then 'is_fraud' end)")
 
 
 @query("valid_rows", with_transactions() + f"""

@@ -33,7 +33,8 @@ from .featurize import feature_table, fit_features
 
 REQUIRED_COLUMNS = ["trans_num", "trans_date_trans_time", "category", "amt", "lat", "long",
                     "merch_lat", "merch_long", "is_fraud"]
-VALIDATED = ["amt", "lat", "long", "merch_lat", "merch_long", "trans_date_trans_time"]
+# A NULL key would give a NULL split bucket and vanish from both sides.
+VALIDATED = ["trans_num", "amt", "lat", "long", "merch_lat", "merch_long", "trans_date_trans_time"]
 
 
 def ingest(spark: SparkSession, csv_path: str, log_path: str, fmt: str = "parquet",
@@ -88,8 +89,10 @@ def prepare(spark: SparkSession, landed: str, out_dir: str, relative_error: floa
 
 def train_and_log(spark: SparkSession, landed: str, model_dir: str, runs_path: str,
                   relative_error: float = 0.001) -> MD.Trained:
-    """Fit both models (leak-free order), log the runs and save one scorer."""
-    t = MD.train(read_dataset(spark, landed), relative_error=relative_error)
+    """Fit both models (leak-free order) on the valid rows, log the runs and
+    save one scorer."""
+    valid, _ = FE.split_invalid(read_dataset(spark, landed), VALIDATED, label=LABEL)
+    t = MD.train(valid, relative_error=relative_error)
     MD.log_run(MD.runs(t, "txn"), runs_path)
     MD.save_model(t.scorer(), model_dir)
     return t
