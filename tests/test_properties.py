@@ -205,3 +205,13 @@ def test_reconcile_checksum_mode(spark):
     assert bad["published_count"]["passed"] and not bad["missing_in_log"]["passed"]
     exact = {r["gate"]: r["observed"] for r in gate_reconcile(t, changed, "trans_num", "key").collect()}
     assert exact == {"published_count": 1000, "missing_in_log": 1, "unknown_in_log": 1}
+
+
+def test_stream_model_counts_equal_batch_counts(spark):
+    from txnscore.operators.metrics import prediction_counts
+    s = CM.q_stream_model_counts(spark, SF_SMALL)
+    per_model = {(r["prediction_class"], r["model_name"]): r["n"] for r in
+                 s.groupBy("prediction_class", "model_name").agg(F.sum("n").alias("n")).collect()}
+    batch = prediction_counts(MD.score(CM.trained(spark, SF_SMALL).scorer(), transactions(spark, SF_SMALL)),
+                              [MD.LR_NAME, MD.GBT_NAME])
+    assert per_model == {(r["prediction_class"], r["model_name"]): r["n"] for r in batch.collect()}

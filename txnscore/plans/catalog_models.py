@@ -193,3 +193,21 @@ def q_score_model_requests(spark, d):
     reqs = to_requests(ft, list(reversed(names)), KEY)
     scores, _ = MD.score_requests(scorer, reqs)
     return scores
+
+
+@query("stream_model_counts")
+def q_stream_model_counts(spark, d):
+    """Raw transactions streamed through the saved scorer (both models) into
+    the watermarked daily prediction counter; returns the current counts."""
+    from ..schemas import TXN
+    from ..sources.files import write_dataset
+    from ..streaming import scoring as SS
+    t = trained(spark, d)
+    model_dir = MD.save_model(t.scorer(), scratch_path(spark, "model"))
+    src = write_dataset(transactions(spark, d), scratch_path(spark, "raw-stream"))
+    stream = spark.readStream.schema(TXN).parquet(src)
+    scored = MD.score(MD.load_model(model_dir), stream, keep=("trans_date_trans_time",))
+    counts = SS.windowed_prediction_counts(scored, [MD.LR_NAME, MD.GBT_NAME])
+    out = scratch_path(spark, "model-counts")
+    SS.run_counts(counts, out, scratch_path(spark, "ckpt")).awaitTermination()
+    return SS.current_counts(spark, out)
