@@ -18,7 +18,7 @@ def test_end_to_end(spark, tmp_path):
     prep = J.prepare(spark, d("landed"), d("prepared"))
     assert prep.counts["rejects"] == 0
     assert prep.counts["test"] + 0 > 0 and prep.counts["train"] > prep.counts["test"]
-    t = J.train_and_log(spark, d("landed"), d("model"), d("runs"))
+    t = J.train_and_log(spark, prep, d("model"), d("runs"))
     assert spark.read.parquet(d("runs")).count() == 2
     counts = J.score_table(spark, d("model"), raw, d("scores"))
     assert counts.agg(F.sum("n")).first()[0] == 2000

@@ -87,12 +87,13 @@ def prepare(spark: SparkSession, landed: str, out_dir: str, relative_error: floa
     return Prepared(feats, paths["train"], paths["test"], paths["rejects"], observed)
 
 
-def train_and_log(spark: SparkSession, landed: str, model_dir: str, runs_path: str,
-                  relative_error: float = 0.001) -> MD.Trained:
-    """Fit both models (leak-free order) on the valid rows, log the runs and
-    save one scorer."""
-    valid, _ = FE.split_invalid(read_dataset(spark, landed), VALIDATED, label=LABEL)
-    t = MD.train(valid, relative_error=relative_error)
+def train_and_log(spark: SparkSession, prepared: Prepared, model_dir: str, runs_path: str,
+                  seed: int = 42) -> MD.Trained:
+    """Fit both models from the written train table of ``prepare``, evaluate
+    on its written test table, log the runs and save one scorer (raw rows in,
+    both models' scores out)."""
+    t = MD.train_from_tables(prepared.features, read_dataset(spark, prepared.train_path),
+                             read_dataset(spark, prepared.test_path), seed=seed)
     MD.log_run(MD.runs(t, "txn"), runs_path)
     MD.save_model(t.scorer(), model_dir)
     return t

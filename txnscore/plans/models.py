@@ -69,6 +69,12 @@ class Trained:
     split_mode: str
     balance_mode: str
     pipeline_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
+    # Stages that turn ``test`` rows into model input: every feature stage for
+    # raw rows, only the assembler for an already written feature table.
+    eval_stages: list | None = None
+
+    def test_stages(self) -> list:
+        return list(self.features.stages) if self.eval_stages is None else list(self.eval_stages)
 
     def scorer(self) -> PipelineModel:
         """One saved object from raw rows to both models' outputs."""
@@ -88,16 +94,33 @@ def train(df: DataFrame, split_mode: str = "hash", balance_mode: str = "exact",
         train_raw, test_raw = split(df, SPLIT_WEIGHTS, split_mode, seed=seed)
         feats = fit_features(train_raw, relative_error)
         train_raw = B.balance(train_raw, mode=balance_mode, seed=seed, copy_col=None)
-    # The assembled training slice is read ~100 times by L-BFGS and once per
-    # tree level by GBT: keep it, spilling to disk under memory pressure.
-    train_set = feats.transform(train_raw).select(KEY, "features", LABEL)
-    train_set = train_set.persist(StorageLevel.MEMORY_AND_DISK)
+    lr, gbt = fit_models(feats.transform(train_raw), with_gbt, seed)
+    return Trained(feats, lr, gbt, train_raw, test_raw, split_mode, balance_mode)
+
+
+def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
+    """Fit LR (and GBT) on rows that carry the ``features`` vector."""
+    # The training slice is read ~100 times by L-BFGS and once per tree level
+    # by GBT: keep it, spilling to disk under memory pressure.
+    train_set = assembled.select(KEY, "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         lr = lr_estimator().fit(train_set)
         gbt = gbt_estimator(seed=seed).fit(train_set) if with_gbt else None
     finally:
         train_set.unpersist()
-    return Trained(feats, lr, gbt, train_raw, test_raw, split_mode, balance_mode)
+    return lr, gbt
+
+
+def train_from_tables(features: PipelineModel, train_table: DataFrame, test_table: DataFrame,
+                      with_gbt: bool = True, seed: int = 42, split_mode: str = "hash",
+                      balance_mode: str = "exact") -> Trained:
+    """Fit both models from written feature tables (the output of
+    ``jobs.prepare``): the lineage of every training pass starts at those
+    files in the shared folder, not at the split and the oversampling."""
+    assembler = features.stages[-1]
+    lr, gbt = fit_models(assembler.transform(train_table), with_gbt, seed)
+    return Trained(features, lr, gbt, train_table, test_table, split_mode, balance_mode,
+                   eval_stages=[assembler])
 
 
 def score(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()) -> DataFrame:
@@ -136,7 +159,7 @@ def runs(t: Trained, run_prefix: str = "run", num_bins: int = 1000) -> DataFrame
     for name, prefix, m in ((LR_NAME, "lr", t.lr), (GBT_NAME, "gbt", t.gbt)):
         if m is None:
             continue
-        met = evaluate(PipelineModel(stages=list(t.features.stages) + [m]), t.test, prefix, num_bins)
+        met = evaluate(PipelineModel(stages=t.test_stages() + [m]), t.test, prefix, num_bins)
         rows.append((f"{run_prefix}_{name}", type(m).__name__, t.pipeline_id, met["pr_auc"],
                      met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode,
                      train_rows, test_rows))
