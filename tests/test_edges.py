@@ -174,3 +174,21 @@ def test_drain_in_several_micro_batches(spark, tmp_path):
     encode_messages(df).repartition(6).write.parquet(log)
     out = drain(spark, log, str(tmp_path / "o"), str(tmp_path / "c"), max_files_per_trigger=2)
     assert spark.read.parquet(out).count() == 30
+
+
+def test_csv_binds_columns_by_header_name(spark, tmp_path):
+    from txnscore.sources.files import read_transactions
+    p = tmp_path / "raw.csv"
+    p.write_text(
+        "Unnamed: 0,merchant,is_fraud,amt,trans_num,trans_date_trans_time,category,gender,"
+        "city_pop,lat,long,merch_lat,merch_long,cc_num\n"
+        "0,shop,1,12.5,0001,2019-01-01 00:00:18,misc_net,F,1200,40.5,-80.25,40.75,-80.5,1111222233334444\n"
+        "1,shop,0,bad,0002,not a time,grocery_pos,M,300,45.0,-110.0,45.5,-110.5,5555666677778888\n")
+    rows = {r["trans_num"]: r for r in read_transactions(spark, str(p)).collect()}
+    assert set(rows) == {"0001", "0002"}          # text key keeps its leading zeros
+    a, b = rows["0001"], rows["0002"]
+    assert a["amt"] == 12.5 and a["is_fraud"] == 1 and a["category"] == "misc_net"
+    assert a["trans_date_trans_time"] == dt.datetime(2019, 1, 1, 0, 0, 18)
+    assert a["cc_num"] == 1111222233334444
+    assert b["amt"] is None and b["trans_date_trans_time"] is None   # to rejects, no failure
+    assert "merchant" not in read_transactions(spark, str(p)).columns

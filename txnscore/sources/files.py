@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TXN
@@ -18,15 +19,24 @@ def _csv_options(header: bool = True) -> dict[str, str]:
 
 def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
                       schema: T.StructType | None = TXN, infer: bool = False) -> DataFrame:
-    """Raw transactions. CSV uses the explicit schema unless ``infer`` is
-    asked for (inference is a full extra pass and can turn keys into ints)."""
+    """Raw transactions.
+
+    CSV columns are bound **by header name**, not by position: the file is
+    read as text columns and each schema field is ``try_cast`` from the
+    column of the same name (unparsable values become NULL and go to the
+    rejects; extra columns such as a nameless index are ignored; a missing
+    column is left out so the schema gate reports it). ``infer`` asks for
+    Spark's type inference instead (a full extra pass; keys may turn into
+    numbers).
+    """
     if fmt == "csv":
         r = spark.read.options(**_csv_options())
         if infer or schema is None:
-            r = r.option("inferSchema", "true")
-        else:
-            r = r.schema(schema)
-        return r.csv(path)
+            return r.option("inferSchema", "true").csv(path)
+        text = r.csv(path)
+        present = set(text.columns)
+        return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                             for f in schema.fields if f.name in present])
     r = spark.read.format(fmt)
     if schema is not None and fmt not in ("parquet", "orc"):
         r = r.schema(schema)
