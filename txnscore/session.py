@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="txnscore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    # setCheckpointDir makes a fresh sub-folder on every call: register once.
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(d)
     return d
 
 
