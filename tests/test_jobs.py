@@ -31,3 +31,15 @@ def test_end_to_end(spark, tmp_path):
     total = current_counts(spark, d("stream-counts")).agg(F.sum("n")).first()[0]
     assert total == 2000
     assert t.gbt is not None
+
+
+def test_command_line_stages(spark, tmp_path):
+    from txnscore.__main__ import main
+    d = lambda n: str(tmp_path / n)
+    write_dataset(transactions(spark, SF_SMALL), d("csv"), fmt="csv")
+    assert main(["ingest", "--csv", d("csv"), "--log", d("log")]) == 0
+    assert main(["drain", "--log", d("log"), "--landed", d("landed")]) == 0
+    assert main(["prepare", "--landed", d("landed"), "--out", d("prep")]) == 0
+    assert main(["train", "--prepared", d("prep"), "--model", d("model"), "--runs", d("runs")]) == 0
+    assert main(["score", "--model", d("model"), "--input", d("landed"), "--out", d("scores")]) == 0
+    assert spark.read.parquet(d("scores")).count() == 1000
