@@ -121,3 +121,28 @@ def test_vector_scaler_equals_column_scaler(spark):
     worst = j.agg(F.max(F.abs(F.col("amt_scaled") - F.col("a2"))),
                   F.max(F.abs(F.col("distance_km_scaled") - F.col("d2")))).first()
     assert j.count() == 1000 and worst[0] < 1e-12 and worst[1] < 1e-12
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.integers(-50, 50).map(float), st.just(float("nan"))), min_size=1,
+                max_size=300),
+       st.sampled_from([0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]))
+def test_band_quantiles_equal_full_rank(spark, vals, p):
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    band = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [p], eps=0.01).collect()}
+    clean = sorted(v for v in vals if v == v)
+    if not clean:
+        assert band == {}
+        return
+    assert band == {p: clean[max(math.ceil(p * len(clean)), 1) - 1]}
+
+
+def test_band_quantiles_large_with_hot_value(spark):
+    df = spark.range(200000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise((F.col("id") * 7919 % 100003).cast("double")).alias("x"),
+        (F.col("id") % 1000).cast("double").alias("y"))
+    probs = [0.25, 0.5, 0.75]
+    a = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, ["x", "y"], probs).collect()}
+    b = {(r["column"], r["p"]): r["value"] for r in
+         exact_quantiles(df, ["x", "y"], probs, method="full").collect()}
+    assert a == b and len(a) == 6

@@ -16,6 +16,7 @@ with map-side partial aggregation), which also absorbs any hot key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -88,19 +89,83 @@ def long_values(df: DataFrame, cols: Sequence[str], name_col: str = "column",
     return df.select(pairs).select("_kv.*").where(v.isNotNull() & ~F.isnan(v))
 
 
+# Sketch error used to bracket exact quantiles (rank error at most eps * n).
+BAND_EPS = 0.001
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, method: str = "band",
+                    eps: float = BAND_EPS) -> DataFrame:
     """Discrete quantiles: for each column and p, the smallest value whose
     cumulative share reaches p (rank ceil(p*n), as SQL ``percentile_disc``).
 
-    Returns rows ``(column, p, value)``. Works on whole tables: no value list
-    is gathered in one task; the work is a grouped count plus a range-
-    partitioned running sum. NULL and NaN are ignored.
+    Returns rows ``(column, p, value)``; NULL and NaN are ignored. No value
+    list is gathered in one task.
+
+    ``band`` (default): a mergeable sketch (``approxQuantile``, rank error at
+    most ``eps * n``) gives values L and U whose ranks bracket the target
+    rank; one shuffle-free aggregate counts the rows below L; only the rows
+    inside [L, U] (about ``6 * eps`` of the data per quantile) are shuffled
+    and ranked exactly. ``full``: rank every distinct value (one shuffle of
+    all values; kept as the reference for tests).
     """
-    counts = (long_values(df, cols).groupBy("column", "value")
-              .agg(F.count(F.lit(1)).alias("n")))
+    cols, probs = list(cols), [float(q) for q in probs]
+    if method == "full":
+        return _quantiles_by_rank(long_values(df, cols), probs, num_partitions, len(cols))
+    if method != "band":
+        raise ValueError(f"method must be band or full, not {method!r}")
+
+    clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
+                        for c in cols])
+    # The sketch's answer for q has rank within eps*n of q*n, so asking for
+    # q -/+ 3 eps brackets rank ceil(q*n) with a margin of 2 eps*n ranks.
+    lo_p = [max(q - 3 * eps, 0.0) for q in probs]
+    hi_p = [min(q + 3 * eps, 1.0) for q in probs]
+    sketch = clean.approxQuantile(cols, lo_p + hi_p, eps)     # len(cols) x 2 len(probs) numbers
+    bounds = {}
+    for c, vals in zip(cols, sketch):
+        for i, q in enumerate(probs):
+            lo = None if lo_p[i] <= 0.0 or not vals else vals[i]
+            hi = None if hi_p[i] >= 1.0 or not vals else vals[len(probs) + i]
+            bounds[(c, q)] = (lo, hi)
+
+    # Rows strictly below each band, and the column totals: one aggregate.
+    aggs = [F.count(F.col(c)).alias(f"n::{c}") for c in cols]
+    for (c, q), (lo, _) in bounds.items():
+        below = F.count(F.when(F.col(c) < F.lit(lo), 1)) if lo is not None else F.lit(0)
+        aggs.append(below.alias(f"below::{c}::{q!r}"))
+    counts = clean.agg(*aggs).first().asDict()
+
+    # The band rows, tagged with the quantile they serve, ranked exactly.
+    tagged = []
+    for (c, q), (lo, hi) in bounds.items():
+        cond = F.col(c).isNotNull()
+        if lo is not None:
+            cond = cond & (F.col(c) >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col(c) <= F.lit(hi))
+        tagged.append(F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(q).alias("p"),
+                                            F.col(c).alias("value"))))
+    band = (clean.select(F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull())).alias("b"))
+                 .select("b.*"))
+    grouped = band.groupBy("column", "p", "value").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_totals(grouped, "value", ["n"], group_cols=["column", "p"],
+                         num_partitions=num_partitions, n_groups=len(bounds))
+    # Target rank inside the band: ceil(p * n) minus the rows below it.
+    target = F.lit(0)
+    for (c, q) in bounds:
+        n = counts[f"n::{c}"]
+        r = max(math.ceil(q * n), 1) - counts[f"below::{c}::{q!r}"]
+        target = F.when((F.col("column") == c) & (F.col("p") == q), F.lit(r)).otherwise(target)
+    return (cum.where((F.col("cum_n") >= target) & (F.col("cum_n") - F.col("n") < target))
+               .select("column", "p", "value"))
+
+
+def _quantiles_by_rank(values: DataFrame, probs: Sequence[float], num_partitions: int | None,
+                       n_groups: int) -> DataFrame:
+    counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(counts, "value", ["n"], group_cols=["column"],
-                         num_partitions=num_partitions, n_groups=len(cols))
+                         num_partitions=num_partitions, n_groups=n_groups)
     p = F.col("p")
     rank = F.greatest(F.ceil(p * F.col("total_n")), F.lit(1))
     return (cum.select("column", "value", "n", "cum_n", "total_n",
