@@ -215,3 +215,14 @@ def test_stream_model_counts_equal_batch_counts(spark):
     batch = prediction_counts(MD.score(CM.trained(spark, SF_SMALL).scorer(), transactions(spark, SF_SMALL)),
                               [MD.LR_NAME, MD.GBT_NAME])
     assert per_model == {(r["prediction_class"], r["model_name"]): r["n"] for r in batch.collect()}
+
+
+def test_run_metrics_equal_spark_evaluators(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    t = CM.trained(spark, SF_SMALL)
+    model = PipelineModel(stages=list(t.features.stages) + [t.lr])
+    met = MD.evaluate(model, t.test, "lr")
+    f1 = MulticlassClassificationEvaluator(labelCol="is_fraud", predictionCol="lr_prediction",
+                                           metricName="f1").evaluate(model.transform(t.test))
+    assert met["f1"] == pytest.approx(f1, abs=1e-12)
