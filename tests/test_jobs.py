@@ -43,3 +43,23 @@ def test_command_line_stages(spark, tmp_path):
     assert main(["train", "--prepared", d("prep"), "--model", d("model"), "--runs", d("runs")]) == 0
     assert main(["score", "--model", d("model"), "--input", d("landed"), "--out", d("scores")]) == 0
     assert spark.read.parquet(d("scores")).count() == 1000
+
+
+def test_prepare_rejects_and_gates(spark, tmp_path):
+    import pytest
+    from txnscore.operators.gates import GateFailed
+    raw = transactions(spark, SF_SMALL)
+    bad = raw.withColumn("amt", F.when(F.col("trans_num").isin("1", "2", "3"), None).otherwise(F.col("amt")))
+    write_dataset(bad, str(tmp_path / "landed"))
+    prep = J.prepare(spark, str(tmp_path / "landed"), str(tmp_path / "prep"))
+    assert prep.counts["rejects"] == 3
+    rej = spark.read.parquet(prep.rejects_path)
+    assert sorted(r["trans_num"] for r in rej.collect()) == ["1", "2", "3"]
+    assert {r["reason"] for r in rej.collect()} == {"amt"}
+    test_keys = spark.read.parquet(prep.test_path).select("trans_num")
+    train_keys = spark.read.parquet(prep.train_path).select("trans_num").distinct()
+    assert test_keys.join(train_keys, "trans_num").count() == 0
+    no_fraud = raw.withColumn("is_fraud", F.lit(0))
+    write_dataset(no_fraud, str(tmp_path / "landed2"))
+    with pytest.raises(GateFailed, match="class_present"):
+        J.prepare(spark, str(tmp_path / "landed2"), str(tmp_path / "prep2"))

@@ -116,14 +116,22 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def balance(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int = 42,
-            key: str = KEY, copy_col: str | None = "copy") -> DataFrame:
-    """Majority rows plus oversampled minority rows (one counting job first)."""
-    row = class_balance(df, label).first()
-    if not row["fraud"]:
+            key: str = KEY, copy_col: str | None = "copy",
+            counts: tuple[int, int] | None = None) -> DataFrame:
+    """Majority rows plus oversampled minority rows.
+
+    ``counts`` = (legit, fraud) of ``df`` when the caller already has them
+    (e.g. from a combined gate aggregate); otherwise one counting job runs.
+    """
+    if counts is None:
+        row = class_balance(df, label).first()
+        counts = (int(row["legit"]), int(row["fraud"]))
+    legit_n, fraud_n = counts
+    if not fraud_n:
         raise ValueError("no minority (fraud) rows: the oversampling ratio is undefined")
-    ratio = float(row["legit"]) / float(row["fraud"])
+    ratio = float(legit_n) / float(fraud_n)
     legit = by_class(df, 0, label)
     if copy_col:
         legit = legit.withColumn(copy_col, F.lit(1))
     return union_all(legit, oversample(df, label, mode, seed, key, ratio,
-                                       minority_rows=int(row["fraud"]), copy_col=copy_col))
+                                       minority_rows=fraud_n, copy_col=copy_col))

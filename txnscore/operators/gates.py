@@ -95,6 +95,13 @@ def _reconcile_checksum(source: DataFrame, log: DataFrame, key: str, log_key: st
     return spark.createDataFrame(rows, "gate string, observed long, expected long, passed boolean")
 
 
+def gate_table(spark, rows) -> DataFrame:
+    """Gate rows from numbers already computed by a combined aggregate."""
+    return spark.createDataFrame(
+        [(g, int(o), int(e), bool(p)) for g, o, e, p in rows],
+        "gate string, observed long, expected long, passed boolean")
+
+
 def union_gates(*gates: DataFrame) -> DataFrame:
     out = gates[0]
     for g in gates[1:]:

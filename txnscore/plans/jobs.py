@@ -16,13 +16,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import balance as B
 from ..operators import features as FE
 from ..operators import gates as G
 from ..operators import metrics as M
-from ..operators.split import split
+from ..operators.split import SPLIT_SALT, hash_unit
 from ..schemas import KEY, LABEL, TXN
 from ..sources.files import read_dataset, read_transactions, write_dataset
 from ..sources.messages import encode_messages, publish
@@ -34,6 +35,7 @@ from .featurize import feature_table, fit_features
 REQUIRED_COLUMNS = ["trans_num", "trans_date_trans_time", "category", "amt", "lat", "long",
                     "merch_lat", "merch_long", "is_fraud"]
 # A NULL key would give a NULL split bucket and vanish from both sides.
+TRAIN_FRACTION = 0.8
 VALIDATED = ["trans_num", "amt", "lat", "long", "merch_lat", "merch_long", "trans_date_trans_time"]
 
 
@@ -65,16 +67,34 @@ class Prepared:
 
 
 def prepare(spark: SparkSession, landed: str, out_dir: str, relative_error: float = 0.001,
-            balance_mode: str = "exact", split_mode: str = "hash") -> Prepared:
-    """Validate, split, fit the feature stages on the training side, balance
-    the training side only and write train / test / rejects datasets."""
+            balance_mode: str = "exact") -> Prepared:
+    """Validate, hash-split, fit the feature stages on the training side,
+    balance the training side only and write train / test / rejects datasets.
+
+    The schema, non-empty and class-present gates and the class counts of the
+    training side come from one aggregate over the landed data.
+    """
     raw = read_dataset(spark, landed)
-    G.enforce(G.gate_schema(raw, REQUIRED_COLUMNS))
-    valid, rejects = FE.split_invalid(raw, VALIDATED, label=LABEL)
-    G.enforce(G.gate_class_present(valid))
-    train_raw, test_raw = split(valid, (0.8, 0.2), split_mode)
+    missing = [c for c in REQUIRED_COLUMNS if c not in raw.columns]
+    present = len(REQUIRED_COLUMNS) - len(missing)
+    G.enforce(G.gate_table(spark, [("schema_columns", present, len(REQUIRED_COLUMNS), not missing)]))
+    tagged = raw.withColumn("reason", FE.invalid_reason(raw, VALIDATED, LABEL))
+    ok, y = F.col("reason").isNull(), F.col(LABEL)
+    train = hash_unit(KEY, SPLIT_SALT) < F.lit(TRAIN_FRACTION)
+    c = tagged.agg(F.count(F.lit(1)).alias("rows"),
+                   F.count(F.when(ok & (y == 1), 1)).alias("fraud"),
+                   F.count(F.when(ok & train & (y == 0), 1)).alias("legit_train"),
+                   F.count(F.when(ok & train & (y == 1), 1)).alias("fraud_train")).first()
+    G.enforce(G.gate_table(spark, [
+        ("schema_rows", c["rows"], 1, c["rows"] >= 1),
+        ("class_present", c["fraud"], 1, c["fraud"] >= 1),
+        ("class_present_train", c["fraud_train"], 1, c["fraud_train"] >= 1)]))
+    valid = tagged.where(ok).drop("reason")
+    rejects = tagged.where(~ok)
+    train_raw, test_raw = valid.where(train), valid.where(~train)
     feats = fit_features(train_raw, relative_error)
-    balanced = B.balance(train_raw, mode=balance_mode, copy_col=None)
+    balanced = B.balance(train_raw, mode=balance_mode, copy_col=None,
+                         counts=(c["legit_train"], c["fraud_train"]))
     keep = [KEY, LABEL]
     paths = {n: os.path.join(out_dir, n) for n in ("train", "test", "rejects")}
     observed = {}
@@ -83,7 +103,7 @@ def prepare(spark: SparkSession, landed: str, out_dir: str, relative_error: floa
         write_dataset(df, paths[name])
         observed[name] = read_dataset(spark, paths[name]).count()
     feats.write().overwrite().save(os.path.join(out_dir, "feature_model"))
-    G.enforce(G.gate_nonempty(read_dataset(spark, paths["train"]), "train_nonempty"))
+    G.enforce(G.gate_table(spark, [("train_nonempty", observed["train"], 1, observed["train"] >= 1)]))
     return Prepared(feats, paths["train"], paths["test"], paths["rejects"], observed)
 
 
