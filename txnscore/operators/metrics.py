@@ -66,17 +66,25 @@ def confusion(pred: DataFrame, label: str = LABEL, prediction: str = "prediction
 
 def f1_report(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """One row: label-weighted F1 (as MulticlassClassificationEvaluator 'f1')
-    and the fraud-class F1, from the confusion counts."""
+    and the fraud-class F1, from the confusion counts.
+
+    Each confusion cell (y, p, n) counts toward label y as actual (and as a
+    hit when y == p) and toward label p as predicted: one regroup by label,
+    no join. Only labels that occur as actual values carry weight.
+    """
     k = confusion(pred, label, prediction)
-    actual = k.groupBy(F.col("y").alias("lab")).agg(
-        F.sum("n").alias("act"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0.0)).alias("tp"))
-    predicted = k.groupBy(F.col("p").alias("lab")).agg(F.sum("n").alias("prd"))
-    # Both sides have at most one row per class (2 rows).
-    j = actual.join(F.broadcast(predicted), "lab", "left")
-    f1_l = F.col("act") * 2 * F.col("tp") / (F.col("act") + F.coalesce(F.col("prd"), F.lit(0.0)))
-    fraud_f1 = 2 * F.col("tp") / (F.col("act") + F.coalesce(F.col("prd"), F.lit(0.0)))
-    return j.agg((F.sum(f1_l) / F.sum("act")).alias("f1"),
-                 F.max(F.when(F.col("lab") == 1, fraud_f1)).alias("f1_fraud"))
+    roles = k.select(F.explode(F.array(
+        F.struct(F.col("y").alias("lab"), F.col("n").alias("act"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0.0).alias("tp"),
+                 F.lit(0.0).alias("prd")),
+        F.struct(F.col("p").alias("lab"), F.lit(0.0).alias("act"), F.lit(0.0).alias("tp"),
+                 F.col("n").alias("prd")))).alias("r")).select("r.*")
+    per = roles.groupBy("lab").agg(F.sum("act").alias("act"), F.sum("tp").alias("tp"),
+                                   F.sum("prd").alias("prd")).where(F.col("act") > 0)
+    f1_l = F.col("act") * 2 * F.col("tp") / (F.col("act") + F.col("prd"))
+    fraud_f1 = 2 * F.col("tp") / (F.col("act") + F.col("prd"))
+    return per.agg((F.sum(f1_l) / F.sum("act")).alias("f1"),
+                   F.max(F.when(F.col("lab") == 1, fraud_f1)).alias("f1_fraud"))
 
 
 def pr_points(scored: DataFrame, score: str = "score", label: str = LABEL,
