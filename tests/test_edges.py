@@ -192,3 +192,14 @@ def test_csv_binds_columns_by_header_name(spark, tmp_path):
     assert a["cc_num"] == 1111222233334444
     assert b["amt"] is None and b["trans_date_trans_time"] is None   # to rejects, no failure
     assert "merchant" not in read_transactions(spark, str(p)).columns
+
+
+def test_unscorable_rows_go_to_rejects(spark):
+    from txnscore.plans import catalog_models as CM
+    from txnscore.plans import models as MD
+    t = CM.trained(spark, "/root/testdata/sf0.001")
+    df = txn_rows(spark, [base(1), base(2, city_pop=None), base(3, merch_long=float("nan"))])
+    scores, rejects = MD.score_checked(t.scorer(), df)
+    assert [r["trans_num"] for r in scores.collect()] == ["1"]
+    assert sorted((r["trans_num"], r["reason"]) for r in rejects.collect()) == [
+        ("2", "city_pop"), ("3", "merch_long")]

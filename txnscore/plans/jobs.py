@@ -120,9 +120,11 @@ def train_and_log(spark: SparkSession, prepared: Prepared, model_dir: str, runs_
 
 
 def score_table(spark: SparkSession, model_dir: str, raw: DataFrame, out: str) -> DataFrame:
-    """Score raw transactions with every saved model; return prediction counts."""
-    scored = MD.score(MD.load_model(model_dir), raw)
+    """Score raw transactions with every saved model (rows that cannot be
+    scored go to ``<out>_rejects``); return prediction counts."""
+    scored, rejects = MD.score_checked(MD.load_model(model_dir), raw)
     write_dataset(scored, out)
+    write_dataset(rejects, out.rstrip("/") + "_rejects")
     written = read_dataset(spark, out)
     return M.prediction_counts(written, [c for c in written.columns if c != KEY])
 
@@ -133,10 +135,14 @@ def score_stream(spark: SparkSession, model_dir: str, log_path: str, scores_out:
     """Continuous scoring of a message log plus running prediction counts."""
     model = MD.load_model(model_dir)
     rows = D.decoded_stream(D.message_stream(spark, log_path))
-    scored = MD.score(model, rows, keep=("trans_date_trans_time",))
+    # Unscorable rows are dropped from the scored stream but landed with a
+    # reason next to it (never silently skipped).
+    scored, rejects = MD.score_checked(model, rows, keep=("trans_date_trans_time",))
+    q0 = D.land(rejects, scores_out.rstrip("/") + "_rejects", os.path.join(checkpoint, "rejects"),
+                available_now=available_now)
     q1 = D.land(scored, scores_out, os.path.join(checkpoint, "scores"), available_now=available_now)
     models = [c for c in scored.columns if c not in (KEY, "trans_date_trans_time")]
     counts = SS.windowed_prediction_counts(scored, models, window, watermark)
     q2 = SS.run_counts(counts, counts_out, os.path.join(checkpoint, "counts"), available_now)
-    return [q1, q2]
+    return [q0, q1, q2]
 

@@ -135,6 +135,20 @@ def score(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()
     return out.select(key, *keep, *structs)
 
 
+# Raw columns the saved scorer reads; NULL/NaN in any of them would make the
+# assembler skip the row, so such rows are split off with a reason instead.
+SCORE_INPUTS = ["trans_date_trans_time", "amt", "city_pop", "lat", "long", "merch_lat",
+                "merch_long"]
+
+
+def score_checked(model: PipelineModel, raw: DataFrame, key: str = KEY,
+                  keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
+    """(scores, rejects): rows that cannot be scored are reported, not lost."""
+    from ..operators.features import split_invalid
+    valid, rejects = split_invalid(raw, [c for c in SCORE_INPUTS if c in raw.columns])
+    return score(model, valid, key, keep), rejects.select(key, *keep, "reason")
+
+
 def evaluate(model: PipelineModel, test: DataFrame, prefix: str,
              num_bins: int = 1000) -> dict[str, float]:
     """PR-AUC (evaluator; 1,000 bins by default, 0 = every distinct score),
