@@ -89,9 +89,9 @@ def f1_report(pred: DataFrame, label: str = LABEL, prediction: str = "prediction
 
 def pr_points(scored: DataFrame, score: str = "score", label: str = LABEL,
               num_partitions: int | None = None) -> DataFrame:
-    """One row per distinct score (descending threshold) with running true
-    positives and predicted positives: columns score, tp, n, cum_tp, cum_n, total_tp."""
-    g = (scored.groupBy(F.col(score).alias("score"))
+    """One row per distinct non-NULL score (descending threshold) with running
+    true positives and predicted positives: score, tp, n, cum_tp, cum_n, total_tp."""
+    g = (scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score"))
                .agg(F.sum(F.col(label).cast("double")).alias("tp"),
                     F.count(F.lit(1)).cast("double").alias("n")))
     return running_totals(g, "score", ["tp", "n"], descending=True, num_partitions=num_partitions)

@@ -324,7 +324,8 @@ def q_weighted_f1(spark, d):
 
 
 PR_SQL = """
-g as (select sc, cast(sum(y) as double) as tp, cast(count(*) as double) as n from pp group by sc),
+g as (select sc, cast(sum(y) as double) as tp, cast(count(*) as double) as n from pp
+      where sc is not null group by sc),
 u as (select sc, sum(tp) over (order by sc desc) as tp, sum(n) over (order by sc desc) as n,
              sum(tp) over () as p from g),
 v as (select sc, tp / p as r, tp / n as pr from u)"""
