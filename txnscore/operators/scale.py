@@ -1,4 +1,4 @@
-"""Quartile range and robust scaling.
+"""Quartile range, robust scaling and vector unpacking.
 
 Scaling multiplies by 1/(inter-quartile range) and does not centre, as a
 ``RobustScaler(withCentering=False, withScaling=True)``; a zero range gives
