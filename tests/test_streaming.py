@@ -47,3 +47,27 @@ def test_running_counts_and_late_rows(spark, tmp_path):
         assert cur == {(1, "genuine"): 1, (1, "fraud"): 1, (5, "genuine"): 2}
     finally:
         q.stop()
+
+
+def test_compaction_keeps_current_counts(spark, tmp_path):
+    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+    day = lambda d: dt.datetime(2024, 1, d, 12)
+    _rows(spark, [(day(1), 10.0)]).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(TXN).option("maxFilesPerTrigger", 1).parquet(src)
+    q = SS.run_counts(SS.windowed_prediction_counts(_scored(stream), ["m"]), out, ck,
+                      available_now=False)
+    try:
+        q.processAllAvailable()
+        _rows(spark, [(day(1), 20.0), (day(2), 500.0)]).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        before = sorted(tuple(r) for r in SS.current_counts(spark, out).collect())
+        snap = SS.compact_counts(spark, out)
+        assert "_snapshots/upto=" in snap
+        assert sorted(tuple(r) for r in SS.current_counts(spark, out).collect()) == before
+        _rows(spark, [(day(2), 600.0)]).write.mode("append").parquet(src)
+        q.processAllAvailable()
+        cur = {(r["window_start"].day, r["prediction_class"]): r["n"]
+               for r in SS.current_counts(spark, out).collect()}
+        assert cur == {(1, "genuine"): 2, (2, "fraud"): 2}
+    finally:
+        q.stop()

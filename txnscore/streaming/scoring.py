@@ -63,7 +63,60 @@ def run_counts(counts: DataFrame, path: str, checkpoint: str,
     return w.start()
 
 
-def current_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Latest count per (window, class, model) across the written batches."""
+SNAPSHOTS = "_snapshots"
+
+
+def _latest_snapshot(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """(batch id covered, folder) of the newest snapshot, if any."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(f"{path}/{SNAPSHOTS}")
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return None
+    best = None
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            n = int(name.split("=", 1)[1])
+            if best is None or n > best[0]:
+                best = (n, st.getPath().toString())
+    return best
+
+
+def _counts(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Latest count per key from the newest snapshot plus the later batches
+    (up to ``upto``); older batch folders are pruned by the partition filter."""
     df = spark.read.parquet(path)
+    snap = _latest_snapshot(spark, path)
+    cond = F.lit(True) if snap is None else F.col("batch_id") > F.lit(snap[0])
+    if upto is not None:
+        cond = cond & (F.col("batch_id") <= F.lit(upto))
+    df = df.where(cond)
+    if snap is not None:
+        taken = spark.read.parquet(snap[1]).withColumn(
+            "batch_id", F.lit(snap[0]).cast(df.schema["batch_id"].dataType))
+        df = df.unionByName(taken)
     return df.groupBy(*COUNT_KEYS).agg(F.max_by("n", "batch_id").alias("n"))
+
+
+def current_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Latest count per (window, class, model)."""
+    return _counts(spark, path)
+
+
+def compact_counts(spark: SparkSession, path: str) -> str:
+    """Fold every batch written so far into a snapshot under
+    ``_snapshots/upto=<n>`` (hidden from partition discovery); later reads
+    skip the folded batch folders, which an operator may then remove. Only
+    committed batches are visible to the read, so the stream can keep
+    writing meanwhile."""
+    upto = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        raise ValueError(f"no count batches under {path}")
+    snap = _latest_snapshot(spark, path)
+    if snap is not None and snap[0] >= upto:
+        return snap[1]
+    out = f"{path}/{SNAPSHOTS}/upto={upto}"
+    _counts(spark, path, upto).write.mode("overwrite").parquet(out)
+    return out
