@@ -203,3 +203,17 @@ def test_unscorable_rows_go_to_rejects(spark):
     assert [r["trans_num"] for r in scores.collect()] == ["1"]
     assert sorted((r["trans_num"], r["reason"]) for r in rejects.collect()) == [
         ("2", "city_pop"), ("3", "merch_long")]
+
+
+def test_drop_columns_and_feature_columns(spark):
+    df = txn_rows(spark, [base(1)]).withColumn("Unnamed: 0", F.lit(0))
+    kept = FE.drop_columns(FE.base_features(df))
+    assert "Unnamed: 0" not in kept.columns and "trans_num" not in kept.columns
+    assert {"trans_hour", "distance_km", "gender_M", "amt", "is_fraud", "cc_num"} <= set(kept.columns)
+    # the old rule: every remaining column but the label (an account number slips in)
+    assert "cc_num" in FE.feature_columns(kept)
+    assert "is_fraud" not in FE.feature_columns(kept)
+    # the allow-list keeps its order and refuses missing names
+    assert FE.feature_columns(kept, allow=["amt", "trans_hour"]) == ["amt", "trans_hour"]
+    with pytest.raises(ValueError, match="age"):
+        FE.feature_columns(kept, allow=["age"])
