@@ -76,6 +76,7 @@ def test_exact_quantiles_are_percentile_disc(spark, n):
 def test_iqr_ignores_nan_and_handles_constant(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (2.0,)], "amt double")
     assert iqr(df, ["amt"], 0.0) == {"amt": 2.0}
+    assert iqr(df, ["amt"], 0.001) == {"amt": 2.0}      # the sketch skips NaN too
     const = spark.createDataFrame([(1.0,), (1.0,), (1.0,), (9.0,)], "amt double")
     assert iqr(const, ["amt"], 0.0) == {"amt": 0.0}
     assert iqr_table(const, ["amt"]).first()["iqr"] == 0.0
