@@ -9,6 +9,7 @@ old order (fit and balance on everything, then split) for comparison.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -102,13 +103,19 @@ def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
     """Fit LR (and GBT) on rows that carry the ``features`` vector."""
     # The training slice is read ~100 times by L-BFGS and once per tree level
     # by GBT: keep it, spilling to disk under memory pressure.
+    # Both fits run at once from two driver threads (as CrossValidator's
+    # ``parallelism``): their jobs interleave on the cluster, and each model
+    # is the same as when fitted alone.
     train_set = assembled.select(KEY, "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        lr = lr_estimator().fit(train_set)
-        gbt = gbt_estimator(seed=seed).fit(train_set) if with_gbt else None
+        if not with_gbt:
+            return lr_estimator().fit(train_set), None
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            lr = pool.submit(lr_estimator().fit, train_set)
+            gbt = pool.submit(gbt_estimator(seed=seed).fit, train_set)
+            return lr.result(), gbt.result()
     finally:
         train_set.unpersist()
-    return lr, gbt
 
 
 def train_from_tables(features: PipelineModel, train_table: DataFrame, test_table: DataFrame,
