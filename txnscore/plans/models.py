@@ -173,18 +173,20 @@ def evaluate(model: PipelineModel, test: DataFrame, prefix: str,
 
 
 def runs(t: Trained, run_prefix: str = "run", num_bins: int = 1000) -> DataFrame:
-    """A runs table (one row per model) for the trained pair."""
+    """A runs table (one row per model) for the trained pair. The two
+    evaluations and the two row counts are independent jobs and run at once."""
     spark = t.train.sparkSession
-    test_rows = t.test.count()
-    train_rows = t.train.count()
-    rows = []
-    for name, prefix, m in ((LR_NAME, "lr", t.lr), (GBT_NAME, "gbt", t.gbt)):
-        if m is None:
-            continue
-        met = evaluate(PipelineModel(stages=t.test_stages() + [m]), t.test, prefix, num_bins)
-        rows.append((f"{run_prefix}_{name}", type(m).__name__, t.pipeline_id, met["pr_auc"],
-                     met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode,
-                     train_rows, test_rows))
+    models = [(name, prefix, m) for name, prefix, m in
+              ((LR_NAME, "lr", t.lr), (GBT_NAME, "gbt", t.gbt)) if m is not None]
+    with ThreadPoolExecutor(max_workers=len(models) + 2) as pool:
+        test_rows = pool.submit(t.test.count)
+        train_rows = pool.submit(t.train.count)
+        mets = [pool.submit(evaluate, PipelineModel(stages=t.test_stages() + [m]), t.test,
+                            prefix, num_bins) for _, prefix, m in models]
+        rows = [(f"{run_prefix}_{name}", type(m).__name__, t.pipeline_id, met["pr_auc"],
+                 met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode,
+                 train_rows.result(), test_rows.result())
+                for (name, _, m), met in zip(models, [f.result() for f in mets])]
     return spark.createDataFrame(rows, RUN)
 
 
