@@ -9,6 +9,7 @@ save/load round-trips through the standard ML persistence format.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
@@ -138,8 +139,16 @@ def model_features(fitted: PipelineModel) -> list[str]:
 
 def fit_features(df: DataFrame, relative_error: float = SC.DEFAULT_RELATIVE_ERROR,
                  handle_invalid: str = "skip", features_col: str = "features") -> PipelineModel:
-    """Fit vocabulary and quartiles on ``df``; return stages ending in the assembler."""
-    fitted = feature_stages(relative_error).fit(df)
+    """Fit vocabulary and quartiles on ``df``; return stages ending in the assembler.
+
+    The two fits are independent passes over the same rows and run at once.
+    """
+    base = TransactionFeatures()
+    with_base = base.transform(df)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        onehot = pool.submit(CategoryOneHot().fit, with_base)
+        scaler = pool.submit(IqrScaler(SCALED_SOURCES, relative_error).fit, with_base)
+        fitted = PipelineModel(stages=[base, onehot.result(), scaler.result()])
     assembler = VectorAssembler(inputCols=model_features(fitted), outputCol=features_col,
                                 handleInvalid=handle_invalid)
     return PipelineModel(stages=list(fitted.stages) + [assembler])
