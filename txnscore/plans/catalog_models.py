@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources.requests import expand_requests, to_requests
 from ..views import transactions, with_transactions
 from . import models as MD
-from .catalog import DIST_SQL, tx_long
+from .catalog import DIST_SQL, HASH_SQL, tx_long
 from .featurize import feature_table, fit_features
 from .registry import query, r6
 
@@ -135,8 +135,12 @@ def q_score_batch(spark, d):
     return MD.score(trained(spark, d).scorer(), transactions(spark, d))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", with_transactions() + f"""
+select trans_num, true as lr_same, true as gbt_same from transactions
+where {HASH_SQL.format(k='trans_num', salt=':split')} >= 0.8""")
 def q_model_roundtrip(spark, d):
+    """Every test-side row, scored before saving and after loading the whole
+    scorer: both models' outputs must be identical."""
     t = trained(spark, d)
     path = MD.save_model(t.scorer(), scratch_path(spark, "model"))
     before = MD.score(t.scorer(), t.test)
