@@ -1,6 +1,7 @@
 """Hand-made edge tables (FIXTURES.md section 5)."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from txnscore.schemas import TXN
 from txnscore.sources.messages import decode_messages, encode_messages
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 def txn_rows(spark, rows):
     """Transactions from partial dicts (missing fields NULL)."""
     names = TXN.fieldNames()
@@ -217,3 +221,22 @@ def test_drop_columns_and_feature_columns(spark):
     assert FE.feature_columns(kept, allow=["amt", "trans_hour"]) == ["amt", "trans_hour"]
     with pytest.raises(ValueError, match="age"):
         FE.feature_columns(kept, allow=["age"])
+
+
+def test_profile_counts_rows_while_writing(tmp_path):
+    """observe() in its own process: on Spark 4.1 an observed query leaves the
+    session unable to serialise the ML evaluators' closures afterwards."""
+    import subprocess
+    import sys
+    code = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+from txnscore.session import get_spark
+from txnscore.operators.metrics import profile
+from txnscore.views import transactions
+s = get_spark("local[2]", extra={{"spark.ui.showConsoleProgress": "false"}})
+df, obs = profile(transactions(s, "/root/testdata/sf0.001"), "input")
+df.write.parquet({str(tmp_path / "out")!r})
+print("ROWS", obs.get["rows"])
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
