@@ -13,7 +13,6 @@ from txnscore.operators import gates as G
 from txnscore.schemas import TXN
 from txnscore.sources.messages import decode_messages, encode_messages
 
-
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
