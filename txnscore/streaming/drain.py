@@ -20,8 +20,10 @@ from ..sources.messages import decode_messages
 def message_stream(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
                    options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming (key, value) source: a Kafka topic (``fmt='kafka'``, with
-    ``subscribe`` and ``kafka.bootstrap.servers`` in ``options``) read from
-    the earliest offset, or a folder of message files."""
+    ``subscribe`` and ``kafka.bootstrap.servers`` in ``options``; add
+    ``minPartitions`` to split a crowded topic partition over several tasks
+    and ``maxOffsetsPerTrigger`` to bound micro-batches) read from the
+    earliest offset, or a folder of message files."""
     if fmt == "kafka":
         r = spark.readStream.format("kafka").option("startingOffsets", "earliest")
         return r.options(**(options or {})).load().selectExpr(
@@ -32,6 +34,18 @@ def message_stream(spark: SparkSession, path: str | None = None, fmt: str = "par
     return r.load(path)
 
 
+def read_log(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
+             options: dict | None = None) -> DataFrame:
+    """The whole log as a batch (key, value) table: every offset of a Kafka
+    topic (earliest to latest) or every message file."""
+    if fmt == "kafka":
+        r = (spark.read.format("kafka").option("startingOffsets", "earliest")
+                  .option("endingOffsets", "latest"))
+        return r.options(**(options or {})).load().selectExpr(
+            "cast(key as string) as key", "cast(value as string) as value")
+    return spark.read.format(fmt).schema(MESSAGE).options(**(options or {})).load(path)
+
+
 def decoded_stream(messages: DataFrame, dedupe_within: str | None = None) -> DataFrame:
     """Typed transactions; with ``dedupe_within`` (e.g. '1 day') a re-sent
     key is dropped while within the event-time watermark (state is bounded)."""
