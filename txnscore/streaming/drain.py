@@ -26,7 +26,7 @@ def message_stream(spark: SparkSession, path: str | None = None, fmt: str = "par
     earliest offset, or a folder of message files."""
     if fmt == "kafka":
         r = spark.readStream.format("kafka").option("startingOffsets", "earliest")
-        return r.options(**(options or {})).load().selectExpr(
+        return r.options(**_kafka_read_options(options)).load().selectExpr(
             "cast(key as string) as key", "cast(value as string) as value")
     r = spark.readStream.format(fmt).schema(MESSAGE).options(**(options or {}))
     if max_files_per_trigger:
@@ -34,6 +34,14 @@ def message_stream(spark: SparkSession, path: str | None = None, fmt: str = "par
     return r.load(path)
 
 
+def _kafka_read_options(options: dict | None) -> dict:
+    """Reading needs ``subscribe``; a writer's ``topic`` option names the same topic."""
+    opts = dict(options or {})
+    if not ({"subscribe", "assign", "subscribePattern"} & set(opts)) and "topic" in opts:
+        opts["subscribe"] = opts.pop("topic")
+    return opts
+
+
 def read_log(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
              options: dict | None = None) -> DataFrame:
     """The whole log as a batch (key, value) table: every offset of a Kafka
@@ -41,7 +49,7 @@ def read_log(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
     if fmt == "kafka":
         r = (spark.read.format("kafka").option("startingOffsets", "earliest")
                   .option("endingOffsets", "latest"))
-        return r.options(**(options or {})).load().selectExpr(
+        return r.options(**_kafka_read_options(options)).load().selectExpr(
             "cast(key as string) as key", "cast(value as string) as value")
     return spark.read.format(fmt).schema(MESSAGE).options(**(options or {})).load(path)
 
