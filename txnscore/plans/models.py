@@ -24,6 +24,7 @@ from ..operators import balance as B
 from ..operators import metrics as M
 from ..operators.split import split
 from ..schemas import KEY, LABEL, RUN
+from ..session import ensure_checkpoint_dir
 from .featurize import fit_features
 
 # Model names (as the scoring response and counter labels) and
@@ -103,6 +104,8 @@ def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
     """Fit LR (and GBT) on rows that carry the ``features`` vector."""
     # The training slice is read ~100 times by L-BFGS and once per tree level
     # by GBT: keep it, spilling to disk under memory pressure.
+    # GBT cuts its lineage every 10 trees into the session's checkpoint folder.
+    ensure_checkpoint_dir(assembled.sparkSession)
     # Both fits run at once from two driver threads (as CrossValidator's
     # ``parallelism``): their jobs interleave on the cluster, and each model
     # is the same as when fitted alone.
