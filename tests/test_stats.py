@@ -80,6 +80,9 @@ def test_iqr_ignores_nan_and_handles_constant(spark):
     const = spark.createDataFrame([(1.0,), (1.0,), (1.0,), (9.0,)], "amt double")
     assert iqr(const, ["amt"], 0.0) == {"amt": 0.0}
     assert iqr_table(const, ["amt"]).first()["iqr"] == 0.0
+    from txnscore.operators.scale import robust_scale, robust_scale_vector
+    for scaled in (robust_scale(const, ["amt"], 0.0), robust_scale_vector(const, ["amt"], 0.0)):
+        assert [r["amt_scaled"] for r in scaled.collect()] == [0.0, 0.0, 0.0, 0.0]
 
 
 def test_pr_auc_matches_brute_force_and_evaluator(spark):
