@@ -215,3 +215,15 @@ def q_stream_model_counts(spark, d):
     out = scratch_path(spark, "model-counts")
     SS.run_counts(counts, out, scratch_path(spark, "ckpt")).awaitTermination()
     return SS.current_counts(spark, out)
+
+
+@query("gate_output_nonempty", with_transactions() + """
+select 'output_nonempty' as gate, cast(count(*) as bigint) as observed,
+       cast(1 as bigint) as expected, count(*) >= 1 as passed from transactions""")
+def q_gate_output_nonempty(spark, d):
+    """The written feature dataset is read back and counted (rows, not files)."""
+    from ..operators.gates import gate_nonempty
+    from ..sources.files import read_dataset, write_dataset
+    ft = feature_table(exact_features(spark, d), transactions(spark, d), keep=[KEY, LABEL])
+    path = write_dataset(ft, scratch_path(spark, "features"))
+    return gate_nonempty(read_dataset(spark, path), "output_nonempty")
