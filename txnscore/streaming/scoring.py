@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import class_name
 from ..functions.time import instant_to_wall, wall_to_instant
+from ..operators.stats import default_parallelism
 from ..schemas import EVENT_TIME
 
 COUNT_KEYS = ["window_start", "window_end", "prediction_class", "model_name"]
@@ -54,13 +55,29 @@ def _batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_counts(counts: DataFrame, path: str, checkpoint: str,
-               available_now: bool = True) -> StreamingQuery:
+# State partitions of the counter: its state is a few rows per day, model
+# and class, and map-side partial aggregation feeds it one row per group and
+# task, so it never needs the (large) batch shuffle setting.
+MAX_STATE_PARTITIONS = 64
+
+
+def run_counts(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+               state_partitions: int | None = None) -> StreamingQuery:
+    spark = counts.sparkSession
+    n = state_partitions or min(MAX_STATE_PARTITIONS, default_parallelism(spark))
     w = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
                .foreachBatch(_batch_writer(path)))
     if available_now:
         w = w.trigger(availableNow=True)
-    return w.start()
+    # The stream copies the session conf when it starts (and a restart from
+    # the checkpoint keeps the recorded count), so set it just for start().
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 SNAPSHOTS = "_snapshots"
