@@ -112,10 +112,10 @@ def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
     train_set = assembled.select(KEY, "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not with_gbt:
-            return lr_estimator().fit(train_set), None
+            return train_lr(train_set), None
         with ThreadPoolExecutor(max_workers=2) as pool:
-            lr = pool.submit(lr_estimator().fit, train_set)
-            gbt = pool.submit(gbt_estimator(seed=seed).fit, train_set)
+            lr = pool.submit(train_lr, train_set)
+            gbt = pool.submit(train_gbt, train_set, seed)
             return lr.result(), gbt.result()
     finally:
         train_set.unpersist()
@@ -133,16 +133,32 @@ def train_from_tables(features: PipelineModel, train_table: DataFrame, test_tabl
                    eval_stages=[assembler])
 
 
+def train_lr(assembled: DataFrame):
+    """Logistic regression, 100 iterations, on rows with a ``features`` vector."""
+    return lr_estimator().fit(assembled)
+
+
+def train_gbt(assembled: DataFrame, seed: int = 42):
+    """Gradient-boosted trees, 20 trees of depth 5, on rows with ``features``."""
+    return gbt_estimator(seed=seed).fit(assembled)
+
+
+def unpack_scores(transformed: DataFrame) -> list:
+    """One struct<fraud_probability, is_fraud_prediction> column per model
+    found in a transformed DataFrame (probability of class 1, 0/1 decision)."""
+    structs = []
+    if "lr_probability" in transformed.columns:
+        structs.append(score_struct("lr").alias(LR_NAME))
+    if "gbt_probability" in transformed.columns:
+        structs.append(score_struct("gbt").alias(GBT_NAME))
+    return structs
+
+
 def score(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()) -> DataFrame:
     """Score raw transactions with every model in ``model``: key, then one
     struct<fraud_probability, is_fraud_prediction> per model."""
     out = model.transform(raw)
-    structs = []
-    if "lr_probability" in out.columns:
-        structs.append(score_struct("lr").alias(LR_NAME))
-    if "gbt_probability" in out.columns:
-        structs.append(score_struct("gbt").alias(GBT_NAME))
-    return out.select(key, *keep, *structs)
+    return out.select(key, *keep, *unpack_scores(out))
 
 
 # Raw columns the saved scorer reads; NULL/NaN in any of them would make the
@@ -205,9 +221,13 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_model(path: str) -> PipelineModel:
+    """The saved scorer: feature stages and both models in one PipelineModel."""
     return PipelineModel.load(path)
 
 
+load_models = load_model
+
+
 def _assembler_index(model: PipelineModel) -> int:
     from pyspark.ml.feature import VectorAssembler as VA
     for i, s in enumerate(model.stages):
@@ -237,9 +257,4 @@ def score_requests(model: PipelineModel, requests: DataFrame, id_col: str = "req
     valid, rejects = split_invalid(wide, names)
     idx = _assembler_index(model)
     out = PipelineModel(stages=list(model.stages[idx:])).transform(valid)
-    structs = []
-    if "lr_probability" in out.columns:
-        structs.append(score_struct("lr").alias(LR_NAME))
-    if "gbt_probability" in out.columns:
-        structs.append(score_struct("gbt").alias(GBT_NAME))
-    return out.select(id_col, *structs), rejects.select(id_col, "reason")
+    return out.select(id_col, *unpack_scores(out)), rejects.select(id_col, "reason")
