@@ -226,3 +226,12 @@ def test_run_metrics_equal_spark_evaluators(spark):
     f1 = MulticlassClassificationEvaluator(labelCol="is_fraud", predictionCol="lr_prediction",
                                            metricName="f1").evaluate(model.transform(t.test))
     assert met["f1"] == pytest.approx(f1, abs=1e-12)
+
+
+def test_reference_order_training_runs_and_leaks(spark):
+    t = MD.train(transactions(spark, SF_SMALL), reference_order=True, with_gbt=False)
+    assert t.split_mode == "random"
+    shared = (t.train.where("is_fraud = 1").select("trans_num").distinct()
+                .join(t.test.where("is_fraud = 1").select("trans_num").distinct(), "trans_num"))
+    assert shared.count() > 0
+    assert MD.runs(t, "old").count() == 1

@@ -84,10 +84,17 @@ class Trained:
         return PipelineModel(stages=stages)
 
 
-def train(df: DataFrame, split_mode: str = "hash", balance_mode: str = "exact",
+def train(df: DataFrame, split_mode: str | None = None, balance_mode: str = "exact",
           relative_error: float = 0.001, with_gbt: bool = True, seed: int = 42,
           reference_order: bool = False) -> Trained:
-    """Fit the feature stages and both models."""
+    """Fit the feature stages and both models.
+
+    ``split_mode`` defaults to ``hash``; with ``reference_order`` it defaults
+    to ``random`` so that, as in the old order, copies of one fraud row can
+    land on both sides (a key-hash split would keep them together).
+    """
+    if split_mode is None:
+        split_mode = "random" if reference_order else "hash"
     if reference_order:
         feats = fit_features(df, relative_error)
         balanced = B.balance(df, mode=balance_mode, seed=seed, copy_col=None)
@@ -102,13 +109,13 @@ def train(df: DataFrame, split_mode: str = "hash", balance_mode: str = "exact",
 
 def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
     """Fit LR (and GBT) on rows that carry the ``features`` vector."""
-    # The training slice is read ~100 times by L-BFGS and once per tree level
-    # by GBT: keep it, spilling to disk under memory pressure.
     # GBT cuts its lineage every 10 trees into the session's checkpoint folder.
     ensure_checkpoint_dir(assembled.sparkSession)
-    # Both fits run at once from two driver threads (as CrossValidator's
-    # ``parallelism``): their jobs interleave on the cluster, and each model
-    # is the same as when fitted alone.
+    # The training slice is read ~100 times by L-BFGS and once per tree level
+    # by GBT: keep it, spilling to disk under memory pressure. Both fits run
+    # at once from two driver threads (as CrossValidator's ``parallelism``):
+    # their jobs interleave on the cluster, and each model is the same as
+    # when fitted alone.
     train_set = assembled.select(KEY, "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not with_gbt:
