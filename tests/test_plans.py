@@ -79,3 +79,13 @@ def test_hot_value_in_quantiles(spark):
     import math
     for p, v in got.items():
         assert v == s[math.ceil(p * len(s)) - 1]
+
+
+def test_label_filter_and_pruning_reach_the_parquet_reader(spark, tmp_path):
+    from txnscore.sources.files import read_dataset, write_dataset
+    from txnscore.views import transactions
+    path = write_dataset(transactions(spark, SF_SMALL), str(tmp_path / "tx"))
+    fraud = B.by_class(read_dataset(spark, path), 1).select("trans_num", "amt")
+    plan = _plan(fraud)
+    assert "PushedFilters: [IsNotNull(is_fraud), EqualTo(is_fraud,1)]" in plan
+    assert "ReadSchema: struct<trans_num:string,amt:double,is_fraud:int>" in plan
