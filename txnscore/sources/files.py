@@ -12,7 +12,7 @@ from ..schemas import TXN
 CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def _csv_options(header: bool = True) -> dict[str, str]:
+def csv_options(header: bool = True) -> dict[str, str]:
     return {"header": str(header).lower(), "timestampNTZFormat": CSV_TIME_FORMAT,
             "timestampFormat": CSV_TIME_FORMAT, "mode": "PERMISSIVE"}
 
@@ -30,7 +30,7 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
     numbers).
     """
     if fmt == "csv":
-        r = spark.read.options(**_csv_options())
+        r = spark.read.options(**csv_options())
         if infer or schema is None:
             return r.option("inferSchema", "true").csv(path)
         text = r.csv(path)
@@ -59,7 +59,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     """Write in parallel (one file per task, no ``coalesce(1)``)."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.options(**_csv_options())
+        w = w.options(**csv_options())
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

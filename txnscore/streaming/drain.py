@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import wall_to_instant
 from ..schemas import EVENT_TIME, KEY, MESSAGE
-from ..sources.files import _csv_options
+from ..sources.files import csv_options
 from ..sources.messages import decode_messages
 
 
@@ -71,7 +71,7 @@ def land(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     """Append rows to a dataset with the exactly-once file sink."""
     w = rows.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if fmt == "csv":
-        w = w.options(**_csv_options())
+        w = w.options(**csv_options())
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
