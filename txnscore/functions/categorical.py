@@ -35,4 +35,5 @@ def clean_value(c) -> Column:
 
 
 def class_name(c) -> Column:
+    """'fraud' for a 1 decision, 'genuine' otherwise."""
     return F.when(_c(c) == 1, F.lit(FRAUD)).otherwise(F.lit(GENUINE))

@@ -22,6 +22,7 @@ def to_radians_terms(lat1, lon1, lat2, lon2) -> dict[str, Column]:
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
+    """Great-circle distance in km between two points given in degrees."""
     t = to_radians_terms(lat1, lon1, lat2, lon2)
     a = (F.pow(F.sin(t["dlat"] / 2), 2)
          + F.cos(t["lat1"]) * F.cos(t["lat2"]) * F.pow(F.sin(t["dlon"] / 2), 2))

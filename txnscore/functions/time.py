@@ -22,6 +22,7 @@ def parse_time(c, fmt: str | None = None) -> Column:
 
 
 def trans_hour(c) -> Column:
+    """Hour of day, 0-23."""
     return F.hour(_c(c))
 
 

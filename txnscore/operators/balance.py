@@ -16,6 +16,7 @@ OVERSAMPLE_SALT = ":os"
 
 
 def by_class(df: DataFrame, value: int, label: str = LABEL) -> DataFrame:
+    """Rows of one class."""
     return df.where(F.col(label) == F.lit(value))
 
 

@@ -29,12 +29,14 @@ DEFAULT_MAX_CATEGORIES = 10_000
 
 
 def add_time_features(df: DataFrame, src: str = EVENT_TIME) -> DataFrame:
+    """Add trans_hour and trans_day_of_week from the event time."""
     return df.withColumns({"trans_hour": trans_hour(src),
                            "trans_day_of_week": trans_day_of_week(src)})
 
 
 def add_distance(df: DataFrame, coords: Sequence[str] = COORDS,
                  out: str = "distance_km") -> DataFrame:
+    """Add the holder-merchant great-circle distance in km."""
     return df.withColumn(out, haversine_km(*coords))
 
 
@@ -74,6 +76,7 @@ def check_name_clash(vocab: Sequence[str], prefix: str = CATEGORY_PREFIX) -> Non
 
 def one_hot_columns(col: str, vocab: Sequence[str], drop_first: bool = True,
                     prefix: str = CATEGORY_PREFIX) -> dict[str, Column]:
+    """Name -> 0/1 expression for every kept category (the baseline dropped)."""
     kept = list(vocab)[1:] if drop_first else list(vocab)
     return {prefix + clean_name(v): flag(col, v) for v in kept}
 
@@ -85,6 +88,7 @@ def one_hot(df: DataFrame, col: str, vocab: Sequence[str], drop_first: bool = Tr
 
 
 def drop_columns(df: DataFrame, names: Sequence[str] = NON_FEATURE_COLUMNS) -> DataFrame:
+    """Drop the listed columns that exist (absent names are ignored)."""
     return df.drop(*[n for n in names if n in df.columns])
 
 
@@ -155,5 +159,6 @@ def valid_rows(df: DataFrame, cols: Sequence[str], on_invalid: str = "reject",
 
 
 def reject_rows(df: DataFrame, cols: Sequence[str], label: str | None = None) -> DataFrame:
+    """Rows with a NULL/NaN checked column or a bad label, with the reason."""
     return split_invalid(df, cols, label)[1]
 

@@ -34,12 +34,14 @@ def gate_schema(df: DataFrame, required: Sequence[str], name: str = "schema") ->
 
 
 def gate_nonempty(df: DataFrame, name: str = "nonempty") -> DataFrame:
+    """At least one row."""
     agg = df.agg(F.count(F.lit(1)).alias("rows"))
     return _rows(agg, [_gate(name, F.col("rows"), F.lit(1), F.col("rows") >= 1)])
 
 
 def gate_class_present(df: DataFrame, label: str = LABEL, minority: int = 1,
                        name: str = "class_present") -> DataFrame:
+    """At least one minority-class row (else the oversampling ratio is undefined)."""
     agg = df.agg(F.count(F.when(F.col(label) == minority, 1)).alias("minority"))
     return _rows(agg, [_gate(name, F.col("minority"), F.lit(1), F.col("minority") >= 1)])
 
@@ -103,6 +105,7 @@ def gate_table(spark, rows) -> DataFrame:
 
 
 def union_gates(*gates: DataFrame) -> DataFrame:
+    """All gate rows in one table."""
     out = gates[0]
     for g in gates[1:]:
         out = out.unionByName(g)

@@ -61,6 +61,7 @@ def scale_columns(df: DataFrame, ranges: Mapping[str, float], suffix: str = "_sc
 def robust_scale(df: DataFrame, cols: Sequence[str],
                  relative_error: float = DEFAULT_RELATIVE_ERROR,
                  suffix: str = "_scaled", drop_source: bool = True) -> DataFrame:
+    """Fit the quartile ranges of ``cols`` and scale them in one projection."""
     return scale_columns(df, iqr(df, cols, relative_error), suffix, drop_source)
 
 

@@ -59,6 +59,7 @@ def split_random(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int
 
 def split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), mode: str = "hash",
           key: str = KEY, seed: int = 42) -> list[DataFrame]:
+    """Train/test split: ``hash`` (default, repeatable) or ``random`` (randomSplit)."""
     if mode == "hash":
         return split_hash(df, weights, key)
     if mode == "random":

@@ -62,6 +62,7 @@ class CategoryOneHot(Estimator, _OneHotParams, DefaultParamsReadable, DefaultPar
 
 
 class CategoryOneHotModel(Model, _OneHotParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted one-hot: the saved vocabulary."""
     vocabulary = Param(Params._dummy(), "vocabulary", "sorted category values",
                        typeConverter=TypeConverters.toListString)
 
@@ -108,6 +109,7 @@ class IqrScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultParamsWr
 
 
 class IqrScalerModel(Model, _ScalerParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted scaler: the saved quartile range per column."""
     ranges = Param(Params._dummy(), "ranges", "quartile range per input column",
                    typeConverter=TypeConverters.toListFloat)
 
@@ -126,6 +128,7 @@ class IqrScalerModel(Model, _ScalerParams, DefaultParamsReadable, DefaultParamsW
 
 
 def feature_stages(relative_error: float = SC.DEFAULT_RELATIVE_ERROR) -> Pipeline:
+    """The unfitted feature Pipeline (without the assembler)."""
     return Pipeline(stages=[TransactionFeatures(), CategoryOneHot(),
                             IqrScaler(SCALED_SOURCES, relative_error)])
 

@@ -59,6 +59,7 @@ def drain_log(spark: SparkSession, log_path: str, landed: str, checkpoint: str,
 
 @dataclass
 class Prepared:
+    """Output of ``prepare``: fitted feature stages, dataset paths and row counts."""
     features: PipelineModel
     train_path: str
     test_path: str

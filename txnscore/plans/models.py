@@ -41,6 +41,7 @@ def _cols(prefix: str) -> dict[str, str]:
 
 
 def lr_estimator(features_col: str = "features") -> LogisticRegression:
+    """LogisticRegression with its own output column names."""
     c = _cols("lr")
     return LogisticRegression(featuresCol=features_col, labelCol=LABEL, maxIter=LR_MAX_ITER,
                               rawPredictionCol=c["raw"], probabilityCol=c["probability"],
@@ -48,6 +49,7 @@ def lr_estimator(features_col: str = "features") -> LogisticRegression:
 
 
 def gbt_estimator(features_col: str = "features", seed: int = 42) -> GBTClassifier:
+    """GBTClassifier with its own output column names."""
     c = _cols("gbt")
     g = GBTClassifier(featuresCol=features_col, labelCol=LABEL, maxIter=GBT_MAX_ITER,
                       maxDepth=GBT_MAX_DEPTH, seed=seed, predictionCol=c["prediction"],
@@ -56,6 +58,7 @@ def gbt_estimator(features_col: str = "features", seed: int = 42) -> GBTClassifi
 
 
 def score_struct(prefix: str):
+    """struct<fraud_probability, is_fraud_prediction> of one model."""
     c = _cols(prefix)
     return F.struct(positive_probability(c["probability"]).alias("fraud_probability"),
                     F.col(c["prediction"]).cast("int").alias("is_fraud_prediction"))
@@ -63,6 +66,7 @@ def score_struct(prefix: str):
 
 @dataclass
 class Trained:
+    """Fitted feature stages and models, with the rows they were fitted and tested on."""
     features: PipelineModel
     lr: object
     gbt: object | None
@@ -223,6 +227,7 @@ def log_run(run_rows: DataFrame, path: str) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> str:
+    """Save a PipelineModel (overwrite)."""
     model.write().overwrite().save(path)
     return path
 

@@ -63,6 +63,7 @@ MAX_STATE_PARTITIONS = 64
 
 def run_counts(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                state_partitions: int | None = None) -> StreamingQuery:
+    """Start the counter: update mode, one idempotent folder per micro-batch."""
     spark = counts.sparkSession
     n = state_partitions or min(MAX_STATE_PARTITIONS, default_parallelism(spark))
     w = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)

@@ -16,10 +16,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table of ``sf_dir`` by name."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
+    """Map event rows to transaction columns (FIXTURES.md section 2)."""
     uid, eid = F.col("user_id"), F.col("event_id")
     lat = (F.lit(25) + uid % 25).cast("double")
     lon = (F.lit(-120) + uid % 50).cast("double")
@@ -41,6 +43,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The `transactions` view over the whole `events` table of ``sf_dir``."""
     return transactions_from_events(table(spark, sf_dir, "events"))
 
 
