@@ -89,3 +89,10 @@ def test_label_filter_and_pruning_reach_the_parquet_reader(spark, tmp_path):
     plan = _plan(fraud)
     assert "PushedFilters: [IsNotNull(is_fraud), EqualTo(is_fraud,1)]" in plan
     assert "ReadSchema: struct<trans_num:string,amt:double,is_fraud:int>" in plan
+
+
+def test_partitioned_dataset_prunes_folders(spark):
+    df = E.queries()["scan_dataset"](spark, SF_SMALL).where("category = 'purchase'")
+    plan = _plan(df)
+    assert "PartitionFilters: [isnotnull(category" in plan and "(category#" in plan
+    assert df.count() == 202
