@@ -71,8 +71,8 @@ def main(argv: list[str] | None = None) -> int:
         print(prep.counts)
     elif args.cmd == "train":
         features = PipelineModel.load(os.path.join(args.prepared, "feature_model"))
-        prep = J.Prepared(features, os.path.join(args.prepared, "train"),
-                          os.path.join(args.prepared, "test"),
+        prep = J.Prepared(features, os.path.join(args.prepared, "features", "side=train"),
+                          os.path.join(args.prepared, "features", "side=test"),
                           os.path.join(args.prepared, "rejects"), {})
         J.train_and_log(spark, prep, args.model, args.runs)
         spark.read.parquet(args.runs).show(truncate=False)

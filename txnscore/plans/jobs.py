@@ -92,17 +92,29 @@ def prepare(spark: SparkSession, landed: str, out_dir: str, relative_error: floa
         ("class_present_train", c["fraud_train"], 1, c["fraud_train"] >= 1)]))
     valid = tagged.where(ok).drop("reason")
     rejects = tagged.where(~ok)
-    train_raw, test_raw = valid.where(train), valid.where(~train)
+    train_raw = valid.where(train)
     feats = fit_features(train_raw, relative_error)
-    balanced = B.balance(train_raw, mode=balance_mode, copy_col=None,
-                         counts=(c["legit_train"], c["fraud_train"]))
-    keep = [KEY, LABEL]
-    paths = {n: os.path.join(out_dir, n) for n in ("train", "test", "rejects")}
-    observed = {}
-    for name, df in (("train", feature_table(feats, balanced, keep)),
-                     ("test", feature_table(feats, test_raw, keep)), ("rejects", rejects)):
-        write_dataset(df, paths[name])
-        observed[name] = read_dataset(spark, paths[name]).count()
+
+    # One dataset partitioned by side, written by one job: legit training
+    # rows and all test rows pass straight through; only the training side's
+    # fraud rows are spread and repeated (test rows are never oversampled).
+    ratio = c["legit_train"] / c["fraud_train"]
+    plain = valid.where(~(train & (y == 1)))
+    copies = B.oversample(train_raw, mode=balance_mode, ratio=ratio,
+                          minority_rows=c["fraud_train"], copy_col=None)
+    sided = B.union_all(plain, copies).withColumn(
+        "side", F.when(train, F.lit("train")).otherwise(F.lit("test")))
+    features_path = os.path.join(out_dir, "features")
+    write_dataset(feature_table(feats, sided, [KEY, LABEL, "side"]), features_path,
+                  partition_by=["side"])
+    rejects_path = write_dataset(rejects, os.path.join(out_dir, "rejects"))
+    paths = {"train": f"{features_path}/side=train", "test": f"{features_path}/side=test",
+             "rejects": rejects_path}
+    observed = {r["side"]: r["count"] for r in
+                read_dataset(spark, features_path).groupBy("side").count().collect()}
+    observed["rejects"] = read_dataset(spark, rejects_path).count()
+    for side in ("train", "test"):
+        observed.setdefault(side, 0)
     feats.write().overwrite().save(os.path.join(out_dir, "feature_model"))
     G.enforce(G.gate_table(spark, [("train_nonempty", observed["train"], 1, observed["train"] >= 1)]))
     return Prepared(feats, paths["train"], paths["test"], paths["rejects"], observed)
