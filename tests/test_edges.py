@@ -239,3 +239,14 @@ print("ROWS", obs.get["rows"])
 """
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+
+
+def test_land_partitioned_by_event_date(spark, tmp_path):
+    from txnscore.streaming.drain import decoded_stream, land, message_stream
+    df = txn_rows(spark, [base(1), base(2, trans_date_trans_time=dt.datetime(2024, 1, 2, 3))])
+    encode_messages(df).write.parquet(str(tmp_path / "log"))
+    rows = decoded_stream(message_stream(spark, str(tmp_path / "log"))).withColumn(
+        "event_date", F.to_date("trans_date_trans_time"))
+    land(rows, str(tmp_path / "out"), str(tmp_path / "ck"), partition_by=["event_date"]).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r["trans_num"] for r in out.where("event_date = '2024-01-02'").collect()) == ["2"]

@@ -67,9 +67,13 @@ def decoded_stream(messages: DataFrame, dedupe_within: str | None = None) -> Dat
 
 
 def land(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-         available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Append rows to a dataset with the exactly-once file sink."""
+         available_now: bool = True, processing_time: str | None = None,
+         partition_by: list[str] | None = None) -> StreamingQuery:
+    """Append rows to a dataset with the exactly-once file sink; with
+    ``partition_by`` (e.g. an event-date column) later reads prune folders."""
     w = rows.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if fmt == "csv":
         w = w.options(**csv_options())
     if available_now:
