@@ -17,3 +17,19 @@ def test_every_query_has_a_callable():
 def test_query_matches_duckdb(spark, name):
     ok, n, detail = compare(spark, name, E.queries()[name], SQL[name], SF_SMALL)
     assert ok, detail
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_types_match_duckdb(spark, name):
+    import duckdb
+    from oracle import TABLES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    duck = {r[0]: r[1] for r in con.execute("describe " + SQL[name]).fetchall()}
+    spark_types = dict(E.queries()[name](spark, SF_SMALL).dtypes)
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck
