@@ -234,4 +234,5 @@ def test_reference_order_training_runs_and_leaks(spark):
     shared = (t.train.where("is_fraud = 1").select("trans_num").distinct()
                 .join(t.test.where("is_fraud = 1").select("trans_num").distinct(), "trans_num"))
     assert shared.count() > 0
-    assert MD.runs(t, "old").count() == 1
+    runs = MD.runs(t, "old").collect()
+    assert len(runs) == 1 and runs[0]["train_order"] == "reference"

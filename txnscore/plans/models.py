@@ -78,6 +78,9 @@ class Trained:
     # Stages that turn ``test`` rows into model input: every feature stage for
     # raw rows, only the assembler for an already written feature table.
     eval_stages: list | None = None
+    # "split_first" (leak-free default) or "reference" (fit and balance on
+    # everything, then split).
+    train_order: str = "split_first"
 
     def test_stages(self) -> list:
         return list(self.features.stages) if self.eval_stages is None else list(self.eval_stages)
@@ -108,7 +111,8 @@ def train(df: DataFrame, split_mode: str | None = None, balance_mode: str = "exa
         feats = fit_features(train_raw, relative_error)
         train_raw = B.balance(train_raw, mode=balance_mode, seed=seed, copy_col=None)
     lr, gbt = fit_models(feats.transform(train_raw), with_gbt, seed)
-    return Trained(feats, lr, gbt, train_raw, test_raw, split_mode, balance_mode)
+    return Trained(feats, lr, gbt, train_raw, test_raw, split_mode, balance_mode,
+                   train_order="reference" if reference_order else "split_first")
 
 
 def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
@@ -214,7 +218,7 @@ def runs(t: Trained, run_prefix: str = "run", num_bins: int = 1000) -> DataFrame
         mets = [pool.submit(evaluate, PipelineModel(stages=t.test_stages() + [m]), t.test,
                             prefix, num_bins) for _, prefix, m in models]
         rows = [(f"{run_prefix}_{name}", type(m).__name__, t.pipeline_id, met["pr_auc"],
-                 met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode,
+                 met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode, t.train_order,
                  train_rows.result(), test_rows.result())
                 for (name, _, m), met in zip(models, [f.result() for f in mets])]
     return spark.createDataFrame(rows, RUN)

@@ -38,6 +38,7 @@ RUN = T.StructType([
     T.StructField("f1_fraud", T.DoubleType()),
     T.StructField("split_mode", T.StringType()),
     T.StructField("balance_mode", T.StringType()),
+    T.StructField("train_order", T.StringType()),
     T.StructField("train_rows", T.LongType()),
     T.StructField("test_rows", T.LongType()),
 ])
