@@ -87,7 +87,7 @@ def _key_digest(df: DataFrame, key: str) -> DataFrame:
 
 
 def _reconcile_checksum(source: DataFrame, log: DataFrame, key: str, log_key: str) -> DataFrame:
-    a = _key_digest(source, key).collect()[0]
+    a = _key_digest(source, key).first()
     b = _key_digest(log, log_key).first()
     same = a["h1"] == b["h1"] and a["h2"] == b["h2"]
     diff = 0 if same else 1
