@@ -250,3 +250,15 @@ def test_land_partitioned_by_event_date(spark, tmp_path):
     land(rows, str(tmp_path / "out"), str(tmp_path / "ck"), partition_by=["event_date"]).awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r["trans_num"] for r in out.where("event_date = '2024-01-02'").collect()) == ["2"]
+
+
+def test_optional_gender_and_category_columns(spark):
+    from txnscore.plans import models as MD
+    from txnscore.plans.featurize import fit_features
+    from txnscore.views import transactions
+    raw = transactions(spark, "/root/testdata/sf0.001").drop("gender", "category")
+    feats = fit_features(raw)
+    names = feats.stages[-1].getInputCols()
+    assert "gender_M" not in names and not [n for n in names if n.startswith("cat_")]
+    t = MD.train(raw, with_gbt=False)
+    assert MD.score(t.scorer(), raw).count() == 1000

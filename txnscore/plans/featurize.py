@@ -55,7 +55,9 @@ class CategoryOneHot(Estimator, _OneHotParams, DefaultParamsReadable, DefaultPar
         self._set(inputCol=inputCol, prefix=prefix, maxCategories=maxCategories)
 
     def _fit(self, df: DataFrame) -> "CategoryOneHotModel":
-        vocab = FE.fit_vocabulary(df, self.getInputCol(), self.getOrDefault("maxCategories"))
+        # Like the flag, the one-hot columns exist only if the source column does.
+        vocab = (FE.fit_vocabulary(df, self.getInputCol(), self.getOrDefault("maxCategories"))
+                 if self.getInputCol() in df.columns else [])
         m = CategoryOneHotModel()
         m._set(inputCol=self.getInputCol(), prefix=self.getOrDefault("prefix"), vocabulary=vocab)
         return m
@@ -75,6 +77,8 @@ class CategoryOneHotModel(Model, _OneHotParams, DefaultParamsReadable, DefaultPa
                                        prefix=self.getOrDefault("prefix")))
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        if not self.getOrDefault("vocabulary"):
+            return df
         return FE.one_hot(df, self.getInputCol(), self.getOrDefault("vocabulary"),
                           prefix=self.getOrDefault("prefix"))
 
@@ -133,11 +137,14 @@ def feature_stages(relative_error: float = SC.DEFAULT_RELATIVE_ERROR) -> Pipelin
                             IqrScaler(SCALED_SOURCES, relative_error)])
 
 
-def model_features(fitted: PipelineModel) -> list[str]:
-    """The allow-list of model inputs, saved with the model (never 'all but the label')."""
+def model_features(fitted: PipelineModel, available: Sequence[str] | None = None) -> list[str]:
+    """The allow-list of model inputs, saved with the model (never 'all but the
+    label'); base features absent from ``available`` (e.g. no gender column,
+    so no flag) are left out."""
     onehot = next(s for s in fitted.stages if isinstance(s, CategoryOneHotModel))
     scaler = next(s for s in fitted.stages if isinstance(s, IqrScalerModel))
-    return BASE_FEATURES + onehot.outputCols() + scaler.outputCols()
+    base = [c for c in BASE_FEATURES if available is None or c in available]
+    return base + onehot.outputCols() + scaler.outputCols()
 
 
 def fit_features(df: DataFrame, relative_error: float = SC.DEFAULT_RELATIVE_ERROR,
@@ -152,8 +159,8 @@ def fit_features(df: DataFrame, relative_error: float = SC.DEFAULT_RELATIVE_ERRO
         onehot = pool.submit(CategoryOneHot().fit, with_base)
         scaler = pool.submit(IqrScaler(SCALED_SOURCES, relative_error).fit, with_base)
         fitted = PipelineModel(stages=[base, onehot.result(), scaler.result()])
-    assembler = VectorAssembler(inputCols=model_features(fitted), outputCol=features_col,
-                                handleInvalid=handle_invalid)
+    assembler = VectorAssembler(inputCols=model_features(fitted, with_base.columns),
+                                outputCol=features_col, handleInvalid=handle_invalid)
     return PipelineModel(stages=list(fitted.stages) + [assembler])
 
 
