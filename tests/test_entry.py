@@ -34,3 +34,15 @@ def test_entry_and_queries_in_a_plain_session():
     for name in ("stream_score_counts", "pr_auc", "scan_csv"):
         n = len(duck("/root/testdata/sf0.001", E.oracle_sql()[name])[1])
         assert f"QUERY {name} {n}" in out.stdout, out.stdout
+
+
+def test_bench_prints_one_json_line():
+    import json
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py"), "class_balance", "pr_auc"],
+                         capture_output=True, text=True, timeout=600, env=env)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1, out.stdout + out.stderr[-2000:]
+    d = json.loads(lines[0])
+    assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"class_balance", "pr_auc"}
+    assert d["value"] == round(sum(d["queries"].values()), 3) and "errors" not in d
