@@ -46,3 +46,23 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"class_balance", "pr_auc"}
     assert d["value"] == round(sum(d["queries"].values()), 3) and "errors" not in d
+
+
+def test_scratch_paths_without_a_configured_checkpoint_dir(tmp_path):
+    """With no spark.checkpoint.dir anywhere, a local folder is registered on
+    the SparkContext (the session conf cannot be changed for it)."""
+    conf_dir = tmp_path / "conf"
+    conf_dir.mkdir()
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from txnscore.session import get_spark, scratch_path
+s = get_spark("local[2]", extra={{"spark.ui.showConsoleProgress": "false"}})
+print("PATH", scratch_path(s, "x"))
+import __spark_entry__ as E
+print("ROWS", E.queries()["stream_drain"](s, "/root/testdata/sf0.001").count())
+"""
+    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=600, env=env)
+    assert "txnscore-ckpt-" in out.stdout and "ROWS 1000" in out.stdout, out.stderr[-2000:]

@@ -45,18 +45,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins. Only when it is unset (local tests) a
-    scratch folder is created and registered.
+    scratch folder is created and registered on the SparkContext (the
+    session conf cannot be changed for a core setting).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="txnscore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
-    # setCheckpointDir makes a fresh sub-folder on every call: register once.
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(d)
+    current = sc._jsc.sc().getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        # setCheckpointDir makes a fresh sub-folder on every call: register once.
+        if current.isEmpty():
+            sc.setCheckpointDir(d)
+        return d
+    if not current.isEmpty():
+        return current.get()
+    d = tempfile.mkdtemp(prefix="txnscore-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 
