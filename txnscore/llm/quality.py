@@ -28,16 +28,18 @@ de la le et les des en un du une que est pour qui dans par sur pas au il
 el los las por con para su al del lo como más o pero sus y no se
 """.split()
 
-#: (name, part, whole, least percent, most percent): part * 100 is held between
-#: least * whole and most * whole; None leaves that side open.
+#: (name, part, whole, least percent, most percent, from words): part * 100 is
+#: held between least * whole and most * whole in texts of so many words or
+#: more; None leaves a side open.
 RULES = [
-    ("mean_word_length", "word_chars", "n_words", 200, 1500),
-    ("symbol_ratio", "n_symbols", "n_words", None, 25),
-    ("shout_ratio", "n_shouts", "n_words", None, 25),
-    ("stop_word_ratio", "n_stop_words", "n_words", 4, None),
-    ("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 30),
-    ("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines", None, 30),
-    ("bullet_line_ratio", "n_bullet_lines", "n_lines", None, 90),
+    ("mean_word_length", "word_chars", "n_words", 200, 1500, 0),
+    ("symbol_ratio", "n_symbols", "n_words", None, 25, 0),
+    ("shout_ratio", "n_shouts", "n_words", None, 25, 0),
+    ("stop_word_ratio", "n_stop_words", "n_words", 4, None, 40),
+    ("adjacent_repeat_ratio", "n_adjacent", "n_words", None, 30, 0),
+    ("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 40, 0),
+    ("ellipsis_line_ratio", "n_ellipsis_lines", "n_lines", None, 30, 0),
+    ("bullet_line_ratio", "n_bullet_lines", "n_lines", None, 90, 0),
 ]
 BASE_WORDS, BASE_REPEAT = 10, 20
 
@@ -78,6 +80,7 @@ def counts(docs: DataFrame) -> DataFrame:
         number("lines").alias("n_lines"),
         number(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))).alias("n_stop_words"),
         number(F.filter("words", lambda w: w.endswith("!!"))).alias("n_shouts"),
+        number(F.filter("words", lambda w, i: w == F.get("words", i - 1))).alias("n_adjacent"),
         number(F.filter("lines", lambda x: x.endswith("..."))).alias("n_ellipsis_lines"),
         number(F.filter("lines", lambda x: x.startswith("- ") | x.startswith("* "))).alias("n_bullet_lines"))
 
@@ -85,11 +88,12 @@ def counts(docs: DataFrame) -> DataFrame:
 def compiled(rules=RULES) -> Column:
     """The whole table as one boolean expression."""
     out = F.lit(True)
-    for _, part, whole, least, most in rules:
+    for _, part, whole, least, most, words in rules:
+        short = F.col("n_words") < words
         if least is not None:
-            out = out & (F.col(part) * 100 >= F.col(whole) * least)
+            out = out & (short | (F.col(part) * 100 >= F.col(whole) * least))
         if most is not None:
-            out = out & (F.col(part) * 100 <= F.col(whole) * most)
+            out = out & (short | (F.col(part) * 100 <= F.col(whole) * most))
     return out
 
 
@@ -105,9 +109,9 @@ def op6(spark, sf_dir: str) -> DataFrame:
 
 def _sql_rules(rules=RULES) -> str:
     out = []
-    for _, part, whole, least, most in rules:
-        out += [f"{part} * 100 >= {whole} * {least}"] if least is not None else []
-        out += [f"{part} * 100 <= {whole} * {most}"] if most is not None else []
+    for _, part, whole, least, most, words in rules:
+        out += [f"(n_words < {words} or {part} * 100 >= {whole} * {least})"] if least is not None else []
+        out += [f"(n_words < {words} or {part} * 100 <= {whole} * {most})"] if most is not None else []
     return " and ".join(out)
 
 
@@ -134,6 +138,7 @@ c as (
     cast(len(lines) as bigint) as n_lines,
     cast(len(list_filter(words, lambda x: lower(x) in ({_STOP_SQL}))) as bigint) as n_stop_words,
     cast(len(list_filter(words, lambda x: ends_with(x, '!!'))) as bigint) as n_shouts,
+    cast(len(list_filter(words, lambda x, i: x = words[i - 1] and i > 1)) as bigint) as n_adjacent,
     cast(len(list_filter(lines, lambda x: ends_with(x, '...'))) as bigint) as n_ellipsis_lines,
     cast(len(list_filter(lines, lambda x: starts_with(x, '- ') or starts_with(x, '* '))) as bigint) as n_bullet_lines
   from w left join s using (r)),
