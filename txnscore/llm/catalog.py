@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from txnscore.llm import chat, quality
+from txnscore.llm import bpe, chat, packing, quality, warc
 
 QUERIES = {
+    "op3_warc_dictionary": warc.op3,
     "op6_quality_rules": quality.op6,
+    "op7_bpe_trie": bpe.op7,
     "op8_chat_formatting": chat.op8,
+    "op9_cutting_stock_packing": packing.op9,
 }
 ORACLE = {
+    "op3_warc_dictionary": warc.SQL,
     "op6_quality_rules": quality.SQL,
     "op8_chat_formatting": chat.SQL,
 }
