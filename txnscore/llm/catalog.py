@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from txnscore.llm import bpe, chat, packing, quality, warc
+from txnscore.llm import bpe, chat, langid, packing, quality, toxicity, warc
 
 QUERIES = {
+    "op1_conv_toxicity": toxicity.op1,
+    "op2_segmentation_langid": langid.op2,
     "op3_warc_dictionary": warc.op3,
     "op6_quality_rules": quality.op6,
     "op7_bpe_trie": bpe.op7,

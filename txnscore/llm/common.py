@@ -33,6 +33,11 @@ _MIX = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+#: Bytes that part words when only letters matter (all but ASCII letters and non-ASCII).
+NON_LETTERS = np.ones(256, bool)
+NON_LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that tasks
     can import it wherever they run."""
@@ -97,12 +102,14 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the n+1 word offsets of the rows."""
+def find_words(data: np.ndarray, offsets: np.ndarray,
+               gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the n+1 word offsets of the rows;
+    ``gaps``: for each byte value, whether it parts words."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    gap = _SPACE[data]
+    gap = gaps[data]
     first, last = ~gap, ~gap
     first[1:] &= gap[:-1]
     last[:-1] &= gap[1:]
@@ -159,6 +166,24 @@ def hash_ngrams(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
     return mix(out), at
 
 
+class HashTable:
+    """A fixed-size slot table from 64-bit hashes to numbers (0: not there).
+
+    Two keys of one slot keep the first; the whole key is compared, so a hash
+    that was not put in is not found."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int):
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.values = np.zeros(1 << bits, np.int32)
+        slot = (keys & self.mask)[::-1]
+        self.keys[slot], self.values[slot] = keys[::-1], values[::-1]
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes & self.mask
+        return np.where(self.keys[slot] == hashes, self.values[slot], 0)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit hashes as Spark longs."""
     return x.view(np.int64)

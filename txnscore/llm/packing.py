@@ -102,9 +102,9 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, capacity: int, ro
     Any round ends with a feasible basis; it stops when the amounts are within
     0.2 % of the total length, which no packing can beat."""
     basis = np.diag((capacity // lengths).astype(float))
+    inverse = np.diag(1 / np.diag(basis))
     least = float(lengths @ demand) / capacity
     for _ in range(rounds):
-        inverse = np.linalg.inv(basis)
         amounts = np.maximum(inverse @ demand, 0)
         if amounts.sum() <= least * 1.002 + 0.5:
             break
@@ -112,10 +112,15 @@ def column_generation(lengths: np.ndarray, demand: np.ndarray, capacity: int, ro
         if value <= 1 + 1e-9:
             break
         direction = inverse @ new
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(direction > 1e-9, amounts / direction, np.inf)
-        basis[:, int(ratio.argmin())] = new
-    return basis, np.maximum(np.linalg.inv(basis) @ demand, 0)
+        up = direction > 1e-9
+        ratio = np.full(len(demand), np.inf)
+        ratio[up] = amounts[up] / direction[up]
+        out = int(ratio.argmin())
+        basis[:, out] = new
+        pivot = inverse[out] / direction[out]  # the inverse follows the exchanged column
+        inverse -= np.outer(direction, pivot)
+        inverse[out] = pivot
+    return basis, np.maximum(inverse @ demand, 0)
 
 
 def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
