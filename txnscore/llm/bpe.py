@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from txnscore.llm.common import blocks, ship
 
 END = "</w>"
-CACHE, CACHE_CHARS = 300_000, 64
+CACHE, CACHE_CHARS = 400_000, 64
 #: White space as the vocabulary's pattern sees it (str.split also takes \x1c-\x1f).
 _WHITE = "[\t-\r \x85\xa0  -     　]+"
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -69,6 +69,7 @@ class WordBpe:
         self.word, self.white = regex.compile(_WORD), regex.compile(_WHITE)
         self.odd = regex.compile("[\x1c-\x1f]")
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def spine(self, token: str, side: int) -> list[tuple[str, int, int]]:
         """The parts of ``token`` at its left (0) or right (1) edge, the whole first:
@@ -90,7 +91,7 @@ class WordBpe:
         which used the left part and not above that which used the right one."""
         known = self.pairs.get((before, token))
         if known is None:
-            if len(self.pairs) > 2 * CACHE:
+            if len(self.pairs) > CACHE:
                 self.pairs.clear()
             known = self.pairs[before, token] = self._apart(before, token) if before else True
         return known
@@ -110,38 +111,39 @@ class WordBpe:
             else:
                 return True
 
-    def _state(self, word: str, i: int, last: list[str], mark: str) -> str:
-        """The last token of the encoding of word[:i], whose final letter carries ``mark``."""
-        ids, pairs = self.ids, self.pairs
-        for j in range(max(0, i - self.longest), i):
-            token = word[j:i] + mark
-            if token in ids:
-                known = pairs.get((last[j], token))
-                if known or known is None and self.valid(last[j], token):
-                    return token
-        raise ValueError(f"no state for {word[:i]!r}")
-
     def encode_words(self, words) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words (byte letters), sharing the work of prefixes."""
+        ids, pairs, valid, longest = self.ids, self.pairs, self.valid, self.longest
         out, last, path = {}, [""], ""
         for word in sorted(words):
-            same, top = 0, min(len(path), len(word) - 1)
+            n = len(word)
+            same, top = 0, min(len(path), n - 1)
             while same < top and path[same] == word[same]:
                 same += 1
             del last[same + 1:]
-            for i in range(same + 1, len(word)):
-                last.append(self._state(word, i, last, ""))
+            # The state of a prefix is its only suffix token that fits the state before it.
+            for i in range(same + 1, n + 1):
+                mark = END if i == n else ""
+                for j in range(i - longest if i > longest else 0, i):
+                    token = word[j:i] + mark
+                    if token in ids:
+                        fits = pairs.get((last[j], token))
+                        if fits or fits is None and valid(last[j], token):
+                            break
+                else:
+                    raise ValueError(f"no state for {word[:i]!r}")
+                last.append(token)
             path = word[:-1]
-            ids, at, token = [], len(word), self._state(word, len(word), last, END)
+            found, at, token = [], n, last.pop()
             size = len(token) - len(END)
             while True:
-                ids.append(self.ids[token])
+                found.append(ids[token])
                 at -= size
                 if not at:
                     break
                 token = last[at]
                 size = len(token)
-            out[word] = tuple(ids[::-1])
+            out[word] = tuple(found[::-1])
         return out
 
     def chunks(self, text: str) -> list[str]:
@@ -159,17 +161,29 @@ class WordBpe:
 
     def words(self, chunk: str) -> list[str]:
         """The words of a chunk, in byte letters."""
+        if chunk.isascii() and chunk.isprintable():  # the common shapes: letters, and letters with one sign behind
+            low = chunk.lower()
+            if low.isalpha():
+                return [low]
+            if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                return [low[:-1], low[-1]]
+            return self.word.findall(low)
         if not unicodedata.is_normalized("NFC", chunk):
             chunk = unicodedata.normalize("NFC", chunk)
-        letters = self.letters
-        return ["".join([letters[b] for b in w.encode("utf-8", "replace")])
+        return [w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode("utf-8", "replace")))
                 for w in self.word.findall(chunk.replace("Σ", "σ").lower())]
 
     def encode_chunks(self, chunks) -> dict[str, tuple[int, ...]]:
-        parts = {c: (c,) if c in self.special else self.words(c) for c in chunks}
-        known = self.encode_words({w for c, ws in parts.items() if c not in self.special for w in ws})
-        known |= {t: (i,) for t, i in self.special.items()}
-        return {c: tuple(itertools.chain.from_iterable(known[w] for w in ws)) for c, ws in parts.items()}
+        known, special = self.known, self.special
+        parts = {c: self.words(c) for c in chunks if c not in special}
+        new = {w for ws in parts.values() for w in ws if w not in known}
+        if new:
+            if len(known) > CACHE:
+                known.clear()
+                new = {w for ws in parts.values() for w in ws}
+            known.update(self.encode_words(new))
+        out = {c: known[ws[0]] if len(ws) == 1 else tuple([i for w in ws for i in known[w]]) for c, ws in parts.items()}
+        return out | {c: (special[c],) for c in chunks if c in special}
 
     def decode(self, ids) -> str:
         return " ".join([self.tokens[i] for i in ids])
