@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txnscore.llm import bpe, chat, langid, packing, partenum, quality, toxicity, warc
+from txnscore.llm import bpe, chat, langid, packing, partenum, quality, substring, toxicity, warc
 
 QUERIES = {
     "op1_conv_toxicity": toxicity.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality_rules": quality.op6,
     "op7_bpe_trie": bpe.op7,
     "op8_chat_formatting": chat.op8,
+    "op10_automaton_substring_dedup": substring.op10,
     "op9_cutting_stock_packing": packing.op9,
 }
 ORACLE = {
@@ -19,4 +20,5 @@ ORACLE = {
     "op4_partenum_jaccard_join": partenum.SQL,
     "op6_quality_rules": quality.SQL,
     "op8_chat_formatting": chat.SQL,
+    "op10_automaton_substring_dedup": substring.SQL,
 }

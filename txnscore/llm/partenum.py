@@ -194,7 +194,8 @@ def sign(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 def meet(rows: DataFrame) -> DataFrame:
     """Rows of SIGNED with the least doc over all blocks as pivot; signatures of
-    a single set are dropped. Rows linked inside a block pass as they are."""
+    a single document are dropped unless size says otherwise. Rows linked inside a
+    block pass as they are."""
     own = F.col("doc") == F.col("pivot")
     # a block's least sets go by signature, the others anywhere
     key = F.when(own, F.col("sig")).otherwise(F.xxhash64("doc", "sig"))
@@ -218,7 +219,7 @@ def meet(rows: DataFrame) -> DataFrame:
                              np.diff(np.append(head, len(at))))
         keep = ~lead
         keep[at] = many
-        keep |= size > 0
+        keep |= size != 0
         for part in np.array_split(np.flatnonzero(keep), len(keep) // 100_000 + 1):
             yield _batch(sig[part], sig2[part], doc[part], pivot[part], size[part])
 
