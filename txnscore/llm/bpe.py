@@ -10,7 +10,8 @@ and a word's ids are read by walking its states backwards. The last letter of a
 word carries the end mark and is a symbol of its own.
 
 The vocabulary file is a parameter (``path``), read where the task runs. A
-worker keeps the encodings of up to ``CACHE`` chunks; they are only saved work.
+worker keeps up to ``2 * CACHE`` encoded chunks and ``CACHE`` words; they are only
+saved work.
 
 Defined results: null or blank text has no tokens (decoded: empty); an empty
 table gives no rows; repeated rows are encoded alike; control strings of the
@@ -68,7 +69,7 @@ class WordBpe:
         self.letters = _byte_letters()
         self.word, self.white = regex.compile(_WORD), regex.compile(_WHITE)
         self.odd = regex.compile("[\x1c-\x1f]")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by both ids
         self.known: dict[str, tuple[int, ...]] = {}
 
     def spine(self, token: str, side: int) -> list[tuple[str, int, int]]:
@@ -82,18 +83,17 @@ class WordBpe:
                 return out
             used, token = made[0], made[1 + side]
 
-    def valid(self, before: str, token: str) -> bool:
-        """Whether ``token`` may follow ``before`` ('' at a word's start): merging in
+    def valid(self, before: int, token: int) -> bool:
+        """Whether ``token`` may follow ``before`` (-1 at a word's start): merging in
         rank order, then from the left, never joins parts across their border.
 
         Walks back through the merges that made the two tokens; a pair of parts
         that stood side by side joins if its rank is below that of the merge
         which used the left part and not above that which used the right one."""
-        known = self.pairs.get((before, token))
-        if known is None:
-            if len(self.pairs) > CACHE:
-                self.pairs.clear()
-            known = self.pairs[before, token] = self._apart(before, token) if before else True
+        if len(self.pairs) > CACHE:
+            self.pairs.clear()
+        known = before < 0 or self._apart(self.tokens[before], self.tokens[token])
+        self.pairs[before << 20 | token] = known
         return known
 
     def _apart(self, before: str, token: str) -> bool:
@@ -113,37 +113,42 @@ class WordBpe:
 
     def encode_words(self, words) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words (byte letters), sharing the work of prefixes."""
-        ids, pairs, valid, longest = self.ids, self.pairs, self.valid, self.longest
-        out, last, path = {}, [""], ""
+        find, fits, valid, longest = self.ids.get, self.pairs.get, self.valid, self.longest
+        out, path = {}, ""
+        last, size = [-1], [0]  # of each prefix on the path: its last token and that one's length
         for word in sorted(words):
             n = len(word)
             same, top = 0, min(len(path), n - 1)
             while same < top and path[same] == word[same]:
                 same += 1
-            del last[same + 1:]
+            del last[same + 1:], size[same + 1:]
             # The state of a prefix is its only suffix token that fits the state before it.
-            for i in range(same + 1, n + 1):
-                mark = END if i == n else ""
+            for i in range(same + 1, n):
                 for j in range(i - longest if i > longest else 0, i):
-                    token = word[j:i] + mark
-                    if token in ids:
-                        fits = pairs.get((last[j], token))
-                        if fits or fits is None and valid(last[j], token):
+                    token = find(word[j:i])
+                    if token is not None:
+                        ok = fits(last[j] << 20 | token)
+                        if ok or ok is None and valid(last[j], token):
                             break
                 else:
                     raise ValueError(f"no state for {word[:i]!r}")
                 last.append(token)
-            path = word[:-1]
-            found, at, token = [], n, last.pop()
-            size = len(token) - len(END)
-            while True:
-                found.append(ids[token])
-                at -= size
-                if not at:
-                    break
-                token = last[at]
-                size = len(token)
-            out[word] = tuple(found[::-1])
+                size.append(i - j)
+            path, marked = word[:-1], word + END
+            for j in range(n - longest if n > longest else 0, n):
+                token = find(marked[j:])
+                if token is not None:
+                    ok = fits(last[j] << 20 | token)
+                    if ok or ok is None and valid(last[j], token):
+                        break
+            else:
+                raise ValueError(f"no state for {word!r}")
+            found = [token]
+            while j:
+                found.append(last[j])
+                j -= size[j]
+            found.reverse()
+            out[word] = tuple(found)
         return out
 
     def chunks(self, text: str) -> list[str]:
@@ -208,9 +213,9 @@ class Chunked:
         for c, ids in self.bpe.encode_chunks([c for c in here if c not in first]).items():
             for form, table in zip(self.forms, self.saved):
                 table[c] = form(self.bpe, ids)
-        tables = self.saved
-        if len(first) > CACHE or any(len(c) > CACHE_CHARS for c in here):
-            keep = [c for c in (here if len(first) > CACHE else first) if len(c) <= CACHE_CHARS]
+        tables, full = self.saved, len(first) * len(self.forms) > 2 * CACHE
+        if full or any(len(c) > CACHE_CHARS for c in here):
+            keep = [c for c in (here if full else first) if len(c) <= CACHE_CHARS]
             self.saved = [{c: t[c] for c in keep} for t in tables]
         return cut, tables
 

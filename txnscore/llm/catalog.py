@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from txnscore.llm import bpe, chat, langid, packing, partenum, quality, substring, toxicity, warc
+from txnscore.llm import bpe, chat, fingerprint, langid, packing, partenum, quality, substring, toxicity, warc
 
 QUERIES = {
     "op1_conv_toxicity": toxicity.op1,
     "op2_segmentation_langid": langid.op2,
     "op3_warc_dictionary": warc.op3,
     "op4_partenum_jaccard_join": partenum.op4,
+    "op5_consistent_parsing": fingerprint.op5,
     "op6_quality_rules": quality.op6,
     "op7_bpe_trie": bpe.op7,
     "op8_chat_formatting": chat.op8,

@@ -214,6 +214,36 @@ def train(docs: DataFrame, path: str | None = None) -> Model:
     return fit([(lang, text) for _, lang, text in rows], path)
 
 
+def _predictor(model: Model):
+    """A function from texts to (languages, scores), with a bounded word cache."""
+    trie = model.trie() if model.languages else None
+    known: dict[str, int] = {}
+    logs = np.zeros((0, len(model.languages)), np.float32)
+
+    def run(texts: list[str | None]) -> tuple[list[str], list[float]]:
+        nonlocal known, logs
+        cut = [split_words(t) if t and trie else [] for t in texts]
+        new = list({w for ws in cut for w in ws if w not in known})
+        if len(known) + len(new) > WORDS_KEPT:  # start anew: only saved work is lost
+            known, new, logs = {}, list({w for ws in cut for w in ws}), logs[:0]
+        if new:
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            logs = np.concatenate([logs, log_words(trie, model.prob, new)])
+        best, conf = [], []
+        for ws in cut:
+            if not ws:
+                best.append(UNKNOWN)
+                conf.append(0.0)
+                continue
+            total = logs[np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))].sum(axis=0, dtype=np.float64)
+            k = int(total.argmax())
+            best.append(model.languages[k])
+            conf.append(float(1 / np.exp(np.maximum(total - total[k], -700)).sum()))
+        return best, conf
+
+    return run
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score (posterior of the predicted language)."""
     spark = docs.sparkSession
@@ -221,29 +251,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def task(batches):
-        m = shared.value
-        trie = m.trie() if m.languages else None
-        known: dict[str, int] = {}
-        logs = np.zeros((0, len(m.languages)), np.float32)
+        run = _predictor(shared.value)
         for b in blocks(batches):
-            cut = [split_words(t) if t and trie else [] for t in b.column("text").to_pylist()]
-            new = list({w for ws in cut for w in ws if w not in known})
-            if len(known) + len(new) > WORDS_KEPT:  # start anew: only saved work is lost
-                known, new = {}, list({w for ws in cut for w in ws})
-                logs = logs[:0]
-            if new:
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                logs = np.concatenate([logs, log_words(trie, m.prob, new)])
-            best, conf = [], []
-            for ws in cut:
-                if not ws:
-                    best.append(UNKNOWN)
-                    conf.append(0.0)
-                    continue
-                total = logs[np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))].sum(axis=0, dtype=np.float64)
-                k = int(total.argmax())
-                best.append(m.languages[k])
-                conf.append(float(1 / np.exp(np.maximum(total - total[k], -700)).sum()))
+            best, conf = run(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(best, pa.string()), pa.array(conf, pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
@@ -251,6 +261,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, lang_pred string, score double")
 
 
+def identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def task(batches):
+        run = _predictor(shared.value)
+        for b in blocks(batches):
+            best, conf = run(b.column("text").to_pylist())
+            yield b.filter(pa.array([k != UNKNOWN and c >= least for k, c in zip(best, conf)]))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def op2(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held = (crc_bucket("doc_id", FOLDS) == HELD_OUT).alias("held_out")

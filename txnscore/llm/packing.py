@@ -20,6 +20,7 @@ cut, never dropped; extra columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -39,7 +40,7 @@ PLAN = "length long, first long, last long, copies long, sequence long, offset l
 
 
 def _as_bytes(_, ids) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def cuts(tokens: int) -> list[int]:

@@ -3,10 +3,13 @@
 A document is the set of its word shingles. Sets fall into size bands whose
 ends grow by 1 / similarity, so linked sets lie in one band or in neighbours.
 Within a band linked sets differ in at most k shingles. The shingle domain is
-hashed into n1 parts of n2 sub-parts; a signature is the content of all but k2
-sub-parts of one part, for every choice of those left out (``enumeration``):
-two sets with at most k differences agree on one signature at least, so no
-linked pair is missed. A set signs for its own band and for the next one.
+hashed into parts of two sub-parts; a signature is the content of a sub-part,
+for every choice of the one left out (``enumeration``). There are some more than
+k + 1 sub-parts, so two sets with at most k differences agree on several, and
+since agreeing sub-parts weigh the same in both sets, each set may leave out its
+lightest ones (empty or of few shingles, which unrelated sets share by chance)
+as long as fewer go than must agree: no linked pair is missed. A set signs for
+its own band and for the next one.
 
 Every task first links the sets of a block of texts that share a signature to
 the least of them, so a very common signature costs one shuffled row per
@@ -31,8 +34,6 @@ is in component null; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from math import floor
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +45,8 @@ from txnscore.llm.components import components
 
 #: Members of a signature compared at a time, and parity bits per allowed difference.
 BLOCK, SKETCH_BITS = 256, 8
+#: Sub-parts per necessary one, and the weight up to which light ones are dropped.
+SURPLUS, MOST_WEIGHT = 1.3, 8
 
 SIGNED = "sig long, sig2 long, doc long, pivot long, size long"
 
@@ -79,17 +82,13 @@ class Limits:
             self.ends.append((self.ends[-1] + 1) * 100 // self.percent)
 
 
-def enumeration(k: int) -> tuple[int, int, int]:
-    """(n1, n2, k2): parts, sub-parts, and sub-parts left out, for k differences.
-
-    Of n1 parts one holds at most floor(k / n1) <= k2 differences; leaving the
-    sub-parts they hit out of it, the rest agrees. With n2 = k2 + 1 the choices
-    keep one sub-part each, the fewest signatures: k + 1."""
+def enumeration(k: int) -> tuple[int, int]:
+    """(sub-parts, slack) for k differences: n1 parts of two sub-parts each, of
+    which a signature leaves one out. Of ``sub-parts`` at least slack + 1 agree."""
     if k < 1:
-        return 1, 1, 0
-    k2 = 1
-    n1 = (k + 1 + k2) // (k2 + 1)
-    return n1, k2 + 1, k2
+        return 1, 0
+    n1 = -(-int((k + 1) * SURPLUS) // 2)
+    return 2 * n1, 2 * n1 - k - 1
 
 
 def shingle_sets(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +122,8 @@ def signatures(grams: np.ndarray, rows: np.ndarray, limits: Limits) -> tuple[np.
     for side in (0, 1):
         tag = bands + side
         shape = {int(b): enumeration(limits.allowed(int(b))) for b in np.unique(tag)}
-        parts = np.array([shape[int(b)][0] * shape[int(b)][1] for b in tag], np.int64)
+        parts = np.array([shape[int(b)][0] for b in tag], np.int64)
+        slack = np.array([shape[int(b)][1] for b in tag], np.int64)
         salt = mix(tag.astype(np.uint64) + np.uint64(77))
         place = mix(grams ^ salt[doc])
         # the sub-part of each shingle; a kept sub-part's content is the sum of its hashes
@@ -133,6 +133,14 @@ def signatures(grams: np.ndarray, rows: np.ndarray, limits: Limits) -> tuple[np.
         np.add.at(content, begin[doc] + slot, mix(place + np.uint64(0x51ED270B)))
         row = np.repeat(np.arange(len(sizes)), np.diff(begin))
         number = np.arange(begin[-1]) - begin[row]
+        # drop the lightest sub-parts while fewer than those that must agree go
+        weight = np.bincount(begin[doc] + slot, minlength=begin[-1])
+        least = np.zeros(len(sizes), np.int64)
+        for w in range(1, MOST_WEIGHT + 1):
+            light = np.bincount(row[weight < w], minlength=len(sizes))
+            least[light <= slack] = w
+        strong = weight >= least[row]
+        row, number, content = row[strong], number[strong], content[strong]
         out.append(mix(content ^ mix(salt[row] + number.astype(np.uint64))))
         owner.append(row)
     return np.concatenate(out), np.concatenate(owner)

@@ -264,10 +264,13 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """doc_id, text without the removed spans, n_words, n_removed and the digest
-    of the kept words, for every row of ``docs`` (doc_id, text)."""
+    """Every row of ``docs`` as ``rest`` (a struct), and of its text: doc_id, kept
+    (without the removed spans), n_words, n_removed and kept_sha256, the digest of
+    the kept words."""
     gone = written(spans(docs), "substring-spans")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row")).join(gone, ["doc_id", "row"], "left")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text", F.struct("*").alias("rest"))
+    rows = rows.join(gone, ["doc_id", "row"], "left")
+    extra = "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string"
 
     def task(batches):
         for b in blocks(batches):
@@ -275,35 +278,45 @@ def deduplicate(docs: DataFrame) -> DataFrame:
             starts, ends, words = find_words(data, offsets)
             texts, total, removed, digests = [], [], [], []
             for d, cut in enumerate(b.column("spans").to_pylist()):
-                s, e = starts[words[d]:words[d + 1]], ends[words[d]:words[d + 1]]
+                s, e = starts[words[d]:words[d + 1]] - offsets[d], ends[words[d]:words[d + 1]] - offsets[d]
                 keep = np.ones(len(s), bool)
                 for c in cut or ():
                     keep[c["at"]:c["last"] + 1] = False
                 text = data[offsets[d]:offsets[d + 1]].tobytes()
-                kept = [text[x:y] for x, y in zip(s[keep] - offsets[d], e[keep] - offsets[d])]
-                digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                digests.append(hashlib.sha256(
+                    b" ".join([text[x:y] for x, y in zip(s[keep].tolist(), e[keep].tolist())])).hexdigest())
                 if not keep.all():
                     # a removed word goes with the space behind it, up to the next word
-                    follow = np.append(s[1:], offsets[d + 1])
-                    keep_bytes = np.ones(len(text), bool)
-                    for x, y in zip(s[~keep] - offsets[d], follow[~keep] - offsets[d]):
-                        keep_bytes[x:y] = False
-                    text = np.frombuffer(text, np.uint8)[keep_bytes].tobytes()
+                    left, at = [], 0
+                    follow = np.append(s[1:], len(text))
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], (~keep).astype(np.int8), [0]])))
+                    for x, y in zip(edge[::2], edge[1::2]):
+                        left.append(text[at:s[x]])
+                        at = follow[y - 1]
+                    text = b"".join([*left, text[at:]])
                 texts.append(text.decode("utf-8"))
                 total.append(len(s))
                 removed.append(int((~keep).sum()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(texts, pa.string()), pa.array(total, pa.int64()),
+                [b.column("rest"), b.column("doc_id"), pa.array(texts, pa.string()), pa.array(total, pa.int64()),
                  pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                names=["doc_id", "text", "n_words", "n_removed", "kept_sha256"])
+                names=["rest", *(c.split()[0] for c in extra.split(", "))])
 
-    return rows.select("doc_id", "text", "spans").mapInArrow(
-        task, "doc_id long, text string, n_words long, n_removed long, kept_sha256 string")
+    schema = f"rest {docs.schema.simpleString()}, {extra}"
+    return rows.select("doc_id", "text", "spans", "rest").mapInArrow(task, schema)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with their texts deduplicated (n_chars follows); a row
+    that loses all its words goes."""
+    done = deduplicate(docs).where("n_removed < n_words or n_words = 0")
+    new = {"text": F.when(F.col("rest.text").isNotNull(), F.col("kept")), "n_chars": F.length("kept").cast("long")}
+    return done.select(*[new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return deduplicate(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return deduplicate(docs.select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 SQL = """

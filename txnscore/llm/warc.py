@@ -44,6 +44,8 @@ REVISIT_BYTES = 1000
 #: Uncompressed record bytes after which an archive is closed.
 ARCHIVE_BYTES = 16 << 20
 DICT_BYTES, LEVEL = 64 << 10, 3
+#: Archives that one task reads back.
+READ_ARCHIVES = 4
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "1970-01-01T00:00:00Z"
 
@@ -189,7 +191,8 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                                  names=[x.split()[0] for x in RECORDS.split(", ")])
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(task, RECORDS)
+    tasks = -(-manifest.count() // READ_ARCHIVES) or 1
+    return manifest.select("path").repartition(tasks, "path").mapInArrow(task, RECORDS)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
