@@ -262,3 +262,80 @@ def test_optional_gender_and_category_columns(spark):
     assert "gender_M" not in names and not [n for n in names if n.startswith("cat_")]
     t = MD.train(raw, with_gbt=False)
     assert MD.score(t.scorer(), raw).count() == 1000
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    from txnscore.sources.files import read_transactions
+    d = tmp_path / "csv"
+    d.mkdir()
+    (d / "a.csv").write_text("trans_num,amt,lat\n1,2.5,33.0\n")
+    (d / "b.csv").write_text("trans_num,lat,amt\n2,33.0,2.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_transactions(spark, str(d)).collect()
+
+
+def test_partition_columns_keep_their_type(spark, tmp_path):
+    from txnscore.schemas import TXN
+    from txnscore.sources.files import read_dataset, write_dataset
+    df = txn_rows(spark, [base(1, category="05"), base(2, category="07")])
+    path = write_dataset(df, str(tmp_path / "p"), partition_by=["category"])
+    assert sorted(r["category"] for r in read_dataset(spark, path, schema=TXN).collect()) == ["05", "07"]
+
+
+def test_union_of_different_columns_fails(spark):
+    a = txn_rows(spark, [base(1)])
+    with pytest.raises(Exception, match="(?i)column"):
+        B.union_all(a, a.drop("amt")).collect()
+
+
+def test_scores_keep_every_row(spark):
+    from txnscore.plans import catalog_models as CM
+    from txnscore.plans import models as MD
+    t = CM.trained(spark, "/root/testdata/sf0.001")
+    df = txn_rows(spark, [base(1), base(2, amt=None), base(3, lat=float("nan"))])
+    got = {r["trans_num"]: r["gbt_classifier"] for r in MD.score(t.scorer(), df).collect()}
+    assert set(got) == {"1", "2", "3"} and got["1"] and got["2"] is None and got["3"] is None
+
+
+def test_training_sets_odd_rows_aside(spark):
+    from txnscore.plans import models as MD
+    from txnscore.views import transactions
+    raw = transactions(spark, "/root/testdata/sf0.001")
+    bad = raw.withColumns({"city_pop": F.when(F.col("cc_num") % 3 != 0, F.col("city_pop")),
+                           "is_fraud": F.when(F.col("cc_num") % 7 == 0, 5).otherwise(F.col("is_fraud"))})
+    t = MD.train(bad, with_gbt=False)
+    used = bad.where("city_pop is not null and is_fraud in (0, 1)").count()
+    assert t.rejects.count() + used == 1000 and t.test.count() + t.train.select("trans_num").distinct().count() == used
+    assert t.train_rows == t.train.count()
+
+
+def test_a_cluster_must_name_its_shared_folder(monkeypatch, spark):
+    from txnscore import session
+
+    class Nothing:
+        def isEmpty(self):
+            return True
+
+    class Sc:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: Nothing()})()})()
+
+        def getConf(self):
+            return type("C", (), {"get": lambda self, k, d=None: d})()
+
+    class Session:
+        sparkContext = Sc()
+        conf = type("C", (), {"get": lambda self, k, d=None: d})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_messages_without_a_key_are_no_duplicates(spark, tmp_path):
+    from txnscore.schemas import MESSAGE
+    from txnscore.streaming.drain import drain
+    log = str(tmp_path / "log")
+    encode_messages(txn_rows(spark, [base(i) for i in range(10)] * 2)).write.parquet(log)
+    spark.createDataFrame([("x", "{broken")] * 20, MESSAGE).write.mode("append").parquet(log)
+    out = drain(spark, log, str(tmp_path / "o"), str(tmp_path / "c"), dedupe_within="1 day")
+    assert spark.read.parquet(out).count() == 30

@@ -22,14 +22,17 @@ def test_end_to_end(spark, tmp_path):
     assert spark.read.parquet(d("runs")).count() == 2
     counts = J.score_table(spark, d("model"), raw, d("scores"))
     assert counts.agg(F.sum("n")).first()[0] == 2000
-    qs = J.score_stream(spark, d("model"), d("log"), d("stream-scores"), d("stream-counts"),
-                        d("ck-stream"))
-    for q in qs:
-        q.awaitTermination()
-    assert spark.read.parquet(d("stream-scores")).count() == 1000
-    from txnscore.streaming.scoring import current_counts
-    total = current_counts(spark, d("stream-counts")).agg(F.sum("n")).first()[0]
-    assert total == 2000
+    from txnscore.schemas import MESSAGE
+    from txnscore.streaming.scoring import current_totals
+    for more in (0, 3):  # a second run goes on from its checkpoint; bad messages are rejects
+        if more:
+            bad = spark.createDataFrame([("k", "{"), (None, None), ("z", "[1]")], MESSAGE)
+            bad.write.mode("append").parquet(d("log"))
+        J.score_stream(spark, d("model"), d("log"), d("stream-scores"), d("stream-counts")).awaitTermination()
+        assert spark.read.parquet(d("stream-scores")).count() == 1000
+        assert spark.read.parquet(d("stream-scores_rejects")).count() == more
+        total = current_totals(spark, d("stream-counts")).agg(F.sum("n")).first()[0]
+        assert total == 2000
     assert t.gbt is not None
 
 
@@ -43,6 +46,77 @@ def test_command_line_stages(spark, tmp_path):
     assert main(["train", "--prepared", d("prep"), "--model", d("model"), "--runs", d("runs")]) == 0
     assert main(["score", "--model", d("model"), "--input", d("landed"), "--out", d("scores")]) == 0
     assert spark.read.parquet(d("scores")).count() == 1000
+    # a second ingest and drain add to the first
+    assert main(["ingest", "--csv", d("csv"), "--log", d("log"), "--rejects", d("bad")]) == 0
+    assert main(["drain", "--log", d("log"), "--landed", d("landed")]) == 0
+    assert spark.read.parquet(d("landed")).count() == 2000
+    # requests by name; one lacks a feature
+    from txnscore.plans import models as MD
+    names = MD.model_inputs(MD.load_model(d("model")))
+    reqs = spark.createDataFrame([("a", {n: 1.0 for n in names}), ("b", {n: 1.0 for n in names[1:]})],
+                                 "request_id string, features map<string,double>")
+    reqs.write.parquet(d("requests"))
+    assert main(["score-requests", "--model", d("model"), "--input", d("requests"), "--out", d("answers")]) == 0
+    assert [r["request_id"] for r in spark.read.parquet(d("answers")).collect()] == ["a"]
+    assert [tuple(r) for r in spark.read.parquet(d("answers_rejects")).collect()] == [("b", names[0])]
+    assert main(["score-stream", "--model", d("model"), "--log", d("log"), "--out", d("ss"), "--counts", d("sc")]) == 0
+    assert spark.read.parquet(d("ss")).count() == 2000
+
+
+def test_prepare_in_the_old_order(spark, tmp_path):
+    write_dataset(transactions(spark, SF_SMALL), str(tmp_path / "landed"))
+    J.prepare(spark, str(tmp_path / "landed"), str(tmp_path / "prep"), balance_mode="poisson", reference_order=True)
+    prep = J.load_prepared(spark, str(tmp_path / "prep"))
+    assert (prep.balance_mode, prep.reference_order) == ("poisson", True)
+    # copies of one fraud row lie on both sides: the leak the order is kept for
+    sides = [spark.read.parquet(p).where("is_fraud = 1").select("trans_num").distinct()
+             for p in (prep.train_path, prep.test_path)]
+    assert sides[0].join(sides[1], "trans_num").count() > 0
+
+
+def test_null_keys_are_not_published(spark, tmp_path):
+    import pytest
+    from txnscore.operators.gates import GateFailed
+    d = lambda n: str(tmp_path / n)
+    raw = transactions(spark, SF_SMALL).withColumn(
+        "trans_num", F.when(F.col("cc_num") % 10 != 0, F.col("trans_num")))
+    n = raw.where("trans_num is null").count()
+    write_dataset(raw, d("csv"), fmt="csv")
+    with pytest.raises(GateFailed, match="null_keys"):
+        J.ingest(spark, d("csv"), d("log"))
+    assert not (tmp_path / "log").exists()
+    J.ingest(spark, d("csv"), d("log"), rejects_path=d("bad"))
+    assert spark.read.parquet(d("bad")).count() == n > 0
+    assert spark.read.parquet(d("log")).count() == 1000 - n
+
+
+def test_an_id_column_is_the_key_where_there_is_no_number(spark, tmp_path):
+    d = lambda n: str(tmp_path / n)
+    write_dataset(transactions(spark, SF_SMALL).withColumnRenamed("trans_num", "row_id"), d("csv"), fmt="csv")
+    J.ingest(spark, d("csv"), d("log"), id_col="row_id")
+    assert spark.read.parquet(d("log")).select("key").distinct().count() == 1000
+
+
+def test_a_drain_with_a_foreign_checkpoint_fails(spark, tmp_path):
+    """A fresh checkpoint over an old output loses rows; the gate says so."""
+    import pytest
+    from txnscore.operators.gates import GateFailed
+    from txnscore.sources.messages import encode_messages, publish
+    d = lambda n: str(tmp_path / n)
+    rows = encode_messages(transactions(spark, SF_SMALL))
+    publish(rows.where("key < '5'"), "parquet", d("log"))
+    J.drain_log(spark, d("log"), d("landed"))
+    publish(rows.where("key >= '5'"), "parquet", d("log"))
+    with pytest.raises(GateFailed, match="landed_rows"):
+        J.drain_log(spark, d("log"), d("landed"), d("other-checkpoint"))
+
+
+def test_kafka_positions_and_options():
+    from txnscore.streaming import drain as D
+    assert D.kafka_offsets([("t", 0, 5), ("t", 1, 9)]) == '{"t": {"0": 5, "1": 9}}'
+    assert D.kafka_offsets([]) == "earliest"
+    assert D._kafka_read_options({"topic": "t", "kafka.bootstrap.servers": "h"}) == {
+        "subscribe": "t", "kafka.bootstrap.servers": "h"}
 
 
 def test_prepare_rejects_and_gates(spark, tmp_path):

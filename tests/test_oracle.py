@@ -7,14 +7,15 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle import TABLES, compare
+from txnscore.plans import registry
 
-SQL = E.oracle_sql()
+SQL = registry.ORACLE
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 def test_every_query_has_a_callable():
-    assert set(SQL) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def _duck_types(sql: str) -> dict:

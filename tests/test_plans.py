@@ -7,6 +7,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from txnscore.operators import balance as B
 from txnscore.operators.stats import exact_quantiles
+from txnscore.plans import registry
 
 # Plans that write scratch data while being built (streams, round trips, fits)
 # are checked too: explain() only plans the returned DataFrame.
@@ -35,7 +36,7 @@ def _bounded_single_partition(exchange) -> bool:
     if "Aggregate" not in child.nodeName():
         return False
     keys = child.groupingExpressions()
-    return keys.size() == 0 or "_range_pid" in keys.toString()
+    return keys.size() == 0 or "_range" in keys.toString()
 
 
 def single_partition_violations(df) -> list[str]:
@@ -48,7 +49,7 @@ def single_partition_violations(df) -> list[str]:
     return bad
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_forbidden_operators(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = _plan(df)

@@ -222,7 +222,7 @@ def test_run_metrics_equal_spark_evaluators(spark):
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     t = CM.trained(spark, SF_SMALL)
     model = PipelineModel(stages=list(t.features.stages) + [t.lr])
-    met = MD.evaluate(model, t.test, "lr")
+    met = MD.evaluate(model.transform(t.test), "lr")
     f1 = MulticlassClassificationEvaluator(labelCol="is_fraud", predictionCol="lr_prediction",
                                            metricName="f1").evaluate(model.transform(t.test))
     assert met["f1"] == pytest.approx(f1, abs=1e-12)

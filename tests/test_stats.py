@@ -54,7 +54,7 @@ def test_running_totals_grouped(spark):
     data = [(g, k, rnd.randint(0, 9)) for g in ("a", "b", "c") for k in range(300)]
     df = spark.createDataFrame(data, "g string, k long, v long")
     got = {(r["g"], r["k"]): r["cum_v"] for r in
-           running_totals(df, "k", ["v"], group_cols=["g"], num_partitions=5, n_groups=3).collect()}
+           running_totals(df, "k", ["v"], group_cols=["g"], num_partitions=5).collect()}
     for g in ("a", "b", "c"):
         acc = 0
         for _, k, v in [d for d in data if d[0] == g]:
@@ -62,6 +62,38 @@ def test_running_totals_grouped(spark):
             assert got[(g, k)] == acc
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_running_totals_with_other_columns_and_without_exchange_reuse(spark, reuse):
+    """A row's range is a function of its key, whatever else the row holds and
+    whether or not Spark shares an exchange."""
+    n = 60_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.lit(1).alias("v"), F.rand(3).alias("other"),
+                               F.col("id").cast("string").alias("text"))
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        out = running_totals(df, "k", ["v"])
+        assert out.columns == ["k", "v", "other", "text", "cum_v", "total_v"]
+        wrong = out.where((F.col("cum_v") != F.col("k") + 1) | (F.col("total_v") != n))
+        assert out.count() == n and wrong.count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+
+
+def test_running_totals_shuffle_rows_once(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("text"))
+    plan = running_totals(df, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Exchange" in x and "text" in x]) <= 1
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_column_without_values_has_no_quartiles(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
+    for error in (0.0, 0.001):
+        with pytest.raises(ValueError, match="'a'"):
+            iqr(df, ["a", "b"], error)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 10, 101, 1000])
 def test_exact_quantiles_are_percentile_disc(spark, n):
     rnd = random.Random(n)

@@ -95,25 +95,22 @@ def oversample(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int
         math.ceil(minority_rows * max(ratio, 1.0) / ROWS_PER_SPREAD_PARTITION))
     c = copies_column(ratio, key)
     with_c = minor.withColumn("_copies", c).where(F.col("_copies") > 0)
-    if ratio <= COPY_CHUNK:
-        spread = with_c.repartition(n)
-        out = spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    else:
-        # A huge ratio would put all copies of one row into one task: cut
-        # each row's copies into chunks, spread the chunks, then expand them.
-        chunks = with_c.withColumn("_chunk", F.explode(F.sequence(
-            F.lit(0), ((F.col("_copies") - 1) / F.lit(COPY_CHUNK)).cast("int"))))
-        spread = chunks.repartition(n)
-        lo = F.col("_chunk") * F.lit(COPY_CHUNK) + 1
-        hi = F.least(F.col("_chunk") * F.lit(COPY_CHUNK) + F.lit(COPY_CHUNK), F.col("_copies"))
-        out = spread.withColumn("_copy", F.explode(F.sequence(lo, hi))).drop("_chunk")
+    # A huge ratio would put all copies of one row into one task: cut each
+    # row's copies into chunks, spread the chunks, then expand them.
+    chunks = with_c.withColumn("_chunk", F.explode(F.sequence(
+        F.lit(0), ((F.col("_copies") - 1) / F.lit(COPY_CHUNK)).cast("int"))))
+    spread = chunks.repartition(n)
+    lo = F.col("_chunk") * F.lit(COPY_CHUNK) + 1
+    hi = F.least(F.col("_chunk") * F.lit(COPY_CHUNK) + F.lit(COPY_CHUNK), F.col("_copies"))
+    out = spread.withColumn("_copy", F.explode(F.sequence(lo, hi))).drop("_chunk")
     out = out.drop("_copies")
     return out.withColumnRenamed("_copy", copy_col) if copy_col else out.drop("_copy")
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Union keeping duplicates, matched by column name (not position)."""
-    return a.unionByName(b, allowMissingColumns=True)
+    """Union keeping duplicates, matched by column name (not position); a column
+    that only one side has is an error."""
+    return a.unionByName(b)
 
 
 def balance(df: DataFrame, label: str = LABEL, mode: str = "exact", seed: int = 42,

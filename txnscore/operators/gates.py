@@ -66,7 +66,8 @@ def gate_reconcile(source: DataFrame, log: DataFrame, key: str = KEY,
         raise ValueError(f"mode must be exact or checksum, not {mode!r}")
     s = source.groupBy(F.col(key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("ns"))
     g = log.groupBy(F.col(log_key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("ng"))
-    j = s.join(g, "_k", "full_outer")
+    # NULL keys count as one key of their own, equal on both sides.
+    j = s.join(g.withColumnRenamed("_k", "_g"), F.col("_k").eqNullSafe(F.col("_g")), "full_outer")
     agg = j.agg(F.coalesce(F.sum("ns"), F.lit(0)).alias("src"),
                 F.coalesce(F.sum("ng"), F.lit(0)).alias("log"),
                 F.count(F.when(F.col("ng").isNull(), 1)).alias("missing"),
@@ -79,7 +80,7 @@ def gate_reconcile(source: DataFrame, log: DataFrame, key: str = KEY,
 
 
 def _key_digest(df: DataFrame, key: str) -> DataFrame:
-    k = F.col(key).cast("string")
+    k = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit(""))
     wide = "decimal(38,0)"
     return df.agg(F.count(F.lit(1)).alias("n"),
                   F.sum(F.xxhash64(k).cast(wide)).alias("h1"),

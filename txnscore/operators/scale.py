@@ -34,14 +34,17 @@ def iqr_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def iqr(df: DataFrame, cols: Sequence[str],
         relative_error: float = DEFAULT_RELATIVE_ERROR) -> dict[str, float]:
-    """Quartile range per column (a handful of numbers on the driver)."""
+    """Quartile range per column (a handful of numbers on the driver); a column
+    without any value is an error."""
     cols = list(cols)
     if relative_error and relative_error > 0:
         qs = df.approxQuantile(cols, [Q1, Q3], float(relative_error))
-        return {c: (v[1] - v[0]) if len(v) == 2 else 0.0 for c, v in zip(cols, qs)}
-    rows = iqr_table(df, cols).collect()
-    got = {r["column"]: float(r["iqr"]) for r in rows}
-    return {c: got.get(c, 0.0) for c in cols}
+        got = {c: v[1] - v[0] for c, v in zip(cols, qs) if len(v) == 2}
+    else:
+        got = {r["column"]: float(r["iqr"]) for r in iqr_table(df, cols).collect()}
+    if empty := [c for c in cols if c not in got]:
+        raise ValueError(f"no quartiles: columns without a value: {empty}")
+    return got
 
 
 def scale_factor(r: float) -> float:

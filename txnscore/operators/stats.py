@@ -2,13 +2,13 @@
 
 A window ``sum(...) over (order by x)`` without PARTITION BY moves the whole
 table into one task. ``running_totals`` computes the same inclusive running
-sums with a range-partitioned prefix sum instead:
+sums as a prefix sum over ranges instead:
 
-1. ``repartitionByRange`` on the order key (balanced by sampled bounds, so a
-   crowded score range is split over many tasks);
-2. per-partition totals -> at most ``num_partitions x groups`` rows;
+1. range bounds are fixed once, from a quantile sketch of the order key, so a
+   row's range is a pure function of its key in every later pass;
+2. totals per range -> at most ``ranges x groups`` rows;
 3. exclusive offsets of those totals (a window over that small table);
-4. a window per range partition, plus its offset.
+4. a window per range, plus its offset: the only shuffle of the rows.
 
 Order keys must be unique within a group: aggregate first (``groupBy(key)``
 with map-side partial aggregation), which also absorbs any hot key.
@@ -19,13 +19,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_range_pid"
-# Offsets tables at most this many rows are broadcast; the row count is
-# num_partitions x groups, both known before the job runs.
-BROADCAST_OFFSETS_MAX_ROWS = 1_000_000
+_RANGE = "_range"
+# Ranges per task slot: several small ones even out where their hashes fall.
+RANGES_PER_SLOT = 4
 
 
 def default_parallelism(spark) -> int:
@@ -36,47 +36,57 @@ def default_parallelism(spark) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    """Range partitions: one per task slot unless given. The count is fixed
-    up front (not coalesced by AQE) because the partition index is part of
-    the result: both branches must see the same ranges."""
-    if n:
-        return int(n)
-    return default_parallelism(df.sparkSession)
+def range_bounds(df: DataFrame, col: str, n: int) -> list[float]:
+    """At most ``n - 1`` distinct inner bounds that cut ``col`` into even ranges."""
+    if n < 2:
+        return []
+    key = F.col(col).cast("double")
+    probs = [i / n for i in range(1, n)]
+    found = df.select(key.alias("k")).where(~F.isnan("k")).approxQuantile("k", probs, 1 / (4 * n))
+    return sorted(set(found))
+
+
+def with_range(df: DataFrame, col: str, bounds: Sequence[float], out: str = _RANGE) -> DataFrame:
+    """Add the index of the range that ``col`` falls into (increasing with it;
+    NULL and NaN form a range of their own, the last)."""
+    if not bounds:
+        return df.withColumn(out, F.lit(0.0))
+    key = f"{out}_key"
+    cut = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol=key, outputCol=out, handleInvalid="keep")
+    return cut.transform(df.withColumn(key, F.col(col).cast("double"))).drop(key)
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    group_cols: Sequence[str] = (), descending: bool = False,
-                   num_partitions: int | None = None, n_groups: int = 1,
+                   num_partitions: int | None = None,
                    cum_prefix: str = "cum_", total_prefix: str = "total_") -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in key order) and ``total_<c>``
-    (group total) for every ``c`` in ``sum_cols``."""
-    n = _num_partitions(df, num_partitions)
+    (group total) for every ``c`` in ``sum_cols``. The order key is numeric."""
+    n = num_partitions or RANGES_PER_SLOT * default_parallelism(df.sparkSession)
     group_cols = list(group_cols)
-    okey = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    parted = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], okey)
-                .withColumn(_PID, F.spark_partition_id()))
+    parted = with_range(df, order_col, range_bounds(df, order_col, n))
+
+    def order(c):
+        return F.col(c).desc() if descending else F.col(c).asc()
 
-    tot = parted.groupBy(*group_cols, _PID).agg(
+    tot = parted.groupBy(*group_cols, _RANGE).agg(
         *[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    by_pid = Window.partitionBy(*group_cols).orderBy(_PID)
+    before = Window.partitionBy(*group_cols).orderBy(order(_RANGE)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*group_cols)
     offsets = tot.select(
-        *group_cols, _PID,
-        *[(F.sum(f"_t_{c}").over(by_pid.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-           - F.col(f"_t_{c}")).alias(f"_o_{c}") for c in sum_cols],
+        *group_cols, _RANGE,
+        *[(F.sum(f"_t_{c}").over(before) - F.col(f"_t_{c}")).alias(f"_o_{c}") for c in sum_cols],
         *[F.sum(f"_t_{c}").over(whole).alias(f"{total_prefix}{c}") for c in sum_cols])
-    if n * max(n_groups, 1) <= BROADCAST_OFFSETS_MAX_ROWS:
-        offsets = F.broadcast(offsets)
 
-    inner = (Window.partitionBy(*group_cols, _PID).orderBy(okey)
+    inner = (Window.partitionBy(*group_cols, _RANGE).orderBy(order(order_col))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = parted.join(offsets, [*group_cols, _PID])
-    out = joined.select(
+    summed = parted.select("*", *[F.sum(c).over(inner).alias(f"_in_{c}") for c in sum_cols])
+    joined = summed.join(offsets, [*group_cols, _RANGE])
+    return joined.select(
         *[F.col(c) for c in df.columns],
-        *[(F.sum(c).over(inner) + F.col(f"_o_{c}")).alias(f"{cum_prefix}{c}") for c in sum_cols],
+        *[(F.col(f"_in_{c}") + F.col(f"_o_{c}")).alias(f"{cum_prefix}{c}") for c in sum_cols],
         *[F.col(f"{total_prefix}{c}") for c in sum_cols])
-    return out
 
 
 def long_values(df: DataFrame, cols: Sequence[str], name_col: str = "column",
@@ -111,7 +121,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     cols, probs = list(cols), [float(q) for q in probs]
     if method == "full":
-        return _quantiles_by_rank(long_values(df, cols), probs, num_partitions, len(cols))
+        return _quantiles_by_rank(long_values(df, cols), probs, num_partitions)
     if method != "band":
         raise ValueError(f"method must be band or full, not {method!r}")
 
@@ -150,7 +160,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                  .select("b.*"))
     grouped = band.groupBy("column", "p", "value").agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(grouped, "value", ["n"], group_cols=["column", "p"],
-                         num_partitions=num_partitions, n_groups=len(bounds))
+                         num_partitions=num_partitions)
     # Target rank inside the band: ceil(p * n) minus the rows below it.
     target = F.lit(0)
     for (c, q) in bounds:
@@ -161,11 +171,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                .select("column", "p", "value"))
 
 
-def _quantiles_by_rank(values: DataFrame, probs: Sequence[float], num_partitions: int | None,
-                       n_groups: int) -> DataFrame:
+def _quantiles_by_rank(values: DataFrame, probs: Sequence[float], num_partitions: int | None) -> DataFrame:
     counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(counts, "value", ["n"], group_cols=["column"],
-                         num_partitions=num_partitions, n_groups=n_groups)
+                         num_partitions=num_partitions)
     p = F.col("p")
     rank = F.greatest(F.ceil(p * F.col("total_n")), F.lit(1))
     return (cum.select("column", "value", "n", "cum_n", "total_n",

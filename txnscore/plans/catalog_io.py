@@ -33,11 +33,10 @@ def q_scan_csv(spark, d):
 @query("scan_dataset", TX_ORACLE)
 def q_scan_dataset(spark, d):
     t = transactions(spark, d)
-    # A dataset of many files in one folder per category (no shuffle: each
-    # task writes its rows of each category), read back with partition
-    # discovery.
+    # A dataset of many files in one folder per category, read back with
+    # partition discovery under the stated types.
     path = write_dataset(t, scratch_path(spark, "dataset"), partition_by=["category"])
-    return tx_long(read_dataset(spark, path))
+    return tx_long(read_dataset(spark, path, schema=TXN).select(*TXN.fieldNames()))
 
 
 @query("encode_messages", with_transactions() + """

@@ -16,6 +16,7 @@ from ..operators import metrics as M
 from ..operators.split import split_random
 from ..schemas import KEY, LABEL
 from ..session import scratch_path
+from ..sources.files import read_dataset, write_dataset
 from ..sources.requests import expand_requests, to_requests
 from ..views import transactions, with_transactions
 from . import models as MD
@@ -192,9 +193,11 @@ def q_score_model_requests(spark, d):
     in reverse order) and scored by both trained models, bound by name."""
     t = trained(spark, d)
     scorer = t.scorer()
-    names = MD.model_inputs(scorer)
     ft = feature_table(t.features, transactions(spark, d), keep=[KEY])
-    reqs = to_requests(ft, list(reversed(names)), KEY)
+    reqs = to_requests(ft, list(reversed(MD.model_inputs(scorer))), KEY)
+    # Requests arrive as stored rows: their maps are read, not built again in
+    # every expression that looks a feature up.
+    reqs = read_dataset(spark, write_dataset(reqs, scratch_path(spark, "requests")))
     scores, _ = MD.score_requests(scorer, reqs)
     return scores
 
@@ -202,9 +205,8 @@ def q_score_model_requests(spark, d):
 @query("stream_model_counts")
 def q_stream_model_counts(spark, d):
     """Raw transactions streamed through the saved scorer (both models) into
-    the watermarked daily prediction counter; returns the current counts."""
+    the daily prediction counter; returns the current counts."""
     from ..schemas import TXN
-    from ..sources.files import write_dataset
     from ..streaming import scoring as SS
     t = trained(spark, d)
     model_dir = MD.save_model(t.scorer(), scratch_path(spark, "model"))
@@ -223,7 +225,6 @@ select 'output_nonempty' as gate, cast(count(*) as bigint) as observed,
 def q_gate_output_nonempty(spark, d):
     """The written feature dataset is read back and counted (rows, not files)."""
     from ..operators.gates import gate_nonempty
-    from ..sources.files import read_dataset, write_dataset
     ft = feature_table(exact_features(spark, d), transactions(spark, d), keep=[KEY, LABEL])
     path = write_dataset(ft, scratch_path(spark, "features"))
     return gate_nonempty(read_dataset(spark, path), "output_nonempty")

@@ -148,12 +148,16 @@ def model_features(fitted: PipelineModel, available: Sequence[str] | None = None
 
 
 def fit_features(df: DataFrame, relative_error: float = SC.DEFAULT_RELATIVE_ERROR,
-                 handle_invalid: str = "skip", features_col: str = "features") -> PipelineModel:
+                 handle_invalid: str = "keep", features_col: str = "features") -> PipelineModel:
     """Fit vocabulary and quartiles on ``df``; return stages ending in the assembler.
 
-    The two fits are independent passes over the same rows and run at once.
+    The two fits are independent passes over the same rows and run at once. The
+    assembler keeps every row (NULL becomes NaN): rows that cannot be scored are
+    told by ``invalid_reason``, never dropped on the way.
     """
     base = TransactionFeatures()
+    # The exact quartile fit passes three times over two columns: compute the
+    # distance once.
     with_base = base.transform(df)
     with ThreadPoolExecutor(max_workers=2) as pool:
         onehot = pool.submit(CategoryOneHot().fit, with_base)

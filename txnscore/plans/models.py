@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from ..functions import positive_probability
 from ..operators import balance as B
 from ..operators import metrics as M
+from ..operators.features import invalid_reason, split_invalid
 from ..operators.split import split
 from ..schemas import KEY, LABEL, RUN
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from .featurize import fit_features
 
 # Model names (as the scoring response and counter labels) and
@@ -34,6 +35,12 @@ LR_MAX_ITER = 100
 GBT_MAX_ITER, GBT_MAX_DEPTH = 20, 5
 SPLIT_WEIGHTS = (0.8, 0.2)
 
+# Raw columns the saved scorer reads: a NULL or NaN in one makes a reject.
+SCORE_INPUTS = ["trans_date_trans_time", "amt", "city_pop", "lat", "long", "merch_lat",
+                "merch_long"]
+# A NULL key would give a NULL split bucket and vanish from both sides.
+VALIDATED = [KEY, *SCORE_INPUTS]
+
 
 def _cols(prefix: str) -> dict[str, str]:
     return {"raw": f"{prefix}_raw", "probability": f"{prefix}_probability",
@@ -81,6 +88,9 @@ class Trained:
     # "split_first" (leak-free default) or "reference" (fit and balance on
     # everything, then split).
     train_order: str = "split_first"
+    # Rows both fits read, and the rows set aside before them.
+    train_rows: int | None = None
+    rejects: DataFrame | None = None
 
     def test_stages(self) -> list:
         return list(self.features.stages) if self.eval_stages is None else list(self.eval_stages)
@@ -96,12 +106,15 @@ def train(df: DataFrame, split_mode: str | None = None, balance_mode: str = "exa
           reference_order: bool = False) -> Trained:
     """Fit the feature stages and both models.
 
-    ``split_mode`` defaults to ``hash``; with ``reference_order`` it defaults
+    Rows that cannot train (a NULL or NaN input, a NULL key, a label other than
+    0 or 1) are set aside in ``rejects`` with a reason. ``split_mode`` defaults
+    to ``hash``; with ``reference_order`` it defaults
     to ``random`` so that, as in the old order, copies of one fraud row can
     land on both sides (a key-hash split would keep them together).
     """
     if split_mode is None:
         split_mode = "random" if reference_order else "hash"
+    df, rejects = split_invalid(df, [c for c in VALIDATED if c in df.columns], LABEL)
     if reference_order:
         feats = fit_features(df, relative_error)
         balanced = B.balance(df, mode=balance_mode, seed=seed, copy_col=None)
@@ -110,13 +123,15 @@ def train(df: DataFrame, split_mode: str | None = None, balance_mode: str = "exa
         train_raw, test_raw = split(df, SPLIT_WEIGHTS, split_mode, seed=seed)
         feats = fit_features(train_raw, relative_error)
         train_raw = B.balance(train_raw, mode=balance_mode, seed=seed, copy_col=None)
-    lr, gbt = fit_models(feats.transform(train_raw), with_gbt, seed)
+    lr, gbt, rows = fit_models(feats.transform(train_raw), with_gbt, seed)
     return Trained(feats, lr, gbt, train_raw, test_raw, split_mode, balance_mode,
-                   train_order="reference" if reference_order else "split_first")
+                   train_order="reference" if reference_order else "split_first",
+                   train_rows=rows, rejects=rejects)
 
 
 def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
-    """Fit LR (and GBT) on rows that carry the ``features`` vector."""
+    """Fit LR (and GBT) on rows that carry the ``features`` vector; also the
+    number of rows."""
     # GBT cuts its lineage every 10 trees into the session's checkpoint folder.
     ensure_checkpoint_dir(assembled.sparkSession)
     # The training slice is read ~100 times by L-BFGS and once per tree level
@@ -124,28 +139,29 @@ def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
     # at once from two driver threads (as CrossValidator's ``parallelism``):
     # their jobs interleave on the cluster, and each model is the same as
     # when fitted alone.
-    train_set = assembled.select(KEY, "features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    train_set = assembled.select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        rows = train_set.count()  # fills the cache that both fits read
         if not with_gbt:
-            return train_lr(train_set), None
+            return train_lr(train_set), None, rows
         with ThreadPoolExecutor(max_workers=2) as pool:
             lr = pool.submit(train_lr, train_set)
             gbt = pool.submit(train_gbt, train_set, seed)
-            return lr.result(), gbt.result()
+            return lr.result(), gbt.result(), rows
     finally:
         train_set.unpersist()
 
 
 def train_from_tables(features: PipelineModel, train_table: DataFrame, test_table: DataFrame,
                       with_gbt: bool = True, seed: int = 42, split_mode: str = "hash",
-                      balance_mode: str = "exact") -> Trained:
+                      balance_mode: str = "exact", train_order: str = "split_first") -> Trained:
     """Fit both models from written feature tables (the output of
     ``jobs.prepare``): the lineage of every training pass starts at those
     files in the shared folder, not at the split and the oversampling."""
     assembler = features.stages[-1]
-    lr, gbt = fit_models(assembler.transform(train_table), with_gbt, seed)
+    lr, gbt, rows = fit_models(assembler.transform(train_table), with_gbt, seed)
     return Trained(features, lr, gbt, train_table, test_table, split_mode, balance_mode,
-                   eval_stages=[assembler])
+                   eval_stages=[assembler], train_order=train_order, train_rows=rows)
 
 
 def train_lr(assembled: DataFrame):
@@ -169,33 +185,39 @@ def unpack_scores(transformed: DataFrame) -> list:
     return structs
 
 
-def score(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()) -> DataFrame:
-    """Score raw transactions with every model in ``model``: key, then one
-    struct<fraud_probability, is_fraud_prediction> per model."""
-    out = model.transform(raw)
-    return out.select(key, *keep, *unpack_scores(out))
+def tagged_scores(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()) -> DataFrame:
+    """key, one struct<fraud_probability, is_fraud_prediction> per model, and
+    ``reason``: the inputs that are NULL or NaN (NULL if none). Every row stays;
+    a row with a reason has NULL scores."""
+    reason = "_reason"
+    out = model.transform(raw.withColumn(
+        reason, invalid_reason(raw, [c for c in SCORE_INPUTS if c in raw.columns])))
+    ok = F.col(reason).isNull()
+    names = unpack_scores(out)
+    plain = out.select(key, *keep, *names, reason)
+    models = plain.columns[1 + len(keep):-1]
+    return plain.select(key, *keep, *[F.when(ok, F.col(m)).alias(m) for m in models],
+                        F.col(reason).alias("reason"))
 
 
-# Raw columns the saved scorer reads; NULL/NaN in any of them would make the
-# assembler skip the row, so such rows are split off with a reason instead.
-SCORE_INPUTS = ["trans_date_trans_time", "amt", "city_pop", "lat", "long", "merch_lat",
-                "merch_long"]
+def score(model: PipelineModel, raw: DataFrame, key: str = KEY, keep: tuple = ()) -> DataFrame:
+    """Score raw transactions with every model in ``model``: one row per input
+    row, with NULL scores where an input is missing (see ``tagged_scores``)."""
+    return tagged_scores(model, raw, key, keep).drop("reason")
 
 
 def score_checked(model: PipelineModel, raw: DataFrame, key: str = KEY,
                   keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """(scores, rejects): rows that cannot be scored are reported, not lost."""
-    from ..operators.features import split_invalid
-    valid, rejects = split_invalid(raw, [c for c in SCORE_INPUTS if c in raw.columns])
-    return score(model, valid, key, keep), rejects.select(key, *keep, "reason")
+    out = tagged_scores(model, raw, key, keep)
+    ok = F.col("reason").isNull()
+    return out.where(ok).drop("reason"), out.where(~ok).select(key, *keep, "reason")
 
 
-def evaluate(model: PipelineModel, test: DataFrame, prefix: str,
-             num_bins: int = 1000) -> dict[str, float]:
+def evaluate(pred: DataFrame, prefix: str, num_bins: int = 1000) -> dict[str, float]:
     """PR-AUC (evaluator; 1,000 bins by default, 0 = every distinct score),
-    label-weighted F1 and fraud-class F1."""
+    label-weighted F1 and fraud-class F1 of one model's scored rows."""
     c = _cols(prefix)
-    pred = model.transform(test)
     pr = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol=c["raw"],
                                        metricName="areaUnderPR", numBins=num_bins).evaluate(pred)
     # Both F1 values from one confusion-count aggregate; the label-weighted
@@ -207,19 +229,22 @@ def evaluate(model: PipelineModel, test: DataFrame, prefix: str,
 
 
 def runs(t: Trained, run_prefix: str = "run", num_bins: int = 1000) -> DataFrame:
-    """A runs table (one row per model) for the trained pair. The two
-    evaluations and the two row counts are independent jobs and run at once."""
+    """A runs table (one row per model) for the trained pair. The test side is
+    scored once by both models and written; the metrics read that table."""
     spark = t.train.sparkSession
     models = [(name, prefix, m) for name, prefix, m in
               ((LR_NAME, "lr", t.lr), (GBT_NAME, "gbt", t.gbt)) if m is not None]
-    with ThreadPoolExecutor(max_workers=len(models) + 2) as pool:
-        test_rows = pool.submit(t.test.count)
-        train_rows = pool.submit(t.train.count)
-        mets = [pool.submit(evaluate, PipelineModel(stages=t.test_stages() + [m]), t.test,
-                            prefix, num_bins) for _, prefix, m in models]
+    scored = PipelineModel(stages=t.test_stages() + [m for _, _, m in models]).transform(t.test)
+    path = scratch_path(spark, "evaluated")
+    scored.select(LABEL, *[_cols(p)[c] for _, p, _ in models for c in ("raw", "prediction")]).write.parquet(path)
+    scored = spark.read.parquet(path)
+    test_rows = scored.count()
+    train_rows = t.train_rows if t.train_rows is not None else t.train.count()
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        mets = [pool.submit(evaluate, scored, prefix, num_bins) for _, prefix, m in models]
         rows = [(f"{run_prefix}_{name}", type(m).__name__, t.pipeline_id, met["pr_auc"],
                  met["f1"], met["f1_fraud"], t.split_mode, t.balance_mode, t.train_order,
-                 train_rows.result(), test_rows.result())
+                 train_rows, test_rows)
                 for (name, _, m), met in zip(models, [f.result() for f in mets])]
     return spark.createDataFrame(rows, RUN)
 
@@ -241,9 +266,6 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-load_models = load_model
-
-
 def _assembler_index(model: PipelineModel) -> int:
     from pyspark.ml.feature import VectorAssembler as VA
     for i, s in enumerate(model.stages):
@@ -266,7 +288,6 @@ def score_requests(model: PipelineModel, requests: DataFrame, id_col: str = "req
     feature goes to the rejects (with the missing names) instead of being
     silently dropped or mis-bound. Returns (scores, rejects).
     """
-    from ..operators.features import split_invalid
     from ..sources.requests import expand_requests
     names = model_inputs(model)
     wide = expand_requests(requests, names, map_col, keep=(id_col,))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,9 +45,10 @@ def get_spark(master: str | None = None, app_name: str = "txnscore",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) a
-    scratch folder is created and registered on the SparkContext (the
-    session conf cannot be changed for a core setting).
+    The cluster's setting always wins. Only when it is unset and the master is
+    local (tests) a scratch folder is created and registered on the SparkContext
+    (the session conf cannot be changed for a core setting); on a cluster an
+    unset folder is an error, since executors share no local folder.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -58,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     if not current.isEmpty():
         return current.get()
+    master = sc.master or ""
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
     d = tempfile.mkdtemp(prefix="txnscore-ckpt-")
     sc.setCheckpointDir(d)
     return d

@@ -25,7 +25,8 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
     read as text columns and each schema field is ``try_cast`` from the
     column of the same name (unparsable values become NULL and go to the
     rejects; extra columns such as a nameless index are ignored; a missing
-    column is left out so the schema gate reports it). ``infer`` asks for
+    column is left out so the schema gate reports it). All files of one read
+    must have the same header. ``infer`` asks for
     Spark's type inference instead (a full extra pass; keys may turn into
     numbers).
     """
@@ -33,7 +34,9 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
         r = spark.read.options(**csv_options())
         if infer or schema is None:
             return r.option("inferSchema", "true").csv(path)
-        text = r.csv(path)
+        # Every file's header is held against the first one's: a file with its
+        # columns in another order fails instead of being read by position.
+        text = r.option("enforceSchema", "false").csv(path)
         present = set(text.columns)
         return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
                              for f in schema.fields if f.name in present])
@@ -45,7 +48,9 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
 
 def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet",
                  schema: T.StructType | None = None) -> DataFrame:
-    """A dataset directory of many part files."""
+    """A dataset directory of many part files. Give ``schema`` for a folder with
+    partition columns: their types are otherwise guessed from the folder names
+    (a category ``05`` would become the number 5)."""
     if fmt == "csv":
         return read_transactions(spark, path, "csv", schema or TXN)
     r = spark.read.format(fmt)
@@ -61,6 +66,10 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     if fmt == "csv":
         w = w.options(**csv_options())
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # Few tasks per folder, large folders split: no task x value small files.
+        w = (df.hint("rebalance", *partition_by).write.mode(mode).format(fmt)
+             .partitionBy(*partition_by))
+        if fmt == "csv":
+            w = w.options(**csv_options())
     w.save(path)
     return path

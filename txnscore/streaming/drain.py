@@ -8,11 +8,13 @@ drains what is there and stops; ``False`` keeps the same query running.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.time import wall_to_instant
-from ..schemas import EVENT_TIME, KEY, MESSAGE
+from ..schemas import KEY, MESSAGE
 from ..sources.files import csv_options
 from ..sources.messages import decode_messages
 
@@ -42,27 +44,66 @@ def _kafka_read_options(options: dict | None) -> dict:
     return opts
 
 
+def _kafka_batch(spark: SparkSession, options: dict | None, starting: str = "earliest") -> DataFrame:
+    r = (spark.read.format("kafka").option("startingOffsets", starting)
+              .option("endingOffsets", "latest"))
+    return r.options(**_kafka_read_options(options)).load()
+
+
+def log_position(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
+                 options: dict | None = None):
+    """Where a log ends now: its message files, or the next offset of every
+    topic partition as ``startingOffsets`` text (one row a partition)."""
+    if fmt == "kafka":
+        ends = (_kafka_batch(spark, options).groupBy("topic", "partition")
+                .agg((F.max("offset") + 1).alias("next")).collect())
+        return kafka_offsets((r["topic"], r["partition"], r["next"]) for r in ends)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return frozenset()
+    return frozenset(_files(spark, path, fmt, options))
+
+
+def kafka_offsets(ends) -> str:
+    """(topic, partition, next offset) rows as ``startingOffsets`` text; an empty
+    topic starts at the earliest offset."""
+    out: dict = {}
+    for topic, partition, following in ends:
+        out.setdefault(topic, {})[str(partition)] = int(following)
+    return json.dumps(out, sort_keys=True) if out else "earliest"
+
+
+def _files(spark: SparkSession, path: str, fmt: str, options: dict | None) -> list[str]:
+    return spark.read.format(fmt).schema(MESSAGE).options(**(options or {})).load(path).inputFiles()
+
+
 def read_log(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-             options: dict | None = None) -> DataFrame:
-    """The whole log as a batch (key, value) table: every offset of a Kafka
-    topic (earliest to latest) or every message file."""
+             options: dict | None = None, since=None) -> DataFrame:
+    """The log as a batch (key, value) table: every offset of a Kafka topic
+    (earliest to latest) or every message file; with ``since`` (a
+    ``log_position``) only what was published after it."""
     if fmt == "kafka":
-        r = (spark.read.format("kafka").option("startingOffsets", "earliest")
-                  .option("endingOffsets", "latest"))
-        return r.options(**_kafka_read_options(options)).load().selectExpr(
+        return _kafka_batch(spark, options, since or "earliest").selectExpr(
             "cast(key as string) as key", "cast(value as string) as value")
-    return spark.read.format(fmt).schema(MESSAGE).options(**(options or {})).load(path)
+    r = spark.read.format(fmt).schema(MESSAGE).options(**(options or {}))
+    if since is None:
+        return r.load(path)
+    new = sorted(set(_files(spark, path, fmt, options)) - since)
+    return r.load(new) if new else spark.createDataFrame([], MESSAGE)
 
 
 def decoded_stream(messages: DataFrame, dedupe_within: str | None = None) -> DataFrame:
-    """Typed transactions; with ``dedupe_within`` (e.g. '1 day') a re-sent
-    key is dropped while within the event-time watermark (state is bounded)."""
+    """Typed transactions; with ``dedupe_within`` (e.g. '1 day') a key re-sent
+    within that time of its arrival is dropped (state is bounded). The watermark
+    runs on arrival time, so no row is ever late; rows without a key (malformed
+    messages) are never duplicates of one another."""
     rows = decode_messages(messages)
     if dedupe_within:
-        # Watermarks need a zoned timestamp; the wall-clock column is kept.
-        rows = (rows.withColumn("_ev", wall_to_instant(EVENT_TIME))
-                    .withWatermark("_ev", dedupe_within)
-                    .dropDuplicatesWithinWatermark([KEY]).drop("_ev"))
+        own = F.coalesce(F.concat(F.lit("k"), F.col(KEY)), F.expr("uuid()"))
+        rows = (rows.withColumns({"_at": F.current_timestamp(), "_key": own})
+                    .withWatermark("_at", dedupe_within)
+                    .dropDuplicatesWithinWatermark(["_key"]).drop("_at", "_key"))
     return rows
 
 

@@ -2,52 +2,60 @@
 
 Scores are a stateless projection of the stream (any fitted PipelineModel
 transforms a streaming DataFrame). The counter is an event-time windowed
-aggregate with a watermark, so its state is bounded; each micro-batch's
-updated windows are written idempotently under ``batch_id=<n>`` and the
-current table is the latest value per window, class and model.
+aggregate without a watermark: a prediction of any age is counted, and the
+state is a few rows per window (classes x models). Each micro-batch's updated
+windows are written idempotently under ``batch_id=<n>`` and the current table
+is the latest value per window, class and model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import class_name
 from ..functions.time import instant_to_wall, wall_to_instant
-from ..operators.stats import default_parallelism
 from ..schemas import EVENT_TIME
 
 COUNT_KEYS = ["window_start", "window_end", "prediction_class", "model_name"]
 
 
 def windowed_prediction_counts(scored: DataFrame, model_cols: Sequence[str],
-                               window: str = "1 day", watermark: str = "1 day",
-                               time_col: str = EVENT_TIME) -> DataFrame:
-    """Counts per (event-time window, class, model), watermarked.
+                               window: str = "1 day", time_col: str = EVENT_TIME) -> DataFrame:
+    """Counts per (event-time window, class, model); rows without an event time
+    are counted under a NULL window.
 
-    Watermarks need a zoned timestamp: a wall-clock (``timestamp_ntz``) event
-    time is read as a UTC instant and the window bounds are turned back into
-    wall clocks, so windows are whole days in any session time zone.
+    A wall-clock (``timestamp_ntz``) event time is read as a UTC instant and the
+    window bounds are turned back into wall clocks, so windows are whole days in
+    any session time zone.
     """
     ntz = dict(scored.dtypes)[time_col] == "timestamp_ntz"
     ev = wall_to_instant(time_col) if ntz else F.col(time_col)
     stacked = scored.select(ev.alias("_ev"), F.explode(F.array(*[
         F.struct(F.lit(m).alias("model_name"), F.col(m)["is_fraud_prediction"].alias("p"))
         for m in model_cols])).alias("s"))
-    counts = (stacked.withWatermark("_ev", watermark)
-                     .groupBy(F.window("_ev", window).alias("w"),
-                              class_name("s.p").alias("prediction_class"),
-                              F.col("s.model_name").alias("model_name"))
-                     .agg(F.count(F.lit(1)).alias("n")))
+    # window() leaves out rows without a time; they are counted beside it.
+    timed = stacked.withColumn("w", F.when(F.col("_ev").isNotNull(), _tumbling(F.col("_ev"), window)))
+    counts = (timed.groupBy("w", class_name("s.p").alias("prediction_class"),
+                            F.col("s.model_name").alias("model_name"))
+                   .agg(F.count(F.lit(1)).alias("n")))
     back = instant_to_wall if ntz else (lambda c: c)
     return counts.select(back(F.col("w.start")).alias("window_start"),
                          back(F.col("w.end")).alias("window_end"),
                          "prediction_class", "model_name", "n")
 
 
+def _tumbling(at: Column, window: str) -> Column:
+    """struct<start, end> of the tumbling window that ``at`` falls into."""
+    span = F.expr(f"interval {window}")
+    size = F.unix_micros(F.timestamp_micros(F.lit(0)) + span)
+    start = F.unix_micros(at) - F.pmod(F.unix_micros(at), size)
+    return F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + size).alias("end"))
+
+
 def _batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         # Overwriting the batch's own folder makes a replayed batch idempotent.
@@ -55,30 +63,16 @@ def _batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-# State partitions of the counter: its state is a few rows per day, model
-# and class, and map-side partial aggregation feeds it one row per group and
-# task, so it never needs the (large) batch shuffle setting.
-MAX_STATE_PARTITIONS = 64
-
-
-def run_counts(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-               state_partitions: int | None = None) -> StreamingQuery:
-    """Start the counter: update mode, one idempotent folder per micro-batch."""
-    spark = counts.sparkSession
-    n = state_partitions or min(MAX_STATE_PARTITIONS, default_parallelism(spark))
+def run_counts(counts: DataFrame, path: str, checkpoint: str,
+               available_now: bool = True) -> StreamingQuery:
+    """Start the counter: update mode, one idempotent folder per micro-batch.
+    State partitions are the session's shuffle partitions when the query first
+    starts (give the stream a session of its own to choose fewer)."""
     w = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
                .foreachBatch(_batch_writer(path)))
     if available_now:
         w = w.trigger(availableNow=True)
-    # The stream copies the session conf when it starts (and a restart from
-    # the checkpoint keeps the recorded count), so set it just for start().
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, old)
+    return w.start()
 
 
 SNAPSHOTS = "_snapshots"
@@ -123,6 +117,12 @@ def current_counts(spark: SparkSession, path: str) -> DataFrame:
     return _counts(spark, path)
 
 
+def current_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Sum per (window, class, model) over batches that hold their own rows'
+    counts (as ``jobs.score_stream`` writes them)."""
+    return spark.read.parquet(path).groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n"))
+
+
 def compact_counts(spark: SparkSession, path: str) -> str:
     """Fold every batch written so far into a snapshot under
     ``_snapshots/upto=<n>`` (hidden from partition discovery); later reads
