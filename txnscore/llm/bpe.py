@@ -63,6 +63,7 @@ class WordBpe:
                      for k, m in enumerate(spec["model"]["merges"])}
         self.made = {a + b: (k, a, b) for (a, b), k in self.rank.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.control = {t.upper(): i for t, i in self.special.items()}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self.longest = max(len(t.removesuffix(END)) for t in self.ids)
         self.split_special = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")")
@@ -111,9 +112,24 @@ class WordBpe:
             else:
                 return True
 
+    def _any_state(self, word: str, n: int, last: list[int]) -> tuple[int, int]:
+        """(token, start) of the suffix token of ``word`` that fits the state before it;
+        the last letter stands at n - 1 (an end mark may follow)."""
+        for j in range(n - self.longest if n > self.longest else 0, n):
+            token = self.ids.get(word[j:])
+            if token is not None:
+                ok = self.pairs.get(last[j] << 20 | token)
+                if ok or ok is None and self.valid(last[j], token):
+                    return token, j
+        raise ValueError(f"no state for {word!r}")
+
     def encode_words(self, words) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words (byte letters), sharing the work of prefixes."""
-        find, fits, valid, longest = self.ids.get, self.pairs.get, self.valid, self.longest
+        """Ids of distinct words (byte letters), sharing the work of prefixes.
+
+        The state of a prefix is its only suffix token that fits the state before
+        it, so the order of trying is free: the last token with one letter more,
+        or the letter alone, and only then every other start."""
+        find, fits, valid, other = self.ids.get, self.pairs.get, self.valid, self._any_state
         out, path = {}, ""
         last, size = [-1], [0]  # of each prefix on the path: its last token and that one's length
         for word in sorted(words):
@@ -122,27 +138,27 @@ class WordBpe:
             while same < top and path[same] == word[same]:
                 same += 1
             del last[same + 1:], size[same + 1:]
-            # The state of a prefix is its only suffix token that fits the state before it.
             for i in range(same + 1, n):
-                for j in range(i - longest if i > longest else 0, i):
-                    token = find(word[j:i])
-                    if token is not None:
-                        ok = fits(last[j] << 20 | token)
-                        if ok or ok is None and valid(last[j], token):
-                            break
-                else:
-                    raise ValueError(f"no state for {word[:i]!r}")
+                j = i - 1 - size[-1]
+                token = find(word[j:i])
+                ok = token is not None and fits(last[j] << 20 | token)
+                if not ok and (ok is not None or not valid(last[j], token)):
+                    j = i - 1
+                    token = find(word[j])
+                    ok = fits(last[j] << 20 | token)
+                    if not ok and (ok is not None or not valid(last[j], token)):
+                        token, j = other(word[:i], i, last)
                 last.append(token)
                 size.append(i - j)
             path, marked = word[:-1], word + END
-            for j in range(n - longest if n > longest else 0, n):
-                token = find(marked[j:])
-                if token is not None:
-                    ok = fits(last[j] << 20 | token)
-                    if ok or ok is None and valid(last[j], token):
-                        break
-            else:
-                raise ValueError(f"no state for {word!r}")
+            j = n - 1 - size[-1]
+            token = find(marked[j:])
+            ok = token is not None and fits(last[j] << 20 | token)
+            if not ok and (ok is not None or not valid(last[j], token)):
+                token, j = other(marked, n, last)
+            if not j:
+                out[word] = (token,)
+                continue
             found = [token]
             while j:
                 found.append(last[j])
@@ -152,34 +168,36 @@ class WordBpe:
         return out
 
     def chunks(self, text: str) -> list[str]:
-        """The text cut at white space; control strings are chunks of their own."""
+        """The normalised text cut at white space; control strings are chunks of
+        their own, in capitals, which no normalised text has."""
         if "oftext|>" in text:
-            out = []
-            for part in self.split_special.split(text):
-                out += [part] if part in self.special else self.chunks(part.replace("oftext|>", "oftext\0|>")) \
-                    if "oftext|>" in part else part.split() if not self.odd.search(part) else self._split(part)
-            return [c.replace("oftext\0|>", "oftext|>") for c in out]
-        return self._split(text) if self.odd.search(text) else text.split()
-
-    def _split(self, text: str) -> list[str]:
-        return [c for c in self.white.split(text) if c]
+            parts = self.split_special.split(text)
+            return [c for p in parts for c in ([p.upper()] if p in self.special else self._plain(p))]
+        return self._plain(text)
+
+    def _plain(self, text: str) -> list[str]:
+        if not text.isascii():
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            text = text.replace("Σ", "σ")  # lower() alone would look for a word's end
+        text = text.lower()
+        return [c for c in self.white.split(text) if c] if self.odd.search(text) else text.split()
 
     def words(self, chunk: str) -> list[str]:
         """The words of a chunk, in byte letters."""
-        if chunk.isascii() and chunk.isprintable():  # the common shapes: letters, and letters with one sign behind
-            low = chunk.lower()
-            if low.isalpha():
-                return [low]
-            if low[-1] in ".,;:!?" and low[:-1].isalpha():
-                return [low[:-1], low[-1]]
-            return self.word.findall(low)
-        if not unicodedata.is_normalized("NFC", chunk):
-            chunk = unicodedata.normalize("NFC", chunk)
-        return [w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode("utf-8", "replace")))
-                for w in self.word.findall(chunk.replace("Σ", "σ").lower())]
+        if chunk.isalpha():  # the common shapes: letters, and letters with one sign behind
+            found = [chunk]
+        elif chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            found = [chunk[:-1], chunk[-1]]
+        else:
+            found = self.word.findall(chunk)
+        if chunk.isascii() and chunk.isprintable():
+            return found
+        letters = self.letters.__getitem__
+        return ["".join(map(letters, w.encode("utf-8", "replace"))) for w in found]
 
     def encode_chunks(self, chunks) -> dict[str, tuple[int, ...]]:
-        known, special = self.known, self.special
+        known, special = self.known, self.control
         parts = {c: self.words(c) for c in chunks if c not in special}
         new = {w for ws in parts.values() for w in ws if w not in known}
         if new:

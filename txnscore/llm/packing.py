@@ -33,7 +33,7 @@ from txnscore.llm.common import blocks, ship, written
 
 CAPACITY, GRAIN, EOS = 4096, 32, 2
 #: Pieces per salted ranking group.
-GROUP_ROWS = 100_000
+GROUP_ROWS = 20_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLAN = "length long, first long, last long, copies long, sequence long, offset long"
