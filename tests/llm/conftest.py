@@ -1,14 +1,7 @@
-import os
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SMALL = "/root/testdata/sf0.001"
-
 #: Names that the operators use inside; as extra columns they must not matter.
 CLASHES = ["row", "spans", "rest", "key", "bucket", "tail", "sig", "pivot", "words", "lines", "marks", "score", "kept", "at"]
 

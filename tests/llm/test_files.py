@@ -7,13 +7,15 @@ import pyarrow.fs as pafs
 import pytest
 import zstandard
 
-import brute
 import corpus_pipeline as P
-from conftest import SF_SMALL
 from txnscore.llm import chat, langid, toxicity, warc
 from txnscore.llm.common import written
 from txnscore.session import scratch_path
 
+from . import brute
+
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, last long, digest long")

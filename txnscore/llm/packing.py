@@ -134,23 +134,26 @@ def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, i
     columns, amounts = column_generation(
         lengths // unit, np.array([left[int(n)] for n in lengths], float), capacity // unit)
     out = []
-    for column, amount in zip(columns.T, np.floor(amounts + 1e-6)):
-        pattern = {int(n): round(a) for n, a in zip(lengths, column) if a}
-        times = min([int(amount), *(left[n] // a for n, a in pattern.items())])
+
+    def use(pattern: dict[int, int], most: int) -> None:
+        times = min([most, *(left[n] // a for n, a in pattern.items())])
         if times > 0:
             out.append((pattern, times))
             for n, a in pattern.items():
                 left[n] -= a * times
+
+    held = [({int(n): round(a) for n, a in zip(lengths, column) if a}, x) for column, x in zip(columns.T, amounts)]
+    for pattern, x in held:
+        use(pattern, int(x + 1e-6))
+    for pattern, _ in sorted(held, key=lambda h: h[1] % 1, reverse=True):
+        use(pattern, 1)  # the largest fractions first, where their pieces are still left
     while any(left.values()):  # less than a pattern's worth of each class
         pattern, room = {}, capacity
         for n in sorted(left, reverse=True):
             if a := min(left[n], room // n):
                 pattern[n] = a
                 room -= a * n
-        times = min(left[n] // a for n, a in pattern.items())
-        out.append((pattern, times))
-        for n, a in pattern.items():
-            left[n] -= a * times
+        use(pattern, max(left.values()))
     return out
 
 
