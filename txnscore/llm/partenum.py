@@ -20,7 +20,9 @@ block. A shuffle by signature links the blocks' least sets. Then
 2. signatures whose members still lie in different components are compared
    pair by pair in blocks of ``BLOCK`` sets, outside the largest component's
    own pairs; a parity sketch, which never overstates the difference of two
-   sets, drops pairs beyond the limit, the others are verified.
+   sets, drops pairs beyond the limit. The closest pair of every document is
+   verified, round by round while that merges components; then every other
+   pair of different components is.
 
 So documents of different components share no signature within the limit that
 was not verified: the components are those of the exact join. Equal sets are
@@ -44,7 +46,7 @@ from txnscore.llm.common import (blocks, find_words, hash_ngrams, hash_spans, lo
 from txnscore.llm.components import components
 
 #: Members of a signature compared at a time, and parity bits per allowed difference.
-BLOCK, SKETCH_BITS = 256, 8
+BLOCK, SKETCH_BITS = 256, 16
 #: Sub-parts per necessary one, and the weight up to which light ones are dropped.
 SURPLUS, MOST_WEIGHT = 1.3, 8
 
@@ -289,49 +291,69 @@ def _bits(sketch: bytes, bits: int) -> np.ndarray:
     return np.packbits(out)
 
 
-def close_pairs(members: DataFrame, percent: int) -> DataFrame:
+NEAR = "a long, b long, gap long"
+
+
+def _close(group, limits, percent: int):
+    """(x, y, least difference) of the pairs of one block that may be linked."""
+    side, doc, comp, size = (np.array([r[k] for r in group]) for k in (3, 4, 5, 6))
+    bits = min(len(r[7]) for r in group) * 8
+    sketch = np.stack([_bits(r[7], bits) for r in group]).view(np.uint64)
+    for xs in np.array_split(np.flatnonzero(side != 1), len(group) // 64 + 1):
+        if not len(xs):
+            continue
+        x = xs[:, None]
+        meet_ = (side == 1) | ((side == 2) & (side[x] == 2) & (doc > doc[x]))
+        least = np.bitwise_count(sketch[x] ^ sketch[None]).sum(axis=2, dtype=np.int64)
+        near = (meet_ & (comp != comp[x]) & (least <= limits.differences(size + size[x]))
+                & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])))
+        i, y = np.nonzero(near)
+        yield from zip(doc[xs[i]].tolist(), doc[y].tolist(), least[i, y].tolist())
+
+
+def close_pairs(members: DataFrame, percent: int, best: bool = False) -> DataFrame:
     """Pairs of one (sig, i, j) block in different components whose sketches and
-    sizes allow a link. side 0 is compared with side 1, side 2 with itself and
-    with side 1; members: sig, i, j, side, doc, comp, size, sketch."""
+    sizes allow a link (rows of NEAR). side 0 is compared with side 1, side 2 with
+    itself and with side 1; members: sig, i, j, side, doc, comp, size, sketch.
+    ``best``: for every document the closest of its pairs only."""
     parts = members.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
-    def pairs(group, limits):
-        side, doc, comp, size = (np.array([r[k] for r in group]) for k in (3, 4, 5, 6))
-        bits = min(len(r[7]) for r in group) * 8
-        sketch = np.stack([_bits(r[7], bits) for r in group])
-        for x in np.flatnonzero(side != 1):
-            y = np.flatnonzero(((side == 1) | ((side == 2) & (side[x] == 2) & (doc > doc[x]))) & (comp != comp[x]))
-            if not len(y):
-                continue
-            total = size[x] + size[y]
-            least = np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1, dtype=np.int64)
-            near = (least <= limits.differences(total)) & (100 * np.minimum(size[x], size[y])
-                                                           >= percent * np.maximum(size[x], size[y]))
-            for z in y[near]:
-                yield int(max(doc[x], doc[z])), int(min(doc[x], doc[z]))
-
     def task(batches):
-        limits, group, found = Limits(percent), [], set()
+        limits, group, found = Limits(percent), [], {}
+
+        def take():
+            for x, y, gap in _close(group, limits, percent):
+                if best:
+                    for p, q in ((x, y), (y, x)):
+                        if p not in found or (gap, q) < found[p]:
+                            found[p] = (gap, q)
+                else:
+                    found[max(x, y), min(x, y)] = gap
+
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns)):
                 if group and r[:3] != group[0][:3]:
-                    found.update(pairs(group, limits))
-                    group = []
-                    if len(found) > 50_000:
-                        yield _pair_batch(found)
-                        found = set()
+                    take()
+                    group.clear()
+                    if len(found) > 100_000:
+                        yield _near_batch(found, best)
+                        found.clear()
                 group.append(r)
         if group:
-            found.update(pairs(group, limits))
-        yield _pair_batch(found)
+            take()
+        yield _near_batch(found, best)
 
-    return parts.select("sig", "i", "j", "side", "doc", "comp", "size", "sketch").mapInArrow(
-        task, "a long, b long").distinct()
+    out = parts.select("sig", "i", "j", "side", "doc", "comp", "size", "sketch").mapInArrow(task, NEAR)
+    if best:
+        out = out.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("m")).select("a", "m.b", "m.gap")
+    high, low = F.greatest("a", "b"), F.least("a", "b")
+    return out.select(high.alias("a"), low.alias("b")).distinct()
 
 
-def _pair_batch(found) -> pa.RecordBatch:
-    a, b = zip(*sorted(found)) if found else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _near_batch(found: dict, best: bool) -> pa.RecordBatch:
+    rows = [(x, y, gap) for x, (gap, y) in found.items()] if best else [(x, y, gap) for (x, y), gap in found.items()]
+    columns = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "gap"])
 
 
 def _unresolved(hits: DataFrame, comp: DataFrame) -> DataFrame:
@@ -369,6 +391,18 @@ def _dealt(open_: DataFrame, sketch: DataFrame) -> DataFrame:
     return main.unionByName(rest_main).unionByName(rest_rest)
 
 
+def _whole(ids: DataFrame, comp: DataFrame) -> DataFrame:
+    """(doc, comp) of all of ``ids``; a document without links is its own."""
+    return ids.withColumnRenamed("doc_id", "doc").join(comp, "doc", "left").select(
+        "doc", F.coalesce("component", "doc").alias("comp"))
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links between their members."""
+    old = comp.select(F.col("doc").alias("a"), F.col("component").alias("b"))
+    return written(components(old.unionByName(links)).withColumnRenamed("node", "doc"), "partenum-comp")
+
+
 def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text):
     the connected components of all pairs with Jaccard >= percent / 100 on
@@ -387,15 +421,22 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     texts = written(known.select("doc_id", "text").join(ids, "doc_id"), "partenum-texts")
     links = written(verify(tried, texts, n, percent).unionByName(same), "partenum-links")
     comp = written(components(links).withColumnRenamed("node", "doc"), "partenum-comp")
-    comp_all = ids.withColumnRenamed("doc_id", "doc").join(comp, "doc", "left").select(
-        "doc", F.coalesce("component", "doc").alias("comp"))
-    open_ = _unresolved(meeting, comp_all)
-    rest = _dealt(open_, sketches(texts.join(open_.select(F.col("doc").alias("doc_id")).distinct(), "doc_id"), n, percent))
-    near = written(close_pairs(rest, percent), "partenum-near")
-    more = verify(near.join(tried, ["a", "b"], "left_anti"), texts, n, percent)
-    # the second round links components of the first
-    old = comp.select(F.col("doc").alias("a"), F.col("component").alias("b"))
-    comp = written(components(old.unionByName(more)), "partenum-comp").withColumnRenamed("node", "doc_id")
+    sketch = None
+    while True:  # the closest pair of every open document, as long as any is a link
+        open_ = _unresolved(meeting, _whole(ids, comp))
+        if sketch is None:
+            wanted = open_.select(F.col("doc").alias("doc_id")).distinct()
+            sketch = written(sketches(texts.join(wanted, "doc_id"), n, percent), "partenum-sketches")
+        dealt = _dealt(open_, sketch)
+        near = written(close_pairs(dealt, percent, best=True).join(tried, ["a", "b"], "left_anti"), "partenum-near")
+        more = written(verify(near, texts, n, percent), "partenum-links")
+        tried = tried.unionByName(near)
+        if more.isEmpty():
+            break
+        comp = _merged(comp, more)
+    # every other pair of different components that may be a link
+    near = written(close_pairs(dealt, percent).join(tried, ["a", "b"], "left_anti"), "partenum-near")
+    comp = _merged(comp, verify(near, texts, n, percent)).withColumnRenamed("doc", "doc_id")
     size = sets.select(F.col("doc").alias("doc_id"), (F.col("size") - 1).alias("n_shingles"))
     out = size.join(comp, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
