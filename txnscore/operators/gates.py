@@ -105,14 +105,6 @@ def gate_table(spark, rows) -> DataFrame:
         "gate string, observed long, expected long, passed boolean")
 
 
-def union_gates(*gates: DataFrame) -> DataFrame:
-    """All gate rows in one table."""
-    out = gates[0]
-    for g in gates[1:]:
-        out = out.unionByName(g)
-    return out
-
-
 class GateFailed(RuntimeError):
     pass
 

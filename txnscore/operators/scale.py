@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .stats import exact_quantiles
 
 # Fixed value: the default sketch error of Spark's RobustScaler.
@@ -41,7 +42,11 @@ def iqr(df: DataFrame, cols: Sequence[str],
         qs = df.approxQuantile(cols, [Q1, Q3], float(relative_error))
         got = {c: v[1] - v[0] for c, v in zip(cols, qs) if len(v) == 2}
     else:
-        got = {r["column"]: float(r["iqr"]) for r in iqr_table(df, cols).collect()}
+        # Exact quartiles pass three times over the columns: derive them once.
+        path = scratch_path(df.sparkSession, "quartiles")
+        df.select(*cols).write.parquet(path)
+        stored = df.sparkSession.read.parquet(path)
+        got = {r["column"]: float(r["iqr"]) for r in iqr_table(stored, cols).collect()}
     if empty := [c for c in cols if c not in got]:
         raise ValueError(f"no quartiles: columns without a value: {empty}")
     return got

@@ -27,7 +27,7 @@ from . import jobs as J
 from . import models as MD
 from .catalog import DIST_SQL, HASH_SQL, tx_long
 from .catalog_io import TX_ORACLE
-from .catalog_models import trained
+from .catalog_models import FEATURE_SQL, exact_features, trained
 from .featurize import feature_table
 from .fixed import FIXED_MODEL, FIXED_SCORE_SQL, fixed_score
 from .registry import query
@@ -280,3 +280,51 @@ def q_score_stream_totals(spark, d):
     counts = scratch_path(spark, "counts")
     J.score_stream(spark, model, log, out, counts).awaitTermination()
     return SS.current_totals(spark, counts).groupBy("window_start", "model_name").agg(F.sum("n").alias("n"))
+
+
+@query("drop_columns", with_transactions(f"""
+feat as (select *, {DIST_SQL} as distance_km from transactions)""") + """
+select cc_num, amt, cast(city_pop as bigint) as city_pop, cast(is_fraud as bigint) as is_fraud,
+       cast(hour(trans_date_trans_time) as bigint) as trans_hour,
+       cast(dayofweek(trans_date_trans_time) + 1 as bigint) as trans_day_of_week,
+       round(distance_km, 6) as distance_km,
+       cast(case when gender = 'M' then 1 else 0 end as bigint) as gender_M
+from feat""")
+def q_drop_columns(spark, d):
+    """Derived features without identity, raw text and raw coordinates."""
+    out = FE.drop_columns(FE.base_features(transactions(spark, d)))
+    return out.select(*[F.round(c, 6).alias(c) if c == "distance_km" else c if c == "amt" else F.col(c).cast("long").alias(c)
+                        for c in out.columns])
+
+
+@query("feature_list", with_transactions("""
+c as (select distinct category from transactions where category is not null)""", """
+v as (select category, row_number() over (order by category) as r from c)""", """
+f as (select * from (values (1, 'trans_hour'), (2, 'trans_day_of_week'), (3, 'city_pop'), (4, 'gender_M')) t(p, name)
+      union all select 3 + r, 'cat_' || category from v where r > 1
+      union all select 4 + (select count(*) from c), 'amt_scaled'
+      union all select 5 + (select count(*) from c), 'distance_km_scaled')""") + """
+select cast(p as bigint) as position, name from f""")
+def q_feature_list(spark, d):
+    """The model's inputs in order: the allow-list of the fitted stages, and all
+    but key and label of the table it makes."""
+    fm = exact_features(spark, d)
+    names = MD.model_inputs(fm)
+    ft = feature_table(fm, transactions(spark, d), keep=[LABEL])
+    if FE.feature_columns(ft) != names or FE.feature_columns(ft, allow=names) != names:
+        raise ValueError("the allow-list and the feature table differ")
+    rows = FE.feature_columns(ft)
+    return spark.range(len(rows)).select(
+        (F.col("id") + 1).alias("position"), F.element_at(F.array(*map(F.lit, rows)), (F.col("id") + 1).cast("int")).alias("name"))
+
+
+@query("assembled_vector", with_transactions(FEATURE_SQL) + """
+select trans_num, cast(trans_hour as double) as trans_hour, round(amt_scaled, 6) as amt_scaled,
+       round(distance_km_scaled, 6) as distance_km_scaled, cast(cat_view as double) as cat_view
+from ft""")
+def q_assembled(spark, d):
+    """The assembled vector, unpacked by position, holds the named features."""
+    fm = exact_features(spark, d)
+    out = S.unpack(fm.transform(transactions(spark, d)).select(KEY, "features"), "features", MD.model_inputs(fm))
+    return out.select(KEY, "trans_hour", F.round("amt_scaled", 6).alias("amt_scaled"),
+                      F.round("distance_km_scaled", 6).alias("distance_km_scaled"), "cat_view")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols
@@ -131,12 +131,6 @@ class IqrScalerModel(Model, _ScalerParams, DefaultParamsReadable, DefaultParamsW
         return SC.scale_columns(df, self.rangeMap(), self.getOrDefault("suffix"), drop_source=False)
 
 
-def feature_stages(relative_error: float = SC.DEFAULT_RELATIVE_ERROR) -> Pipeline:
-    """The unfitted feature Pipeline (without the assembler)."""
-    return Pipeline(stages=[TransactionFeatures(), CategoryOneHot(),
-                            IqrScaler(SCALED_SOURCES, relative_error)])
-
-
 def model_features(fitted: PipelineModel, available: Sequence[str] | None = None) -> list[str]:
     """The allow-list of model inputs, saved with the model (never 'all but the
     label'); base features absent from ``available`` (e.g. no gender column,
@@ -156,8 +150,6 @@ def fit_features(df: DataFrame, relative_error: float = SC.DEFAULT_RELATIVE_ERRO
     told by ``invalid_reason``, never dropped on the way.
     """
     base = TransactionFeatures()
-    # The exact quartile fit passes three times over two columns: compute the
-    # distance once.
     with_base = base.transform(df)
     with ThreadPoolExecutor(max_workers=2) as pool:
         onehot = pool.submit(CategoryOneHot().fit, with_base)
