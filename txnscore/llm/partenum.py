@@ -285,30 +285,45 @@ def _sketch_bits(limits: Limits, band: int) -> int:
 
 def _bits(sketch: bytes, bits: int) -> np.ndarray:
     """A sketch folded to fewer buckets (hash modulo 2m folds to modulo m)."""
-    out = np.unpackbits(np.frombuffer(sketch, np.uint8))
-    while len(out) > bits:
+    out = np.frombuffer(sketch, np.uint8)
+    while len(out) * 8 > bits:
         out = out[:len(out) // 2] ^ out[len(out) // 2:]
-    return np.packbits(out)
+    return out
 
 
 NEAR = "a long, b long, gap long"
 
 
-def _close(group, limits, percent: int):
-    """(x, y, least difference) of the pairs of one block that may be linked."""
+def _close(group, limits, percent: int, best: bool):
+    """(x, y, least difference) of the pairs of one block that may be linked;
+    ``best``: the closest y of every x, and the closest x of every y."""
     side, doc, comp, size = (np.array([r[k] for r in group]) for k in (3, 4, 5, 6))
     bits = min(len(r[7]) for r in group) * 8
     sketch = np.stack([_bits(r[7], bits) for r in group]).view(np.uint64)
-    for xs in np.array_split(np.flatnonzero(side != 1), len(group) // 64 + 1):
+    rest = np.flatnonzero(side != 1)
+    for xs in np.array_split(rest, len(rest) // 64 + 1):
         if not len(xs):
             continue
         x = xs[:, None]
-        meet_ = (side == 1) | ((side == 2) & (side[x] == 2) & (doc > doc[x]))
-        least = np.bitwise_count(sketch[x] ^ sketch[None]).sum(axis=2, dtype=np.int64)
-        near = (meet_ & (comp != comp[x]) & (least <= limits.differences(size + size[x]))
-                & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])))
-        i, y = np.nonzero(near)
-        yield from zip(doc[xs[i]].tolist(), doc[y].tolist(), least[i, y].tolist())
+        near = ((side == 1) | ((side == 2) & (side[x] == 2) & (doc > doc[x]))) & (comp != comp[x])
+        near &= 100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x])
+        ys = np.flatnonzero(near.any(axis=0))
+        if not len(ys):
+            continue
+        near = near[:, ys]
+        least = np.bitwise_count(sketch[x] ^ sketch[ys][None]).sum(axis=2, dtype=np.int64)
+        near &= least <= limits.differences(size[ys] + size[x])
+        if best:
+            far = np.where(near, least, 1 << 40)
+            i, y = np.arange(len(xs)), far.argmin(axis=1)
+            some = far[i, y] < 1 << 40
+            yield doc[xs[some]], doc[ys[y[some]]], far[i, y][some]
+            j, k = np.arange(len(ys)), far.argmin(axis=0)
+            some = far[k, j] < 1 << 40
+            yield doc[ys[some]], doc[xs[k[some]]], far[k, j][some]
+        else:
+            i, j = np.nonzero(near)
+            yield doc[xs[i]], doc[ys[j]], least[i, j]
 
 
 def close_pairs(members: DataFrame, percent: int, best: bool = False) -> DataFrame:
@@ -322,13 +337,12 @@ def close_pairs(members: DataFrame, percent: int, best: bool = False) -> DataFra
         limits, group, found = Limits(percent), [], {}
 
         def take():
-            for x, y, gap in _close(group, limits, percent):
-                if best:
-                    for p, q in ((x, y), (y, x)):
-                        if p not in found or (gap, q) < found[p]:
-                            found[p] = (gap, q)
-                else:
-                    found[max(x, y), min(x, y)] = gap
+            for pairs in _close(group, limits, percent, best):
+                for x, y, gap in zip(*(c.tolist() for c in pairs)):
+                    if not best:
+                        found[max(x, y), min(x, y)] = gap
+                    elif x not in found or (gap, y) < found[x]:
+                        found[x] = (gap, y)
 
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns)):
@@ -356,10 +370,9 @@ def _near_batch(found: dict, best: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "gap"])
 
 
-def _unresolved(hits: DataFrame, comp: DataFrame) -> DataFrame:
-    """(sig, doc, comp) of signatures with members of several components."""
-    members = hits.select("sig", "doc").unionByName(hits.select("sig", F.col("pivot").alias("doc"))).distinct()
-    members = written(members.join(comp, "doc").select("sig", "doc", "comp"), "partenum-members")
+def _unresolved(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """(sig, doc, comp) of signatures (sig, doc) with members of several components."""
+    members = written(members.select("sig", "doc").join(comp, "doc").select("sig", "doc", "comp"), "partenum-members")
     mixed = members.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("sig")
     return written(members.join(written(mixed, "partenum-mixed"), "sig"), "partenum-unresolved")
 
@@ -421,12 +434,11 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     texts = written(known.select("doc_id", "text").join(ids, "doc_id"), "partenum-texts")
     links = written(verify(tried, texts, n, percent).unionByName(same), "partenum-links")
     comp = written(components(links).withColumnRenamed("node", "doc"), "partenum-comp")
-    sketch = None
+    open_ = meeting.select("sig", "doc").unionByName(meeting.select("sig", F.col("pivot").alias("doc"))).distinct()
+    open_ = _unresolved(open_, _whole(ids, comp))
+    wanted = open_.select(F.col("doc").alias("doc_id")).distinct()
+    sketch = written(sketches(texts.join(wanted, "doc_id"), n, percent), "partenum-sketches")
     while True:  # the closest pair of every open document, as long as any is a link
-        open_ = _unresolved(meeting, _whole(ids, comp))
-        if sketch is None:
-            wanted = open_.select(F.col("doc").alias("doc_id")).distinct()
-            sketch = written(sketches(texts.join(wanted, "doc_id"), n, percent), "partenum-sketches")
         dealt = _dealt(open_, sketch)
         near = written(close_pairs(dealt, percent, best=True).join(tried, ["a", "b"], "left_anti"), "partenum-near")
         more = written(verify(near, texts, n, percent), "partenum-links")
@@ -434,6 +446,7 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         if more.isEmpty():
             break
         comp = _merged(comp, more)
+        open_ = _unresolved(open_, _whole(ids, comp))
     # every other pair of different components that may be a link
     near = written(close_pairs(dealt, percent).join(tried, ["a", "b"], "left_anti"), "partenum-near")
     comp = _merged(comp, verify(near, texts, n, percent)).withColumnRenamed("doc", "doc_id")
