@@ -46,7 +46,7 @@ from txnscore.llm.common import (blocks, find_words, hash_ngrams, hash_spans, lo
 from txnscore.llm.components import components
 
 #: Members of a signature compared at a time, and parity bits per allowed difference.
-BLOCK, SKETCH_BITS = 256, 16
+BLOCK, SKETCH_BITS = 256, 8
 #: Sub-parts per necessary one, and the weight up to which light ones are dropped.
 SURPLUS, MOST_WEIGHT = 1.3, 8
 
@@ -371,9 +371,14 @@ def _near_batch(found: dict, best: bool) -> pa.RecordBatch:
 
 
 def _unresolved(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """(sig, doc, comp) of signatures (sig, doc) with members of several components."""
+    """(sig, doc, comp) of signatures (sig, doc) with members of several components;
+    of signatures with equal members one."""
     members = written(members.select("sig", "doc").join(comp, "doc").select("sig", "doc", "comp"), "partenum-members")
-    mixed = members.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("sig")
+    own = lambda *c: F.sum(F.xxhash64("doc", *c).cast("decimal(38,0)"))
+    mixed = members.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"),
+                                       own().alias("h1"), own(F.lit(7)).alias("h2")).where("x != y")
+    # signatures with the same members hold the same pairs: one of them is enough
+    mixed = mixed.groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
     return written(members.join(written(mixed, "partenum-mixed"), "sig"), "partenum-unresolved")
 
 
@@ -384,24 +389,24 @@ def _dealt(open_: DataFrame, sketch: DataFrame) -> DataFrame:
     per = count.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
     per = written(per.select("sig", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"),
                              (F.col("all") - F.col("top.n")).alias("n_rest")), "partenum-groups")
-    m = written(open_.join(sketch, "doc"), "partenum-dealt").join(per, "sig")
+    m = open_.join(per, "sig")
     blocks_of = lambda c: (F.floor(F.col(c) / BLOCK) + 1).cast("long")
     at = lambda c: F.pmod(F.xxhash64("doc"), blocks_of(c)).cast("long")
     is_main = F.col("comp") == F.col("main")
     # main: one block, met by every block of the rest (i: rest block, j: -1 - main block)
     main = m.where(is_main).select("*", at("n_main").alias("j0")).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of("n_rest") - 1)).alias("i")).select(
-        "sig", "i", (-1 - F.col("j0")).alias("j"), F.lit(1).alias("side"), "doc", "comp", "size", "sketch")
+        "sig", "i", (-1 - F.col("j0")).alias("j"), F.lit(1).alias("side"), "doc", "comp")
     rest = m.where(~is_main).withColumn("own", at("n_rest"))
     rest_main = rest.select("*", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of("n_main") - 1)).alias("j0")).select(
-        "sig", F.col("own").alias("i"), (-1 - F.col("j0")).alias("j"), F.lit(0).alias("side"), "doc", "comp", "size", "sketch")
+        "sig", F.col("own").alias("i"), (-1 - F.col("j0")).alias("j"), F.lit(0).alias("side"), "doc", "comp")
     # rest against rest: block pairs i <= j; i = j holds its own pairs
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks_of("n_rest") - 1)).alias("o")
     rest_rest = rest.select("*", other).select(
         "sig", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"),
         F.when(F.col("own") == F.col("o"), 2).when(F.col("own") < F.col("o"), 0).otherwise(1).alias("side"),
-        "doc", "comp", "size", "sketch")
-    return main.unionByName(rest_main).unionByName(rest_rest)
+        "doc", "comp")
+    return written(main.unionByName(rest_main).unionByName(rest_rest), "partenum-dealt").join(sketch, "doc")
 
 
 def _whole(ids: DataFrame, comp: DataFrame) -> DataFrame:
