@@ -143,6 +143,19 @@ def test_stages_against_plain_versions(spark, odd_docs):
     assert parts == Counter({r[0]: r[4] for r in after})
 
 
+def test_near_duplicates_judges_rows(spark):
+    """One doc_id over unlike texts, one of them a near copy of a smaller id's."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (5, one + " more"), (5, two), (5, two), (5, two + " end"), (5, three), (9, three), (None, one), (None, one),
+            (7, None), (7, None), (7, ""), (7, " \t"), (8, None), (6, "few words"), (6, "Few words"), (6, "other")]
+    docs = spark.createDataFrame([(*r, 3) for r in rows], "doc_id long, text string, node int").repartition(4)
+    out = P.near_duplicates(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    got = Counter((r["doc_id"], (r["text"] or "").lower().removesuffix(" end") if r["text"] else r["text"]) for r in out.collect())
+    assert got == Counter([(1, one), (5, two), (5, three), (None, one), (None, one), (7, None), (7, ""), (7, " \t"), (8, None),
+                           (6, "few words"), (6, "other")])
+
+
 def test_filters_follow_their_operators(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
