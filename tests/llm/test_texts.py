@@ -283,6 +283,13 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(np.exp(got[:, 0].astype(float)), [total("_" + w) for w in ["a", "ab", "aba", "bab", "x"]], rtol=1e-4)
 
 
+def test_a_rare_language_is_learned(spark):
+    """Three documents of 9,003, none of them among the first by hash."""
+    docs = spark.range(9000).selectExpr("id as doc_id", "'the cat and the dog' as text", "'en' as lang").unionByName(
+        spark.createDataFrame([(20001,), (20003,), (20008,)], "id long").selectExpr("id as doc_id", "'der hund und die katze' as text", "'de' as lang"))
+    assert langid.train(docs).languages == ["de", "en"]
+
+
 def test_language_of_odd_rows(odd_docs, no_docs):
     model = langid.fit([("en", "the cat and the dog"), ("de", "der hund und die katze")])
     got = {r["doc_id"]: r for r in langid.predict(odd_docs, model).collect()}

@@ -7,7 +7,9 @@ product over its words, every word of it.
 
 The piece probabilities are fitted by expectation maximisation (forward and
 backward passes) on word counts of a bounded sample: ``SAMPLE`` labelled texts,
-chosen by the hash of their id, with at most ``TYPES`` word types a language.
+chosen by the hash of their id, and besides the first ``LEAST`` of each language,
+so every labelled language is learned whatever its share; one text of an id and
+language, at most ``TYPES`` word types a language.
 Passes run over many words at once, one trie step per vector operation.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
@@ -25,12 +27,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnscore.llm.common import blocks, crc_bucket, ship
 
-SAMPLE, TYPES, ROUNDS = 4000, 20_000, 4
+SAMPLE, LEAST, TYPES, ROUNDS = 4000, 500, 20_000, 4
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 #: Letters of a word beyond this are a word of their own; longest piece in letters.
@@ -209,8 +211,16 @@ def train(docs: DataFrame, path: str | None = None) -> Model:
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
                        & (crc_bucket("doc_id", FOLDS) != HELD_OUT))
     ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = known.join(F.broadcast(ids), "doc_id").select("doc_id", "lang", "text").collect()
-    rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows)
+    pairs = known.select("doc_id", "lang").distinct()
+    # the hash is even, so this keeps about 4 * LEAST ids of a language for the ranking, however common it is
+    at = F.xxhash64("doc_id")
+    count = F.broadcast(pairs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    early = pairs.join(count, "lang").where(at / float(1 << 64) + 0.5 <= 4.0 * LEAST / F.col("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(at, "doc_id"))
+    each = early.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= LEAST).drop("rank")
+    chosen = pairs.join(F.broadcast(ids), "doc_id").unionByName(each).distinct()
+    rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows.collect())
     return fit([(lang, text) for _, lang, text in rows], path)
 
 
