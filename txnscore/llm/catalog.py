@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from txnscore.llm import bpe, chat, fingerprint, langid, packing, partenum, quality, substring, toxicity, warc
+from txnscore.llm import (bpe, chat, fingerprint, langid, license, packing, partenum, periodic, quality, substring, toxicity,
+                          warc)
 
 QUERIES = {
     "op1_conv_toxicity": toxicity.op1,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_chat_formatting": chat.op8,
     "op10_automaton_substring_dedup": substring.op10,
     "op9_cutting_stock_packing": packing.op9,
+    "op11_suffix_tree_runs": periodic.op11,
+    "op12_license_set_join": license.op12,
 }
 ORACLE = {
     "op3_warc_dictionary": warc.SQL,
@@ -22,4 +25,5 @@ ORACLE = {
     "op6_quality_rules": quality.SQL,
     "op8_chat_formatting": chat.SQL,
     "op10_automaton_substring_dedup": substring.SQL,
+    "op12_license_set_join": license.SQL,
 }
