@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from txnscore.llm import (bpe, chat, fingerprint, langid, license, packing, partenum, periodic, quality, substring, toxicity,
-                          warc)
+from txnscore.llm import (bpe, chat, crosstoken, fingerprint, langid, license, packing, partenum, periodic, quality, substring,
+                          toxicity, warc)
 
 QUERIES = {
     "op1_conv_toxicity": toxicity.op1,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_cutting_stock_packing": packing.op9,
     "op11_suffix_tree_runs": periodic.op11,
     "op12_license_set_join": license.op12,
+    "op13_merge_path_alignment": crosstoken.op13,
 }
 ORACLE = {
     "op3_warc_dictionary": warc.SQL,
