@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import KEY, LABEL
+from .reconcile import reconcile
 
 
 def _gate(name: str, observed: Column, expected: Column, passed: Column) -> Column:
@@ -58,12 +59,21 @@ def gate_reconcile(source: DataFrame, log: DataFrame, key: str = KEY,
     two order-independent sums of 64-bit key hashes. Equal multisets of keys
     give equal sums; a difference is detected with near certainty but not
     located (``missing``/``unknown`` report 0/1 for equal/different sums).
+    ``located``: no shuffle of either side, and the differing keys are known: an
+    invertible Bloom lookup table (``reconcile``), or the exact join where more keys
+    differ than it can name.
     """
     log_key = log_key or key
+    if mode == "located":
+        r = reconcile(source, log, key, log_key)
+        n = r.keys.agg(F.count(F.when(F.col("in_log") == 0, 1)), F.count(F.when(F.col("in_source") == 0, 1))).first()
+        return gate_table(source.sparkSession, [
+            ("published_count", r.log_rows, r.source_rows, r.log_rows == r.source_rows),
+            ("missing_in_log", n[0], 0, n[0] == 0), ("unknown_in_log", n[1], 0, n[1] == 0)])
     if mode == "checksum":
         return _reconcile_checksum(source, log, key, log_key)
     if mode != "exact":
-        raise ValueError(f"mode must be exact or checksum, not {mode!r}")
+        raise ValueError(f"mode must be exact, located or checksum, not {mode!r}")
     s = source.groupBy(F.col(key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("ns"))
     g = log.groupBy(F.col(log_key).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("ng"))
     # NULL keys count as one key of their own, equal on both sides.

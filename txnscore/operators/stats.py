@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANGE = "_range"
@@ -181,3 +182,91 @@ def _quantiles_by_rank(values: DataFrame, probs: Sequence[float], num_partitions
                        F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("p"))
                .where((F.col("cum_n") >= rank) & (F.col("cum_n") - F.col("n") < rank))
                .select("column", "p", "value"))
+
+
+# The first ranks of a hashed order: buckets per narrowing step, rows that need none.
+CUT_BUCKETS, CUT_ROWS = 4096, 20_000
+
+
+@dataclass(frozen=True)
+class Cut:
+    """Where the first ``k`` rows in the order (hash of key, key, hash of row) end:
+    ``taken`` of the ``of`` equal rows at the cut belong to them."""
+    unit: float | None
+    key: str
+    row: int
+    taken: int
+    of: int
+
+    def before(self) -> Column:
+        """Rows ahead of the cut (over the columns of ``with_order``)."""
+        if self.unit is None:
+            return F.lit(False)
+        u, k, r = (F.col(c) for c in ORDER)
+        return (u < self.unit) | ((u == self.unit) & ((k < self.key) | ((k == self.key) & (r < self.row))))
+
+    def at(self) -> Column:
+        if self.unit is None:
+            return F.lit(False)
+        u, k, r = (F.col(c) for c in ORDER)
+        return (u == self.unit) & (k == self.key) & (r == self.row)
+
+
+ORDER = ("_unit", "_order_key", "_row_hash")
+
+
+def with_order(df: DataFrame, key: str, salt: str) -> DataFrame:
+    """Add the hashed order: a uniform number from the key, the key, a hash of the
+    whole row. Rows equal in all three are equal rows (NULL keys read as empty)."""
+    from .split import hash_unit
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    out = df.withColumn("_row_hash", F.xxhash64(*df.columns)).withColumn("_order_key", text)
+    return out.withColumn("_unit", hash_unit("_order_key", salt)).select(*df.columns, *ORDER)
+
+
+def _narrow(df: DataFrame, col: str, low: float, high: float, need: int) -> tuple[float, float, int]:
+    """The part of [low, high) in which the ``need``-th smallest value of ``col`` lies,
+    small enough to list, and its rank there. Each step is one aggregate of at most
+    CUT_BUCKETS rows; widths are powers of two, so bounds are exact."""
+    while True:
+        c = F.col(col)
+        width = (high - low) / CUT_BUCKETS
+        inside = df.where((c >= low) & (c < high))
+        counts = dict(inside.groupBy(F.floor((c - low) / width).alias("b")).agg(F.count(F.lit(1))).collect())
+        if sum(counts.values()) <= CUT_ROWS or low + width == low:
+            return low, high, need
+        for b in sorted(counts):
+            if need <= counts[b]:
+                low, high = low + b * width, low + (b + 1) * width
+                break
+            need -= counts[b]
+        if width <= 2.0 ** -52:  # no doubles in between
+            return low, high, need
+
+
+def _walk(rows, need: int):
+    """The row of a sorted listing in whose count the ``need``-th falls, and its rank there."""
+    for r in rows:
+        if need <= r["n"]:
+            return r, need
+        need -= r["n"]
+    raise ValueError("fewer rows than ranks asked for")
+
+
+def cut_after(ordered: DataFrame, k: int) -> Cut:
+    """The cut after the first ``k`` rows of ``with_order``'s order, found by
+    narrowing histograms: no sort, and one key may hold any share of the rows."""
+    if k <= 0:
+        return Cut(None, "", 0, 0, 0)
+    unit, key, row = ORDER
+    n = F.count(F.lit(1)).alias("n")
+    low, high, need = _narrow(ordered, unit, 0.0, 1.0, k)
+    inside = ordered.where((F.col(unit) >= low) & (F.col(unit) < high))
+    at, need = _walk(inside.groupBy(unit, key).agg(n).orderBy(unit, key).collect(), need)
+    same = ordered.where((F.col(unit) == at[unit]) & (F.col(key) == at[key]))
+    # rows of one key, by the hash of the row (scaled to [0, 1) for narrowing)
+    scaled = same.withColumn("_scaled", F.col(row) / F.lit(2.0 ** 64) + 0.5)
+    low, high, need = _narrow(scaled, "_scaled", 0.0, 1.0, need)
+    inside = scaled.where((F.col("_scaled") >= low) & (F.col("_scaled") < high))
+    last, need = _walk(inside.groupBy(row).agg(n).orderBy(row).collect(), need)
+    return Cut(at[unit], at[key], last[row], need, last["n"])
