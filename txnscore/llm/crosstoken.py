@@ -44,9 +44,11 @@ from txnscore.llm.bpe import _byte_letters
 from txnscore.llm.common import blocks, ship, written
 
 PIECE = 128
-CACHE, CACHE_IDS = 500_000, 6_000_000
-#: Pairs whose counts every task holds; distinct pairs a task adds up before it emits them.
-HOT, HELD_PAIRS = 200_000, 1_000_000
+#: Text bytes aligned at a time: a token takes some hundred bytes on the way.
+BLOCK = 1 << 19
+CACHE, CACHE_IDS = 200_000, 3_000_000
+#: Pairs whose counts every task holds; counts of pairs a task holds before it adds them up, or emits them.
+HOT, HELD_PAIRS = 200_000, 600_000
 SPACE_SIGN, LITERAL = "▁", "\n "
 #: Fixed value: where byte-level vocabularies part words.
 WORDS_A = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -253,7 +255,7 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     def task(batches):
         pair = load(*(paths or default_paths()))
         ids = pa.list_(pa.int32())
-        for b in blocks(batches):
+        for b in blocks(batches, limit=BLOCK):
             al = Aligned(pair, b.column("text").to_pylist())
             side = [pa.ListArray.from_arrays(pa.array(np.append(0, last + 1), pa.int32()), pa.array(x, pa.int32()))
                     for x, last in ((al.a, al.last_a), (al.b, al.last_b))]
@@ -265,7 +267,9 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, GROUPS)
 
 
-def _summed(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, counts) of several lists added up."""
+    pairs, counts = (np.concatenate(x) for x in zip(*held))
     order = np.argsort(pairs, kind="stable")
     pairs, counts = pairs[order], counts[order]
     head = np.flatnonzero(np.diff(pairs, prepend=-1))
@@ -290,8 +294,8 @@ def found(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     def task(batches):
         pair = load(*(paths or default_paths()))
         row = TaskContext.get().partitionId() << 33
-        pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for b in blocks(batches):
+        held, size = [], 0
+        for b in blocks(batches, limit=BLOCK):
             al, n = Aligned(pair, b.column("text").to_pylist()), b.num_rows
             links = al.links()
             digest = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in al.listed()]
@@ -301,12 +305,15 @@ def found(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(al.from_group, pa.int32()), pa.array(links, pa.int32())),
                  pa.nulls(n, pa.list_(long))], names=names)
             row += n
-            new, times = np.unique(links, return_counts=True)
-            pairs, counts = _summed(np.append(pairs, new), np.append(counts, times))
-            if len(pairs) > HELD_PAIRS:
-                yield from counted(pairs, counts)
-                pairs, counts = pairs[:0], counts[:0]
-        yield from counted(pairs, counts)
+            held.append(np.unique(links, return_counts=True))
+            size += len(held[-1][0])
+            if size > HELD_PAIRS:
+                held = [_summed(held)]
+                if (size := len(held[0][0])) > HELD_PAIRS // 2:
+                    yield from counted(*held.pop())
+                    size = 0
+        if held:
+            yield from counted(*_summed(held))
 
     return docs.select("doc_id", "text").mapInArrow(task, FOUND)
 
