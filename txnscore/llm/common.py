@@ -169,19 +169,35 @@ def hash_ngrams(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
 class HashTable:
     """A fixed-size slot table from 64-bit hashes to numbers (0: not there).
 
-    Two keys of one slot keep the first; the whole key is compared, so a hash
-    that was not put in is not found."""
+    A key whose slot is taken goes to the next free one; the whole key is compared,
+    so a hash that was not put in is not found. Of equal keys the first counts."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int):
+        while len(keys) * 4 > 1 << bits:
+            bits += 1
         self.mask = np.uint64((1 << bits) - 1)
         self.keys = np.zeros(1 << bits, np.uint64)
         self.values = np.zeros(1 << bits, np.int32)
-        slot = (keys & self.mask)[::-1]
-        self.keys[slot], self.values[slot] = keys[::-1], values[::-1]
+        self.probes, one = 0, np.uint64(1)
+        keys, first = np.unique(keys, return_index=True)
+        values, slot = values[first], keys & self.mask
+        while len(keys):
+            self.probes += 1
+            free = self.values[slot] == 0
+            _, take = np.unique(np.where(free, slot, slot | (one << np.uint64(63))), return_index=True)
+            take = take[free[take]]
+            self.keys[slot[take]], self.values[slot[take]] = keys[take], values[take]
+            left = np.ones(len(keys), bool)
+            left[take] = False
+            keys, values, slot = keys[left], values[left], (slot[left] + one) & self.mask
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         slot = hashes & self.mask
-        return np.where(self.keys[slot] == hashes, self.values[slot], 0)
+        out = np.where(self.keys[slot] == hashes, self.values[slot], 0)
+        for k in range(1, self.probes):
+            slot = (hashes + np.uint64(k)) & self.mask
+            out = np.where(self.keys[slot] == hashes, self.values[slot], out)
+        return out
 
 
 def signed(x: np.ndarray) -> np.ndarray:
