@@ -2,14 +2,16 @@
 
 A fixed public vocabulary gives the pieces. Each language has a probability for
 every piece; a word's probability is the sum over all its segmentations into
-pieces, which a forward pass computes letter by letter. A text's score is the
-product over its words, every word of it.
+pieces, which a forward pass computes letter by letter (pieces and words of any
+length; long words in logarithms). A text's score is the product over its words,
+every word of it.
 
 The piece probabilities are fitted by expectation maximisation (forward and
 backward passes) on word counts of a bounded sample: ``SAMPLE`` labelled texts,
 chosen by the hash of their id, and besides the first ``LEAST`` of each language,
 so every labelled language is learned whatever its share; one text of an id and
-language, at most ``TYPES`` word types a language.
+language, at most ``TYPES`` word types a language, words of more than
+``WORD_LETTERS`` letters in parts (the cut is of the training sample only).
 Passes run over many words at once, one trie step per vector operation.
 
 Defined results: null text or text without a letter is ``und`` with score 0;
@@ -30,13 +32,15 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnscore.llm.common import blocks, crc_bucket, ship
+from txnscore.llm.common import HashTable, blocks, crc_bucket, mix, ship
 
 SAMPLE, LEAST, TYPES, ROUNDS = 4000, 500, 20_000, 4
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-#: Letters of a word beyond this are a word of their own; longest piece in letters.
-WORD_LETTERS, PIECE_LETTERS = 32, 8
+#: Longer words are scored in logarithms, and train in parts of so many letters.
+WORD_LETTERS = 32
+#: Table entries (node x letter) up to which a trie is a plain table, and letters handled at a time.
+DENSE, BATCH_LETTERS = 1 << 23, 400_000
 #: Probability of a letter that no piece explains, and the smoothing of counts.
 FLOOR, SMOOTH = 1e-8, 0.1
 WORDS_KEPT = 200_000
@@ -57,32 +61,47 @@ def pieces(path: str) -> list[str]:
     for i in range(model.get_piece_size()):
         p = model.id_to_piece(i).lower()
         body = p.removeprefix("▁")
-        if body and len(p) <= PIECE_LETTERS and all(_WORD.fullmatch(c) for c in body):
+        if body and all(_WORD.fullmatch(c) for c in body):
             out.add("_" * (len(p) - len(body)) + body)
     return sorted(out)
 
 
 class Trie:
-    """Pieces over the letters ``alphabet`` as a table: node x letter -> node."""
+    """Pieces over the letters ``alphabet``: a table node x letter -> node, or for
+    large alphabets a hash table of the same steps."""
 
     def __init__(self, all_pieces: list[str], alphabet: str):
         self.code = {c: k + 1 for k, c in enumerate(alphabet)}  # 0: any other letter
         self.pieces = [p for p in all_pieces if all(c in self.code for c in p)]
-        step, self.piece_at = [[0] * (len(alphabet) + 1)], [0]
-        step.append([0] * (len(alphabet) + 1))  # node 1 is the root, 0 is nowhere
-        self.piece_at.append(0)
+        self.longest = max(map(len, self.pieces), default=0)
+        self.width = len(alphabet) + 1
+        # node 1 is the root, 0 is nowhere; piece 0: no piece ends here
+        steps, self.piece_at = {}, [0, 0]
         for k, p in enumerate(self.pieces):
             node = 1
             for c in p:
-                to = step[node][self.code[c]]
-                if not to:
-                    to = len(step)
-                    step.append([0] * (len(alphabet) + 1))
+                key = node * self.width + self.code[c]
+                node = steps.get(key)
+                if node is None:
+                    node = steps[key] = len(self.piece_at)
                     self.piece_at.append(0)
-                    step[node][self.code[c]] = to
-                node = to
-            self.piece_at[node] = k + 1  # 0: no piece ends here
-        self.step, self.piece_at = np.array(step, np.int32), np.array(self.piece_at, np.int32)
+            self.piece_at[node] = k + 1
+        self.piece_at = np.array(self.piece_at, np.int32)
+        keys = np.fromiter(steps, np.int64, len(steps))
+        nodes = np.fromiter(steps.values(), np.int32, len(steps))
+        self.table = self.sparse = None
+        if len(self.piece_at) * self.width <= DENSE:
+            self.table = np.zeros(len(self.piece_at) * self.width, np.int32)
+            self.table[keys] = nodes
+        else:
+            self.sparse = HashTable(mix(keys.astype(np.uint64)), nodes, 16)
+
+    def step(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        key = node.astype(np.int64) * self.width + letter
+        if self.table is not None:
+            return self.table[key]
+        # letter 0 is in no piece, and no step leaves node 0
+        return self.sparse.find(mix(key.astype(np.uint64)))
 
     def codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Letter codes (words x longest, start mark first) and lengths."""
@@ -100,8 +119,8 @@ class Trie:
         for start in range(codes.shape[1]):
             rows = np.flatnonzero(size > start)
             node = np.ones(len(rows), np.int32)
-            for end in range(start, min(codes.shape[1], start + PIECE_LETTERS)):
-                node = self.step[node, codes[rows, end]]
+            for end in range(start, min(codes.shape[1], start + self.longest)):
+                node = self.step(node, codes[rows, end])
                 live = (node > 0) & (size[rows] > end)
                 rows, node = rows[live], node[live]
                 if not len(rows):
@@ -139,16 +158,54 @@ def forward(trie: Trie, prob: np.ndarray, codes: np.ndarray, size: np.ndarray):
     return a, found
 
 
+def log_forward(trie: Trie, prob: np.ndarray, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Log probability of every word per language, added up in logarithms: words of
+    any length. Holds only the prefixes that a piece can still start from."""
+    log_prob = np.log(np.maximum(prob, 1e-300))
+    reach = max(trie.longest, 1) + 1
+    a = np.full((reach, len(codes), prob.shape[1]), -np.inf)  # a ring of prefix ends
+    a[0] = 0
+    out = np.zeros((len(codes), prob.shape[1]))
+    ending = np.argsort(size, kind="stable")
+    done = 0
+    spans = trie.spans(codes, size)
+    found = next(spans, None)
+    for start in range(codes.shape[1]):
+        here = a[start % reach]
+        after = a[(start + 1) % reach]
+        np.logaddexp(after, here + np.log(FLOOR), out=after)
+        while found is not None and found[0] == start:
+            _, end, rows, piece = found
+            a[end % reach, rows] = np.logaddexp(a[end % reach, rows], here[rows] + log_prob[piece])
+            found = next(spans, None)
+        here[:] = -np.inf  # free for the prefix that is ``reach`` further on
+        while done < len(ending) and size[ending[done]] == start + 1:
+            out[ending[done]] = after[ending[done]]
+            done += 1
+    return out
+
+
 def log_words(trie: Trie, prob: np.ndarray, words: list[str]) -> np.ndarray:
     """Log probability of each word per language."""
     if not words:
         return np.zeros((0, prob.shape[1]), np.float32)
     out = np.zeros((len(words), prob.shape[1]), np.float32)
-    order = np.argsort([len(w) for w in words], kind="stable")
-    for part in np.array_split(order, len(order) // 20_000 + 1):
+    length = np.array([len(w) for w in words])
+    order = np.argsort(length, kind="stable")
+    at = 0
+    while at < len(order):
+        # as many words as BATCH_LETTERS allows when all are as long as the longest of them
+        room = np.arange(1, len(order) - at + 1) * (length[order[at:]] + 1) <= BATCH_LETTERS
+        part = order[at:at + max(int(room.argmin()) if not room.all() else len(room), 1)]
+        short = np.searchsorted(length[part], WORD_LETTERS, "right")
+        part = part[:short] if short else part
         codes, size = trie.codes([words[i] for i in part])
-        a, _ = forward(trie, prob, codes, size)
-        out[part] = np.log(np.maximum(a[size, np.arange(len(part))], 1e-300))
+        if short:
+            a, _ = forward(trie, prob, codes, size)
+            out[part] = np.log(np.maximum(a[size, np.arange(len(part))], 1e-300))
+        else:
+            out[part] = log_forward(trie, prob, codes, size)
+        at += len(part)
     return out
 
 
@@ -176,21 +233,26 @@ def expected(trie: Trie, prob: np.ndarray, words: list[str], counts: np.ndarray)
 
 
 def split_words(text: str) -> list[str]:
-    """Lower-case letter runs; runs longer than WORD_LETTERS in parts."""
-    out = _WORD.findall(text.lower())
-    if any(len(w) > WORD_LETTERS for w in out):
-        out = [w[k:k + WORD_LETTERS] for w in out for k in range(0, len(w), WORD_LETTERS)]
-    return out
+    """Lower-case letter runs."""
+    return _WORD.findall(text.lower())
+
+
+def in_parts(words: list[str]) -> list[str]:
+    """Words longer than WORD_LETTERS in parts (for training, where every word is
+    passed forwards and backwards in plain probabilities)."""
+    if any(len(w) > WORD_LETTERS for w in words):
+        return [w[k:k + WORD_LETTERS] for w in words for k in range(0, len(w), WORD_LETTERS)]
+    return words
 
 
 def fit(rows: list[tuple[str, str]], path: str | None = None) -> Model:
     """Piece probabilities per language from (language, text) rows."""
     counts: dict[str, Counter] = {}
     for lang, text in rows:
-        counts.setdefault(lang, Counter()).update(split_words(text))
+        counts.setdefault(lang, Counter()).update(in_parts(split_words(text)))
     langs = sorted(k for k, c in counts.items() if c)
-    letters = Counter(ch for c in counts.values() for w, n in c.items() for ch in w)
-    model = Model(langs, "_" + "".join(sorted(ch for ch, _ in letters.most_common(400))), np.zeros((1, len(langs))), path)
+    letters = {ch for c in counts.values() for w in c for ch in w}
+    model = Model(langs, "_" + "".join(sorted(letters)), np.zeros((1, len(langs))), path)
     if not langs:
         return model
     trie = model.trie()
@@ -272,7 +334,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more.
+
+    A rule of its own: where the best language has less than ``least`` of the
+    posterior, the text is taken to be in none of the learned ones. With ``least``
+    0 only texts without letters go."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
