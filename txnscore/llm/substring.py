@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from txnscore.llm.common import blocks, find_words, hash_ngrams, hash_spans, ship, signed, utf8, written
 from txnscore.llm.partenum import SIGNED, _batch, _least, meet
@@ -302,7 +303,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
                  pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
                 names=["rest", *(c.split()[0] for c in extra.split(", "))])
 
-    schema = f"rest {docs.schema.simpleString()}, {extra}"
+    kinds = {"long": LongType(), "string": StringType()}
+    schema = StructType([StructField("rest", docs.schema), *(StructField(n, kinds[k]) for n, k in map(str.split, extra.split(", ")))])
     return rows.select("doc_id", "text", "spans", "rest").mapInArrow(task, schema)
 
 
