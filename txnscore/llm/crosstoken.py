@@ -49,6 +49,8 @@ BLOCK = 1 << 19
 CACHE, CACHE_IDS = 200_000, 3_000_000
 #: Pairs whose counts every task holds; counts of pairs a task holds before it adds them up, or emits them.
 HOT, HELD_PAIRS = 200_000, 600_000
+#: Texts scored at a time.
+SCORED_ROWS = 1000
 SPACE_SIGN, LITERAL = "▁", "\n "
 #: Fixed value: where byte-level vocabularies part words.
 WORDS_A = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -339,23 +341,24 @@ def scored(rows: DataFrame, hot: tuple[np.ndarray, ...]) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(hot)
 
     def task(batches):
+        load.cache_clear()  # a worker that encoded before needs its room for other things now
         pairs, counts, best = sent.value
-        for b in batches:
-            if not b.num_rows:
-                continue
-            column = b.column("links")
-            links, n = column.flatten().to_numpy(zero_copy_only=False), b.num_rows
-            text = np.repeat(np.arange(n), column.value_lengths().to_numpy(zero_copy_only=False))
-            at = np.searchsorted(pairs, links)
-            at[at == len(pairs)] = 0
-            known = pairs[at] == links if len(pairs) else np.zeros(len(links), bool)
-            total = np.zeros((2, n), np.int64)
-            for k, values in enumerate((best, counts)):
-                np.add.at(total[k], text[known], values[at[known]].astype(np.int64))
-            rest = np.append(0, np.cumsum(np.bincount(text[~known], minlength=n)))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in names[:6]), pa.array(total[0]), pa.array(total[1]),
-                 pa.ListArray.from_arrays(pa.array(rest, pa.int32()), pa.array(links[~known], pa.int32()))], names=names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SCORED_ROWS):
+                b = whole.slice(at, SCORED_ROWS)
+                column = b.column("links")
+                links, n = column.flatten().to_numpy(zero_copy_only=False), b.num_rows
+                ends = np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))
+                place = np.searchsorted(pairs, links)
+                place[place == len(pairs)] = 0
+                known = pairs[place] == links if len(pairs) else np.zeros(len(links), bool)
+                place = place[known]
+                upto = np.append(0, np.cumsum(known))[ends]  # known links before each text
+                sums = [np.diff(np.append(0, np.cumsum(values[place].astype(np.int64)))[upto]) for values in (best, counts)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(c) for c in names[:6]), pa.array(sums[0]), pa.array(sums[1]),
+                     pa.ListArray.from_arrays(pa.array(ends - upto, pa.int32()), pa.array(links[~known], pa.int32()))],
+                    names=names)
 
     return rows.where("row is not null").select(*names[:6], "links").mapInArrow(task, SCORED)
 
