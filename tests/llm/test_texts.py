@@ -2,7 +2,9 @@
 ties, repeated rows, empty tables, clashing column names."""
 
 import hashlib
+import math
 import os
+import random
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -10,9 +12,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from txnscore.llm import bpe, fingerprint, langid, packing, partenum, quality, substring, toxicity
-from txnscore.llm.common import find_words, hash_spans, utf8, written
+from txnscore.llm.common import HashTable, find_words, hash_spans, utf8, written
 
 from . import brute
 
@@ -335,3 +338,95 @@ def test_empty_tables(no_docs):
 def test_nfc_matters():
     b = bpe.load(bpe.vocabulary_path())
     assert [b.words(c) for c in b.chunks(unicodedata.normalize("NFD", "É"))] == [["Ã©"]]
+
+
+def test_one_id_with_very_many_texts_sends_one_to_the_fit(spark, monkeypatch):
+    """The fit gets one text of an id, and none above the byte bound."""
+    sent = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: sent.extend(texts))
+    rows = [(7, f"text {k}") for k in range(1500)] + [(1, "good words"), (2, "x" * (toxicity.TEXT_BYTES + 1)), (3, None), (4, "bad")]
+    labels = spark.createDataFrame([(7, 1), (1, 0), (2, 0), (3, 0), (4, 1)], "doc_id long, toxic int")
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), labels)
+    assert len(sent) <= 4 and not [t for t in sent if len(t) > 100]
+
+
+def test_convolution_against_a_plain_forward_pass():
+    """Scores, and the gradient by differences, of a small network."""
+    rng = np.random.default_rng(3)
+    words = [f"word{k}" for k in range(30)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 12))) for _ in range(40)]
+    labels = np.array([float("word3" in t.split()) for t in texts])
+    model = toxicity.fit(texts, labels)
+    hashes, rows = toxicity.word_hashes(pa.array(texts))
+    table = model.table()
+    got = model.logits(hashes, rows, table)
+    ids = table.find(hashes)
+    for k in range(len(texts)):
+        x = model.embed[ids[rows[k]:rows[k + 1]]].sum(axis=1) if rows[k + 1] > rows[k] else np.zeros((0, toxicity.DIM))
+        top = np.zeros(len(toxicity.WIDTHS) * toxicity.FILTERS)
+        for i, w in enumerate(toxicity.WIDTHS):
+            for at in range(len(x) - w + 1):
+                r = sum(x[at + j] @ model.conv[i][j] for j in range(w))
+                cols = slice(i * toxicity.FILTERS, (i + 1) * toxicity.FILTERS)
+                top[cols] = np.maximum(top[cols], r + model.bias[cols])
+        assert abs(float(top @ model.out[:-1] + model.out[-1]) - got[k]) < 1e-3
+
+
+def test_held_out_toxicity_on_the_given_table(spark):
+    out = {r.doc_id: r for r in toxicity.op1(spark, "/root/testdata/sf0.01").collect()}
+    labels = [r for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if r.toxic is not None and out[r.doc_id].held_out]
+    bad, good = ([out[r.doc_id].predicted for r in labels if r.toxic == y] for y in (1, 0))
+    assert len(labels) > 20 and sum(good) <= 0.1 * len(good) and (not bad or sum(bad) >= 0.6 * len(bad))
+
+
+def test_hash_table_keeps_keys_that_share_a_slot():
+    keys = np.array([1, 1 + (1 << 12), 1 + (2 << 12), 4095, 4095 + (1 << 12), 1], np.uint64)
+    t = HashTable(keys, np.array([1, 2, 3, 4, 5, 6], np.int32), 12)
+    assert t.find(keys).tolist() == [1, 2, 3, 4, 5, 1] and t.find(np.array([0, 2, 1 + (3 << 12)], np.uint64)).tolist() == [0, 0, 0]
+
+
+def plain_word(word, pieces, prob):
+    """Log probability of a word, all segmentations summed one prefix at a time."""
+    w, at = "_" + word, {p: prob[k + 1] for k, p in enumerate(pieces)}
+    a = [0.0]
+    for e in range(1, len(w) + 1):
+        terms = [a[e - 1] + math.log(langid.FLOOR)] + [a[s] + math.log(at[w[s:e]]) for s in range(e) if w[s:e] in at]
+        a.append(max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms)))
+    return a[-1]
+
+
+@pytest.mark.parametrize("letters,dense", [("abcdeü", 1 << 23), ("abcdeü", 0), ("".join(map(chr, range(0x4E00, 0x4E00 + 3000))), 0)])
+def test_forward_pass_sums_every_segmentation(monkeypatch, letters, dense):
+    """Words of any length, pieces of any length, small and large scripts."""
+    monkeypatch.setattr(langid, "DENSE", dense)
+    rng = random.Random(2)
+    part = letters[:40]
+    pieces = sorted({"_" * rng.randint(0, 1) + "".join(rng.choice(part) for _ in range(rng.choice([1, 2, 3, 9, 14]))) for _ in range(300)})
+    trie = langid.Trie(pieces, "_" + "".join(sorted(letters)))
+    prob = np.random.default_rng(1).random((len(trie.pieces) + 1, 2))
+    prob[0] = 0
+    prob /= prob.sum(axis=0)
+    words = ["".join(rng.choice(part + "z") for _ in range(n)) for n in (1, 2, 8, 31, 32, 33, 60, 60, 250)] + [pieces[0].strip("_") * 5]
+    for word, got in zip(words, langid.log_words(trie, prob, words)):
+        for k in range(2):
+            want = plain_word(word, trie.pieces, prob[:, k])
+            assert abs(got[k] - want) < 1e-4 * abs(want)
+
+
+def test_all_letters_of_a_large_script_are_learned():
+    rng = random.Random(4)
+    han = [chr(0x4E00 + k) for k in range(1500)]
+    rows = [("zh", " ".join("".join(rng.choice(han) for _ in range(rng.randint(1, 50))) for _ in range(30))) for _ in range(60)]
+    rows += [("ja", " ".join("".join(rng.choice(han[700:]) for _ in range(rng.randint(1, 50))) for _ in range(30))) for _ in range(60)]
+    model = langid.fit(rows)
+    assert len(model.alphabet) == 1501
+    best, _ = langid._predictor(model)([rows[0][1], rows[-1][1], "x" * 100_000, "1"])
+    assert best[:2] == ["zh", "ja"] and best[3] == langid.UNKNOWN
+
+
+def test_substring_dedup_keeps_columns_that_need_quoting(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, text, 5, "x"), (2, "a " + text, 6, None)], ["doc_id", "text", "my col-1", "a.b"])
+    out = substring.without_repeats(docs.withColumn("n_chars", F.length("text").cast("long")))
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert rows[2]["my col-1"] == 6 and rows[2]["a.b"] is None and rows[2]["text"].split() == ["a"] and rows[1]["text"] == text

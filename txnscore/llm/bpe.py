@@ -10,8 +10,8 @@ and a word's ids are read by walking its states backwards. The last letter of a
 word carries the end mark and is a symbol of its own.
 
 The vocabulary file is a parameter (``path``), read where the task runs. A
-worker keeps up to ``2 * CACHE`` encoded chunks and ``CACHE`` words; they are only
-saved work.
+worker keeps up to ``CACHE`` encoded chunks and as many words; they are only saved
+work.
 
 Defined results: null or blank text has no tokens (decoded: empty); an empty
 table gives no rows; repeated rows are encoded alike; control strings of the
@@ -25,13 +25,15 @@ import functools
 import hashlib
 import itertools
 import json
+import struct
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from txnscore.llm.common import blocks, ship
+from txnscore.llm.common import blocks, ship, uncollected
 
 END = "</w>"
 CACHE, CACHE_CHARS = 400_000, 64
@@ -71,18 +73,23 @@ class WordBpe:
         self.word, self.white = regex.compile(_WORD), regex.compile(_WHITE)
         self.odd = regex.compile("[\x1c-\x1f]")
         self.pairs: dict[int, bool] = {}  # by both ids
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.spines: tuple[dict, dict] = {}, {}
+        self.library = None
 
     def spine(self, token: str, side: int) -> list[tuple[str, int, int]]:
         """The parts of ``token`` at its left (0) or right (1) edge, the whole first:
         (part, rank of the merge that made it, rank of the merge that used it)."""
-        out, used = [], 1 << 30
+        out = self.spines[side].get(token)
+        if out is not None:
+            return out
+        out, used, part = [], 1 << 30, token
         while True:
-            made = self.made.get(token)
-            out.append((token, -1 if made is None else made[0], used))
+            made = self.made.get(part)
+            out.append((part, -1 if made is None else made[0], used))
             if made is None:
+                self.spines[side][token] = out  # at most one of a token and side
                 return out
-            used, token = made[0], made[1 + side]
+            used, part = made[0], made[1 + side]
 
     def valid(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (-1 at a word's start): merging in
@@ -170,7 +177,7 @@ class WordBpe:
     def chunks(self, text: str) -> list[str]:
         """The normalised text cut at white space; control strings are chunks of
         their own, in capitals, which no normalised text has."""
-        if "oftext|>" in text:
+        if any(t in text for t in self.special):
             parts = self.split_special.split(text)
             return [c for p in parts for c in ([p.upper()] if p in self.special else self._plain(p))]
         return self._plain(text)
@@ -196,17 +203,33 @@ class WordBpe:
         letters = self.letters.__getitem__
         return ["".join(map(letters, w.encode("utf-8", "replace"))) for w in found]
 
-    def encode_chunks(self, chunks) -> dict[str, tuple[int, ...]]:
-        known, special = self.known, self.control
-        parts = {c: self.words(c) for c in chunks if c not in special}
-        new = {w for ws in parts.values() for w in ws if w not in known}
-        if new:
-            if len(known) > CACHE:
-                known.clear()
-                new = {w for ws in parts.values() for w in ws}
-            known.update(self.encode_words(new))
-        out = {c: known[ws[0]] if len(ws) == 1 else tuple([i for w in ws for i in known[w]]) for c, ws in parts.items()}
-        return out | {c: (special[c],) for c in chunks if c in special}
+    def packed(self, words) -> dict[str, bytes]:
+        """Ids of distinct words (byte letters) as little-endian unsigned 32-bit numbers,
+        by a library that merges bytes in rank order.
+
+        It merges any two tokens that spell a third, this vocabulary only those that
+        made it; so every pair of neighbours is held against ``valid``, and a word
+        with one that is not goes through the trie."""
+        words = list(words)
+        if not words:
+            return {}
+        if self.library is None:
+            self.library = _library(self)
+        encoding, ids_of, last = self.library
+        found = np.array(encoding.encode_ordinary("".join([w + _STOP for w in words])), np.int64)
+        ends = np.flatnonzero(last[found]) + 1
+        ids = ids_of[found]
+        pair = np.append(ids[:-1] << 20 | ids[1:], -1)
+        pair[ends - 1] = -1
+        odd = [k for k in np.unique(pair).tolist() if k >= 0 and not (
+            self.pairs[k] if k in self.pairs else self.valid(k >> 20, k & (1 << 20) - 1))]
+        raw, at = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+        out = {w: raw[a:z] for w, a, z in zip(words, [0, *at], at)}
+        if odd:
+            wrong = np.unique(np.searchsorted(ends, np.flatnonzero(np.isin(pair, odd)), "right")).tolist()
+            again = self.encode_words([words[k] for k in wrong])
+            out.update({w: _as_bytes(self, i) for w, i in again.items()})
+        return out
 
     def decode(self, ids) -> str:
         return " ".join([self.tokens[i] for i in ids])
@@ -217,25 +240,71 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-class Chunked:
-    """Chunk encodings of a worker in the forms that callers ask for."""
+#: Stands behind every word in the library's input; no byte letter.
+_STOP = "\0"
+
 
-    def __init__(self, bpe: WordBpe, forms):
-        self.bpe, self.forms, self.saved = bpe, forms, [{} for _ in forms]
+def _library(bpe: WordBpe):
+    """(encoder, id of each of its tokens, which of them end a word): a byte merging
+    library over byte letters, of which _STOP is the end mark. Letters of two bytes
+    and a word's last letter with its end mark are put together before all else."""
+    import tiktoken
+    ranks = {bytes([k]): k for k in range(256)}
+    for part in [*(c for c in bpe.letters if not c.isascii()), *(c + _STOP for c in bpe.letters), *sorted(bpe.made, key=bpe.made.get)]:
+        ranks.setdefault(part.replace(END, _STOP).encode(), len(ranks))
+    ids, last = np.zeros(len(ranks), np.int64), np.zeros(len(ranks), bool)
+    for token, k in bpe.ids.items():
+        at = ranks.get(token.replace(END, _STOP).encode())
+        if at is not None:
+            ids[at], last[at] = k, token.endswith(END)
+    return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}), ids, last
 
-    def block(self, texts) -> tuple[list[list[str]], list[dict]]:
-        """The chunks of each text, and a table of every form of each chunk."""
+
+class Chunked:
+    """Chunk encodings of a worker: ``encode`` gives the values of new words, ``join``
+    puts the values of a chunk's words together."""
+
+    def __init__(self, bpe: WordBpe, encode, join):
+        self.bpe, self.encode, self.join = bpe, encode, join
+        self.saved, self.words = {}, {}
+
+    def _learn(self, chunks: set[str]) -> None:
+        special, known = self.bpe.control, self.words
+        if len(known) > CACHE:
+            known.clear()
+        parts = [(c, [special[c]] if c in special else self.bpe.words(c)) for c in chunks]
+        new = {w for _, ws in parts for w in ws if w not in known}
+        control = [w for w in new if not isinstance(w, str)]  # ids already
+        known.update(self.encode(self.bpe, new.difference(control), control))
+        saved, join = self.saved, self.join
+        for c, ws in parts:
+            saved[c] = known[ws[0]] if len(ws) == 1 else join([known[w] for w in ws])
+        for w in new:  # long ones are not worth keeping
+            if not isinstance(w, int) and len(w) > CACHE_CHARS:
+                del known[w]
+
+    @uncollected()
+    def block(self, texts) -> list[list]:
+        """The values of the chunks of each text."""
         cut = [self.bpe.chunks(t) if t else [] for t in texts]
-        here = set(itertools.chain.from_iterable(cut))
-        first = self.saved[0]
-        for c, ids in self.bpe.encode_chunks([c for c in here if c not in first]).items():
-            for form, table in zip(self.forms, self.saved):
-                table[c] = form(self.bpe, ids)
-        tables, full = self.saved, len(first) * len(self.forms) > 2 * CACHE
-        if full or any(len(c) > CACHE_CHARS for c in here):
-            keep = [c for c in (here if full else first) if len(c) <= CACHE_CHARS]
-            self.saved = [{c: t[c] for c in keep} for t in tables]
-        return cut, tables
+        flat = list(itertools.chain.from_iterable(cut))
+        values = list(map(self.saved.get, flat))
+        missing = [i for i, v in enumerate(values) if v is None]
+        new = {flat[i] for i in missing}
+        if len(self.saved) + len(new) > CACHE:  # only what this block has stays
+            self.saved = {c: v for c, v in zip(flat, values) if v is not None}
+        self._learn(new)
+        for i in missing:
+            values[i] = self.saved[flat[i]]
+        for c in new:
+            if len(c) > CACHE_CHARS:
+                del self.saved[c]
+        at = [0, *itertools.accumulate(map(len, cut))]
+        return [values[a:z] for a, z in zip(at, at[1:])]
+
+
+def _as_bytes(_, ids) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def as_text(_, ids) -> str:
@@ -246,9 +315,32 @@ def as_decoded(bpe: WordBpe, ids) -> str:
     return bpe.decode(ids)
 
 
+def ids_by_trie(bpe: WordBpe, words, control) -> dict:
+    """New words' ids by the trie."""
+    return bpe.encode_words(words) | {k: (k,) for k in control}
+
+
+def texts_by_trie(bpe: WordBpe, words, control) -> dict:
+    """(decimal ids, decoded text) of new words, ids by the trie."""
+    return {w: (as_text(bpe, i), as_decoded(bpe, i)) for w, i in ids_by_trie(bpe, words, control).items()}
+
+
+def bytes_by_library(bpe: WordBpe, words, control) -> dict:
+    """New words' ids as bytes, by the library."""
+    return bpe.packed(words) | {k: _as_bytes(bpe, (k,)) for k in control}
+
+
+def _flat(parts):
+    return tuple(itertools.chain.from_iterable(parts))
+
+
+def _spaced(parts):
+    return tuple(" ".join([p for p in side if p]) for side in zip(*parts))
+
+
 @functools.lru_cache(maxsize=4)
-def chunked(path: str, *forms) -> Chunked:
-    return Chunked(load(path), forms)
+def chunked(path: str, encode=bytes_by_library) -> Chunked:
+    return Chunked(load(path), encode, {ids_by_trie: _flat, texts_by_trie: _spaced, bytes_by_library: b"".join}[encode])
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -257,10 +349,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def task(batches):
         bpe = load(path or vocabulary_path())
-        coder = chunked(path or vocabulary_path(), _same)
+        coder = chunked(path or vocabulary_path(), ids_by_trie)
         for b in blocks(batches):
-            cut, (ids,) = coder.block(b.column("text").to_pylist())
-            rows = [list(itertools.chain.from_iterable(ids[c] for c in cs)) for cs in cut]
+            rows = [list(_flat(values)) for values in coder.block(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(rows, pa.list_(pa.int32())), pa.array([bpe.decode(r) for r in rows])],
                 names=["doc_id", "ids", "decoded"])
@@ -268,10 +359,6 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, ids array<int>, decoded string")
 
 
-def _same(_, ids):
-    return ids
-
-
 def _hex(s: str) -> str:
     return hashlib.sha256(s.encode("utf-8")).hexdigest()
 
@@ -281,11 +368,9 @@ def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     ship(docs.sparkSession)
 
     def task(batches):
-        coder = chunked(path or vocabulary_path(), as_text, as_decoded)
+        coder = chunked(path or vocabulary_path(), texts_by_trie)
         for b in blocks(batches):
-            cut, (ids, decoded) = coder.block(b.column("text").to_pylist())
-            joined = [" ".join([s for s in map(ids.__getitem__, cs) if s]) for cs in cut]
-            back = [" ".join([s for s in map(decoded.__getitem__, cs) if s]) for cs in cut]
+            joined, back = zip(*(_spaced(values) or ("", "") for values in coder.block(b.column("text").to_pylist())))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([s.count(" ") + 1 if s else 0 for s in joined], pa.int64()),
                  pa.array([_hex(s) for s in joined], pa.string()), pa.array([_hex(s) for s in back], pa.string())],

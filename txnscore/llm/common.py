@@ -8,10 +8,12 @@ never cut short.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +168,19 @@ def hash_ngrams(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
     return mix(out), at
 
 
+@contextmanager
+def uncollected():
+    """Without cyclic garbage collection: a block's work makes no cycles, and going
+    through large caches again and again costs more than the work."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class HashTable:
     """A fixed-size slot table from 64-bit hashes to numbers (0: not there).
 

@@ -15,23 +15,27 @@ from pyspark.sql import functions as F
 from txnscore.llm.common import written
 
 
+#: Edges per file of a written step, so that small graphs are not read by very many tasks.
+EDGES_PER_FILE = 100_000
+
+
 def _checksum(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return tuple(r)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, files: int) -> DataFrame:
     """One star step over edges (a > b); returns edges (a > b) again, distinct."""
     back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     pairs = edges.unionByName(back) if large else edges
-    least = written(pairs.groupBy("a").agg(F.min("b").alias("m")), "cc-least")
+    least = written(pairs.groupBy("a").agg(F.min("b").alias("m")).coalesce(files), "cc-least")
     joined = pairs.join(least, "a")
     if large:  # link every larger neighbour to the least of the neighbourhood
         out = joined.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
     else:  # link every smaller neighbour, and the node, to the least one
         out = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))
-    return written(out.where("a != b").distinct(), "cc-edges")
+    return written(out.where("a != b").distinct().coalesce(files), "cc-edges")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,7 +45,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("a != b").select(high.alias("a"), low.alias("b")).distinct(), "cc-edges")
     state = _checksum(now)
     while state[0]:
-        now = _star(_star(now, True), False)
+        files = state[0] // EDGES_PER_FILE + 1  # the number of edges never grows
+        now = _star(_star(now, True, files), False, files)
         after = _checksum(now)
         if after == state:
             break

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnscore.llm.bpe import _byte_letters
-from txnscore.llm.common import blocks, ship, written
+from txnscore.llm.common import blocks, ship, uncollected, written
 
 PIECE = 128
 #: Text bytes aligned at a time: a token takes some hundred bytes on the way.
@@ -143,6 +143,7 @@ class Pair:
             self.ids[side] = np.append(self.ids[side], flat)
             self.at[side] = np.append(self.at[side], self.at[side][-1] + np.cumsum(size))
 
+    @uncollected()
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
         """(ids of A, texts' offsets in them, ids of B, texts' offsets in them); a text
         that is not spelt has no tokens."""
@@ -236,6 +237,7 @@ class Aligned:
         """The id pair of every link, as one number."""
         return self.a[self.last_a].astype(np.int64) * self.pair.size_b + self.b[self.last_b]
 
+    @uncollected()
     def listed(self) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of every text."""
         form_a, form_b = self.a.astype(np.int64), self.b.astype(np.int64) + 2 * self.pair.size_a

@@ -39,10 +39,6 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLAN = "length long, first long, last long, copies long, sequence long, offset long"
 
 
-def _as_bytes(_, ids) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 def cuts(tokens: int) -> list[int]:
     """Piece boundaries of a text: full sequences, whole grains, tail."""
     full = tokens // CAPACITY * CAPACITY
@@ -56,13 +52,12 @@ def pieces(docs: DataFrame, path: str | None = None, keep_ids: bool = False) ->
     schema = PIECES + (", ids array<int>" if keep_ids else "")
 
     def task(batches):
-        coder = chunked(path or vocabulary_path(), _as_bytes)
-        end = _as_bytes(None, [EOS])
+        coder = chunked(path or vocabulary_path())
+        end = struct.pack("<I", EOS)
         for b in blocks(batches):
-            cut, (ids,) = coder.block(b.column("text").to_pylist())
             out = []
-            for doc, cs in zip(b.column("doc_id").to_pylist(), cut):
-                raw = memoryview(b"".join([*map(ids.__getitem__, cs), end]))
+            for doc, values in zip(b.column("doc_id").to_pylist(), coder.block(b.column("text").to_pylist())):
+                raw = memoryview(b"".join([*values, end]))
                 tokens = len(raw) // 4
                 at = cuts(tokens)
                 for a, z in zip(at, at[1:]):

@@ -49,6 +49,8 @@ from txnscore.llm.components import components
 BLOCK, SKETCH_BITS = 256, 8
 #: Sub-parts per necessary one, and the weight up to which light ones are dropped.
 SURPLUS, MOST_WEIGHT = 1.3, 8
+#: Rows of a written table that one task of the steps over it takes.
+ROWS_PER_FILE = 50_000
 
 SIGNED = "sig long, sig2 long, doc long, pivot long, size long"
 
@@ -205,35 +207,38 @@ def sign(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def meet(rows: DataFrame) -> DataFrame:
     """Rows of SIGNED with the least doc over all blocks as pivot; signatures of
     a single document are dropped unless size says otherwise. Rows linked inside a
-    block pass as they are."""
+    block pass as they are. Spark sorts the partitions, spilling where it must, and
+    a task reads them as a stream: it holds one batch and the last group's least doc."""
     own = F.col("doc") == F.col("pivot")
     # a block's least sets go by signature, the others anywhere
     key = F.when(own, F.col("sig")).otherwise(F.xxhash64("doc", "sig"))
 
     def task(batches):
-        held = [np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns[:5]]) for b in batches]
-        if not held:
-            return
-        sig, sig2, doc, pivot, size = np.concatenate(held, axis=1)
-        lead = doc == pivot
-        order, least = _least(sig[lead], sig2[lead], doc[lead])
-        at = np.flatnonzero(lead)[order]
-        pivot[at] = least
-        # signatures seen in one block, by one set, meet nobody
-        s, s2, d = sig[at], sig2[at], doc[at]
-        many = np.zeros(len(at), bool)
-        if len(at) > 1:
-            same = (s[1:] == s[:-1]) & (s2[1:] == s2[:-1]) & (d[1:] != d[:-1])
-            head = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (s2[1:] != s2[:-1])]))
-            many = np.repeat(np.maximum.reduceat(np.concatenate([[False], same]), head),
-                             np.diff(np.append(head, len(at))))
-        keep = ~lead
-        keep[at] = many
-        keep |= size != 0
-        for part in np.array_split(np.flatnonzero(keep), len(keep) // 100_000 + 1):
-            yield _batch(sig[part], sig2[part], doc[part], pivot[part], size[part])
-
-    return rows.repartition(key).mapInArrow(task, SIGNED)
+        open_ = None  # signature and least doc of the last group, whether others met it, whether it is held back
+        for b in batches:
+            sig, sig2, doc, pivot, size = (c.to_numpy(zero_copy_only=False) for c in b.columns[:5])
+            at = np.flatnonzero(doc == pivot)
+            if len(at):
+                s, s2, d = sig[at], sig2[at], doc[at]
+                head = np.ones(len(at), bool)
+                head[1:] = (s[1:] != s[:-1]) | (s2[1:] != s2[:-1])
+                begin, group = np.flatnonzero(head), np.cumsum(head) - 1
+                least, held, met = d[begin], size[at][begin] == 0, np.zeros(len(begin), bool)
+                going = open_ is not None and open_[:2] == (s[0], s2[0])
+                if going:
+                    least[0], met[0], held[0] = open_[2:]
+                met |= np.logical_or.reduceat(d != least[group], begin)
+                if going and held[0] and met[0]:  # now somebody met it
+                    yield _batch(s[:1], s2[:1], least[:1], least[:1], np.zeros(1, np.int64))
+                pivot = pivot.copy()
+                pivot[at] = least[group]
+                open_ = s[-1], s2[-1], least[-1], met[-1], held[-1] and not met[-1]
+                keep = np.ones(len(doc), bool)
+                keep[at] = (size[at] != 0) | met[group]
+                sig, sig2, doc, pivot, size = (c[keep] for c in (sig, sig2, doc, pivot, size))
+            yield _batch(sig, sig2, doc, pivot, size)
+
+    return rows.repartition(key).sortWithinPartitions("sig", "sig2", "doc").mapInArrow(task, SIGNED)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -326,12 +331,13 @@ def _close(group, limits, percent: int, best: bool):
             yield doc[xs[i]], doc[ys[j]], least[i, j]
 
 
-def close_pairs(members: DataFrame, percent: int, best: bool = False) -> DataFrame:
+def close_pairs(members: DataFrame, percent: int, best: bool = False, files: int = 1 << 20) -> DataFrame:
     """Pairs of one (sig, i, j) block in different components whose sketches and
     sizes allow a link (rows of NEAR). side 0 is compared with side 1, side 2 with
     itself and with side 1; members: sig, i, j, side, doc, comp, size, sketch.
     ``best``: for every document the closest of its pairs only."""
-    parts = members.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    # a group lies in one partition, sorted; partitions put behind one another keep that
+    parts = members.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").coalesce(files)
 
     def task(batches):
         limits, group, found = Limits(percent), [], {}
@@ -359,9 +365,9 @@ def close_pairs(members: DataFrame, percent: int, best: bool = False) -> DataFra
 
     out = parts.select("sig", "i", "j", "side", "doc", "comp", "size", "sketch").mapInArrow(task, NEAR)
     if best:
-        out = out.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("m")).select("a", "m.b", "m.gap")
+        out = out.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("m")).select("a", "m.b", "m.gap").coalesce(files)
     high, low = F.greatest("a", "b"), F.least("a", "b")
-    return out.select(high.alias("a"), low.alias("b")).distinct()
+    return out.select(high.alias("a"), low.alias("b")).distinct().coalesce(files)
 
 
 def _near_batch(found: dict, best: bool) -> pa.RecordBatch:
@@ -374,21 +380,29 @@ def _unresolved(members: DataFrame, comp: DataFrame) -> DataFrame:
     """(sig, doc, comp) of signatures (sig, doc) with members of several components;
     of signatures with equal members one."""
     members = written(members.select("sig", "doc").join(comp, "doc").select("sig", "doc", "comp"), "partenum-members")
+    files = _files(members)
     own = lambda *c: F.sum(F.xxhash64("doc", *c).cast("decimal(38,0)"))
     mixed = members.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"),
-                                       own().alias("h1"), own(F.lit(7)).alias("h2")).where("x != y")
+                                       own().alias("h1"), own(F.lit(7)).alias("h2")).where("x != y").coalesce(files)
     # signatures with the same members hold the same pairs: one of them is enough
     mixed = mixed.groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
-    return written(members.join(written(mixed, "partenum-mixed"), "sig"), "partenum-unresolved")
+    return written(members.join(written(mixed.coalesce(files), "partenum-mixed"), "sig").coalesce(files), "partenum-unresolved")
+
+
+def _files(rows: DataFrame) -> int:
+    """Tasks for the steps over a written table: very many tasks on few rows cost more
+    than the rows."""
+    return rows.count() // ROWS_PER_FILE + 1
 
 
 def _dealt(open_: DataFrame, sketch: DataFrame) -> DataFrame:
     """The members of unresolved signatures dealt to the blocks in which all pairs
     outside the largest component's own meet once."""
-    count = open_.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
+    files = _files(open_)
+    count = open_.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n")).coalesce(files)
     per = count.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
     per = written(per.select("sig", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"),
-                             (F.col("all") - F.col("top.n")).alias("n_rest")), "partenum-groups")
+                             (F.col("all") - F.col("top.n")).alias("n_rest")).coalesce(files), "partenum-groups")
     m = open_.join(per, "sig")
     blocks_of = lambda c: (F.floor(F.col(c) / BLOCK) + 1).cast("long")
     at = lambda c: F.pmod(F.xxhash64("doc"), blocks_of(c)).cast("long")
@@ -416,9 +430,15 @@ def _whole(ids: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after more links between their members."""
-    old = comp.select(F.col("doc").alias("a"), F.col("component").alias("b"))
-    return written(components(old.unionByName(links)).withColumnRenamed("node", "doc"), "partenum-comp")
+    """Components after more links between their members: only the graph between the
+    components that the links join is solved, then every member is relabelled."""
+    of = lambda side, out: comp.select(F.col("doc").alias(side), F.col("component").alias(out))
+    joined = links.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left")
+    small = written(components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))),
+                    "partenum-contracted")
+    old = comp.join(small.select(F.col("node").alias("component"), F.col("component").alias("new")), "component", "left")
+    alone = small.select(F.col("node").alias("doc"), "component").join(comp.select("doc"), "doc", "left_anti")
+    return written(old.select("doc", F.coalesce("new", "component").alias("component")).unionByName(alone), "partenum-comp")
 
 
 def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -435,7 +455,8 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     tried = written(tried.select(F.col("doc").alias("a"), F.explode(F.array("x", "y")).alias("b")).distinct(),
                     "partenum-tried")
     meeting = hits.where("doc != pivot")
-    ids = meeting.select(F.col("doc").alias("doc_id")).unionByName(meeting.select(F.col("pivot").alias("doc_id"))).distinct()
+    ids = written(meeting.select(F.col("doc").alias("doc_id")).unionByName(meeting.select(F.col("pivot").alias("doc_id")))
+                  .distinct(), "partenum-ids")
     texts = written(known.select("doc_id", "text").join(ids, "doc_id"), "partenum-texts")
     links = written(verify(tried, texts, n, percent).unionByName(same), "partenum-links")
     comp = written(components(links).withColumnRenamed("node", "doc"), "partenum-comp")
@@ -444,8 +465,8 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     wanted = open_.select(F.col("doc").alias("doc_id")).distinct()
     sketch = written(sketches(texts.join(wanted, "doc_id"), n, percent), "partenum-sketches")
     while True:  # the closest pair of every open document, as long as any is a link
-        dealt = _dealt(open_, sketch)
-        near = written(close_pairs(dealt, percent, best=True).join(tried, ["a", "b"], "left_anti"), "partenum-near")
+        dealt, files = _dealt(open_, sketch), _files(open_)
+        near = written(close_pairs(dealt, percent, True, files).join(tried, ["a", "b"], "left_anti"), "partenum-near")
         more = written(verify(near, texts, n, percent), "partenum-links")
         tried = tried.unionByName(near)
         if more.isEmpty():
@@ -453,7 +474,7 @@ def join_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         comp = _merged(comp, more)
         open_ = _unresolved(open_, _whole(ids, comp))
     # every other pair of different components that may be a link
-    near = written(close_pairs(dealt, percent).join(tried, ["a", "b"], "left_anti"), "partenum-near")
+    near = written(close_pairs(dealt, percent, files=files).join(tried, ["a", "b"], "left_anti"), "partenum-near")
     comp = _merged(comp, verify(near, texts, n, percent)).withColumnRenamed("doc", "doc_id")
     size = sets.select(F.col("doc").alias("doc_id"), (F.col("size") - 1).alias("n_shingles"))
     out = size.join(comp, "doc_id", "left").select(

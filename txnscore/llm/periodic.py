@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from txnscore.llm.common import blocks, find_words, hash_spans, mix, ship, utf8
+from txnscore.llm.common import blocks, find_words, hash_spans, mix, ship, uncollected, utf8
 
 SHORTEST, TIMES = 6, 4
 #: Rounds of parting a text into stretches.
@@ -221,6 +221,7 @@ def stretches(words: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, np.cumsum(head) - 1
 
 
+@uncollected()
 def runs_of(words: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, period) of all runs of one text's stretches: indices into
     ``words``, sorted by start and period; ``parts``: the stretch of every word."""
