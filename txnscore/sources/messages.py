@@ -8,7 +8,9 @@ Kafka topic (``format("kafka")``) or a file log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,3 +65,61 @@ def publish(messages: DataFrame, fmt: str = "parquet", path: str | None = None,
     else:
         w.mode(mode).save(path)
 
+
+# JSON types (as ``schema_of_variant`` names them) that a number column takes.
+_NUMBER = "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+
+
+def _field_reason(kind: Column, value: Column, f: T.StructField, required: bool, time_col: str) -> Column:
+    """Why one field of a parsed message cannot be taken (NULL: it can), from its
+    JSON type (NULL: not there) and its value."""
+    if f.name == time_col or isinstance(f.dataType, T.StringType):
+        good = (kind == "STRING") & value.isNotNull()
+    elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        odd = F.isnan(value) | (F.abs(value) == float("inf"))
+        good = kind.rlike(_NUMBER) | ((kind == "STRING") & F.coalesce(odd, F.lit(False)))
+    elif isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)):
+        good = (kind == "BIGINT") & value.isNotNull()
+    else:
+        good = value.isNotNull()
+    missing = F.lit(f"missing:{f.name}") if required else F.lit(None).cast("string")
+    return F.when(kind.isNull(), missing).when((kind != "VOID") & ~good, F.lit(f"type:{f.name}"))
+
+
+def decode_checked(df: DataFrame, schema: T.StructType = TXN, time_col: str = EVENT_TIME,
+                   required: Sequence[str] | None = None) -> DataFrame:
+    """key, value, ``reason`` and the typed columns of every message.
+
+    ``reason`` is NULL for a message that can be taken whole, else the first of
+    ``no_value``, ``bad_json`` (cut off, or no JSON), ``not_object``, or all of
+    ``missing:<field>`` (of the ``required`` ones, by default the key and the time) and
+    ``type:<field>`` (another JSON type, an unreadable time, an integer out of
+    range), in field order. A JSON null is a NULL; a bare or quoted NaN is a number."""
+    required = (KEY, time_col) if required is None else required
+    text = F.col("value").cast("string")
+    # bare NaN is what some writers send; JSON knows it as text only
+    quoted = F.regexp_replace(text, r"(:\s*)(NaN|-?Infinity)(\s*[,}])", r'$1"$2"$3')
+    v, out = F.col("_v"), []
+    for f in schema.fields:
+        kind = F.when(F.col("_kind").startswith("OBJECT"), F.schema_of_variant(F.variant_get(v, f"$.{f.name}", "variant")))
+        value = F.try_variant_get(v, f"$.{f.name}", "string" if f.name == time_col else f.dataType.simpleString())
+        out += [kind.alias(f"_kind_{f.name}"), (parse_time(value).cast(f.dataType) if f.name == time_col else value).alias(f.name)]
+    rows = (df.select(F.col("key").cast("string").alias("key"), text.alias("value"), F.try_parse_json(quoted).alias("_v"))
+            .select("key", "value", "_v", F.schema_of_variant("_v").alias("_kind")))
+    # one row in, one row out: a filter on the reason is not pushed below this, which would parse every message again
+    rows = rows.select("key", "value", "_kind", F.explode(F.array(F.struct(*out))).alias("_m")).select("key", "value", "_kind", "_m.*")
+    fields = F.concat_ws(",", *[_field_reason(F.col(f"_kind_{f.name}"), F.col(f.name), f, f.name in required, time_col)
+                                for f in schema.fields])
+    rows = rows.withColumn("_fields", fields)
+    reason = (F.when(F.col("value").isNull(), "no_value").when(F.col("_kind").isNull(), "bad_json")
+              .when(~F.col("_kind").startswith("OBJECT"), "not_object").when(F.col("_fields") != "", F.col("_fields")))
+    return rows.select("key", "value", reason.alias("reason"), *schema.fieldNames())
+
+
+def split_decoded(df: DataFrame, schema: T.StructType = TXN, time_col: str = EVENT_TIME,
+                  required: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, rejects): rejects keep key and value and say why. Together they
+    are the input, message by message."""
+    out = decode_checked(df, schema, time_col, required)
+    good = out.where(F.col("reason").isNull()).select(*schema.fieldNames())
+    return good, out.where(F.col("reason").isNotNull()).select("key", "value", "reason")
