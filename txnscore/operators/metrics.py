@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import class_name
 from ..schemas import LABEL
-from .stats import running_totals
+from .stats import running_totals, stored
 
 
 def profile(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -94,7 +94,8 @@ def pr_points(scored: DataFrame, score: str = "score", label: str = LABEL,
     g = (scored.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score"))
                .agg(F.sum(F.col(label).cast("double")).alias("tp"),
                     F.count(F.lit(1)).cast("double").alias("n")))
-    return running_totals(g, "score", ["tp", "n"], descending=True, num_partitions=num_partitions)
+    # written, so the scores are read and grouped once for the range bounds and the sums
+    return running_totals(stored(g, "pr-scores"), "score", ["tp", "n"], descending=True, num_partitions=num_partitions)
 
 
 def pr_curve(scored: DataFrame, score: str = "score", label: str = LABEL,

@@ -24,6 +24,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 _RANGE = "_range"
 # Ranges per task slot: several small ones even out where their hashes fall.
 RANGES_PER_SLOT = 4
@@ -90,6 +92,14 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
         *[F.col(f"{total_prefix}{c}") for c in sum_cols])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a small grouped table to the shared folder and read it back, so that
+    what it was grouped from is read once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def long_values(df: DataFrame, cols: Sequence[str], name_col: str = "column",
                 value_col: str = "value") -> DataFrame:
     """Unpivot numeric columns to (column, value) as doubles, dropping NULL and NaN."""
@@ -115,9 +125,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     ``band`` (default): a mergeable sketch (``approxQuantile``, rank error at
     most ``eps * n``) gives values L and U whose ranks bracket the target
-    rank; one shuffle-free aggregate counts the rows below L; only the rows
-    inside [L, U] (about ``6 * eps`` of the data per quantile) are shuffled
-    and ranked exactly. ``full``: rank every distinct value (one shuffle of
+    rank; a second pass counts the rows below L and keeps those inside [L, U]
+    (about ``6 * eps`` of the data per quantile), which are written and ranked
+    exactly. The data are read twice. ``full``: rank every distinct value (one shuffle of
     all values; kept as the reference for tests).
     """
     cols, probs = list(cols), [float(q) for q in probs]
@@ -140,26 +150,35 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             hi = None if hi_p[i] >= 1.0 or not vals else vals[len(probs) + i]
             bounds[(c, q)] = (lo, hi)
 
-    # Rows strictly below each band, and the column totals: one aggregate.
-    aggs = [F.count(F.col(c)).alias(f"n::{c}") for c in cols]
-    for (c, q), (lo, _) in bounds.items():
-        below = F.count(F.when(F.col(c) < F.lit(lo), 1)) if lo is not None else F.lit(0)
-        aggs.append(below.alias(f"below::{c}::{q!r}"))
-    counts = clean.agg(*aggs).first().asDict()
-
-    # The band rows, tagged with the quantile they serve, ranked exactly.
-    tagged = []
-    for (c, q), (lo, hi) in bounds.items():
-        cond = F.col(c).isNotNull()
-        if lo is not None:
-            cond = cond & (F.col(c) >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(c) <= F.lit(hi))
-        tagged.append(F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(q).alias("p"),
-                                            F.col(c).alias("value"))))
-    band = (clean.select(F.explode(F.filter(F.array(*tagged), lambda x: x.isNotNull())).alias("b"))
-                 .select("b.*"))
-    grouped = band.groupBy("column", "p", "value").agg(F.count(F.lit(1)).alias("n"))
+    # One pass for both: every row adds to a counter of its columns' values by the bands
+    # they lie below (at most len(probs) + 1 of a column), and rows inside a band are
+    # kept with their value. The few grouped rows are written; all else reads those.
+    entries = []
+    for c in cols:
+        below = F.lit(0)
+        for i, q in enumerate(probs):
+            lo, hi = bounds[(c, q)]
+            cond = F.col(c).isNotNull()
+            if lo is not None:
+                below = below + F.when(F.col(c) < F.lit(lo), 1 << i).otherwise(0)
+                cond = cond & (F.col(c) >= F.lit(lo))
+            if hi is not None:
+                cond = cond & (F.col(c) <= F.lit(hi))
+            entries.append(F.when(cond, F.struct(F.lit(c).alias("column"), F.lit(q).alias("p"), F.col(c).alias("value"),
+                                                 F.lit(0).alias("below"))))
+        entries.append(F.when(F.col(c).isNotNull(), F.struct(
+            F.lit(c).alias("column"), F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("value"),
+            below.alias("below"))))
+    each = clean.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("b")).select("b.*")
+    found = stored(each.groupBy("column", "p", "value", "below").agg(F.count(F.lit(1)).alias("n")), "quantile-bands")
+    counts: dict = {}
+    for r in found.where("p is null").collect():
+        counts[f"n::{r['column']}"] = counts.get(f"n::{r['column']}", 0) + r["n"]
+        for i, q in enumerate(probs):
+            k = f"below::{r['column']}::{q!r}"
+            counts[k] = counts.get(k, 0) + (r["n"] if r["below"] >> i & 1 else 0)
+    bounds = {b: v for b, v in bounds.items() if f"n::{b[0]}" in counts}
+    grouped = found.where("p is not null").select("column", "p", "value", "n")
     cum = running_totals(grouped, "value", ["n"], group_cols=["column", "p"],
                          num_partitions=num_partitions)
     # Target rank inside the band: ceil(p * n) minus the rows below it.

@@ -251,21 +251,19 @@ from pp group by all"""
 @query("stream_counts_out_of_order", with_transactions(f"""
 pp as (select trans_date_trans_time as ts, {FIXED_SCORE_SQL} as sc from transactions)""") + COUNTS_SQL)
 def q_counts_out_of_order(spark, d):
-    """The latest events first, in batches of a file: every prediction counts."""
-    src = scratch_path(spark, "raw-stream")
+    """The latest events come first, each third published and drained before the
+    next: every prediction counts."""
+    src, out, checkpoint = scratch_path(spark, "raw-stream"), scratch_path(spark, "counts"), scratch_path(spark, "ckpt")
     rows = transactions(spark, d)
-    cuts = rows.select(F.unix_micros(F.col(EVENT_TIME).cast("timestamp")).alias("t")).approxQuantile("t", [0.33, 0.66], 0.01)
     at = F.unix_micros(F.col(EVENT_TIME).cast("timestamp"))
+    cuts = rows.select(at.alias("t")).approxQuantile("t", [0.33, 0.66], 0.01)
     for lo, hi in ((cuts[1], None), (cuts[0], cuts[1]), (None, cuts[0])):
         part = rows if lo is None else rows.where(at >= lo)
-        part = part if hi is None else part.where(at < hi)
-        write_dataset(part.coalesce(1), src, mode="append")
-    stream = spark.readStream.schema(TXN).option("maxFilesPerTrigger", 1).parquet(src)
-    scored = fixed_score(stream).select(EVENT_TIME, F.struct(
-        F.col("score").alias("fraud_probability"),
-        F.when(F.col("score") > 0.5, 1).otherwise(0).alias("is_fraud_prediction")).alias(FIXED_MODEL))
-    out = scratch_path(spark, "counts")
-    SS.run_counts(SS.windowed_prediction_counts(scored, [FIXED_MODEL]), out, scratch_path(spark, "ckpt")).awaitTermination()
+        write_dataset(part if hi is None else part.where(at < hi), src, mode="append")
+        scored = fixed_score(spark.readStream.schema(TXN).parquet(src)).select(EVENT_TIME, F.struct(
+            F.col("score").alias("fraud_probability"),
+            F.when(F.col("score") > 0.5, 1).otherwise(0).alias("is_fraud_prediction")).alias(FIXED_MODEL))
+        SS.run_counts(SS.windowed_prediction_counts(scored, [FIXED_MODEL]), out, checkpoint).awaitTermination()
     return SS.current_counts(spark, out).withColumn("n", F.col("n").cast("long"))
 
 
