@@ -114,7 +114,7 @@ def _equal_copies(minor: DataFrame, majority_rows: int, minority_rows: int, key:
     copies = (F.lit(whole) + cut.before().cast("int")).cast("long")
     out = ordered.where(~cut.at()).withColumn("_copies", copies)
     if cut.of:
-        one = ordered.where(cut.at()).limit(1).withColumn("_copies", F.lit(whole * cut.of + cut.taken).cast("long"))
+        one = ordered.where(cut.at()).dropDuplicates(list(ORDER)).withColumn("_copies", F.lit(whole * cut.of + cut.taken).cast("long"))
         out = out.unionByName(one)
     return out.drop(*ORDER)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import class_name
@@ -142,21 +142,17 @@ def pr_auc_binned(scored: DataFrame, bins: int = 1000, score: str = "score", lab
     """(pr_auc, area_error): the area under the PR curve by trapezoids over about
     ``bins`` equi-depth bins, and how far the exact area can be from it.
 
-    One narrow aggregate of the rows; the windows run over histogram rows only (at
-    most SCORE_CELLS, then ``bins``). Inside a bin that takes the counts from (TP, N)
+    One narrow aggregate of the rows; the running sums are over histogram rows only
+    (at most SCORE_CELLS, then ``bins``). Inside a bin that takes the counts from (TP, N)
     by t positives and f others, every point's precision lies between
     TP / (N + f) and (TP + t) / (N + t): the error sums recall step x that range."""
-    cells = score_histogram(scored, score, label)
-    down = Window.orderBy(F.desc("cell"))
-    upto = down.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = F.coalesce(F.sum("n").over(upto), F.lit(0))
-    binned = cells.select("tp", "n", F.floor(before * bins / F.sum("n").over(everything)).alias("bin"))
+    cells = running_totals(stored(score_histogram(scored, score, label), "pr-cells"), "cell", ["n"], descending=True)
+    ahead_of = F.col("cum_n") - F.col("n")
+    binned = cells.select("tp", "n", F.floor(ahead_of * bins / F.col("total_n")).alias("bin"))
     per = binned.groupBy("bin").agg(F.sum("tp").cast("double").alias("t"), F.sum("n").cast("double").alias("n"))
-    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    pts = per.select("t", (F.col("n") - F.col("t")).alias("f"), F.coalesce(F.sum("t").over(upto), F.lit(0.0)).alias("tp"),
-                     F.coalesce(F.sum("n").over(upto), F.lit(0.0)).alias("all"), F.sum("t").over(everything).alias("total"))
-    t, f, tp, n, step = F.col("t"), F.col("f"), F.col("tp"), F.col("all"), F.col("t") / F.col("total")
+    pts = running_totals(stored(per, "pr-bins"), "bin", ["t", "n"])
+    t, f, step = F.col("t"), F.col("n") - F.col("t"), F.col("t") / F.col("total_t")
+    tp, n = F.col("cum_t") - t, F.col("cum_n") - F.col("n")
     after = (tp + t) / (n + t + f)
     ahead = F.when(n > 0, tp / n).otherwise(after)
     low = F.when(n + f > 0, tp / (n + f)).otherwise(1.0)

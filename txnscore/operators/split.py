@@ -86,7 +86,7 @@ def split_stratified(df: DataFrame, label: str, train_fraction: float = 0.8, key
         side = F.when(own & (cut.before() | (cut.at() & F.lit(cut.taken == cut.of))), "train").otherwise(side)
         if cut.taken < cut.of:
             equal = equal | (own & cut.at())
-            one = ordered.where(own & cut.at()).limit(1)
+            one = ordered.where(own & cut.at()).dropDuplicates(list(ORDER))
             for name, times in (("train", cut.taken), ("test", cut.of - cut.taken)):
                 out.append(one.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("_n")
                            .withColumn(side_col, F.lit(name)))
