@@ -2,11 +2,15 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnscore.operators import sketches as SK
+from txnscore.plans import models as MD
+from txnscore.plans.featurize import SPARSE_COL, fit_features
 from txnscore.schemas import EVENT_TIME, KEY, LABEL, TXN
 from txnscore.session import scratch_path
 from txnscore.sources.files import write_dataset
@@ -114,3 +118,23 @@ def test_a_replayed_batch_counts_once():
     assert listener.counts(N(id="q")) == {"input": 10}
     with pytest.raises(TimeoutError):
         listener.counts(N(id="other"), timeout=0.01)
+
+
+def test_a_category_of_thousands_of_values_fits_saves_and_scores(spark):
+    t = transactions(spark, SF_SMALL).withColumn("category", F.concat(F.lit("c"), F.lpad((F.col("trans_num").cast("long") % 997).cast("string"), 5, "0")))
+    many = t.unionByName(t.limit(1).select(*[F.explode(F.array(*[F.lit(f"d{k:05d}") for k in range(5000)])).alias("category") if c == "category"
+                                             else F.col(c) for c in t.columns]))
+    fitted = fit_features(many, one_hot="sparse")
+    model = PipelineModel(stages=[*fitted.stages, MD.lr_estimator().setMaxIter(3).fit(fitted.transform(many))])
+    path = MD.save_model(model, scratch_path(spark, "sparse-model"))
+    odd = t.limit(3).withColumn("category", F.element_at(F.array(F.lit(None), F.lit("new"), F.lit("c00000")),
+                                                         (F.row_number().over(Window.orderBy(KEY))).cast("int")))
+    loaded = MD.load_model(path)
+    for v in loaded.transform(odd).select(SPARSE_COL).collect():  # NULL, unseen and baseline: no entry
+        assert v[0].size == 5996 and len(v[0].indices) == 0
+    before, after = ({r[KEY]: r[1] for r in MD.score(m, t).collect()} for m in (model, loaded))
+    assert before == after and len(after) == t.count()
+    some = loaded.transform(many.where("category = 'd00000'")).select(SPARSE_COL, "features").first()
+    assert some[0].indices.tolist() == [996] and some[0].values.tolist() == [1.0]
+    with pytest.raises(ValueError):
+        fit_features(t, one_hot="other")

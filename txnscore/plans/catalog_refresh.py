@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import features as FE
 from ..operators import sketches as SK
 from ..operators.features import add_distance, invalid_reason
 from ..schemas import EVENT_TIME, KEY, LABEL, TXN
@@ -14,8 +16,8 @@ from ..sources.messages import decode_checked, encode_messages, split_decoded
 from ..streaming import drain as D
 from ..streaming import observed as O
 from ..views import transactions, with_transactions
-from . import models as MD
 from .catalog import TX_SQL_LONG, tx_long
+from .featurize import SPARSE_COL, SPARSE_MAX_CATEGORIES, sparse_one_hot
 from .registry import query
 
 
@@ -99,6 +101,22 @@ def q_sketch_parts(spark, d):
     return SK.stored_sketches(spark, sketched(spark, d)).select("part", "column", "n")
 
 
+# ------------------------------------------------------------------ sparse one-hot
+
+@query("one_hot_sparse", with_transactions("""
+c as (select distinct cast(cc_num as varchar) as card from transactions)""", """
+v as (select card, row_number() over (order by card) as r from c)""") + """
+select trans_num, cast(case when r > 1 then r - 2 end as bigint) as slot from transactions join v on cast(cc_num as varchar) = card""")
+def q_one_hot_sparse(spark, d):
+    """Every card number as a category: the one slot of its sparse vector (NULL for
+    the baseline)."""
+    t = transactions(spark, d).select(KEY, F.col("cc_num").cast("string").alias("category"))
+    out = PipelineModel(stages=sparse_one_hot(FE.fit_vocabulary(t, "category", SPARSE_MAX_CATEGORIES))).transform(t)
+    # a vector's JSON is (type, size, indices, values)
+    entry = F.from_json(F.to_json(F.struct(F.col(SPARSE_COL).alias("v"))), "v struct<indices array<long>>")
+    return out.select(KEY, F.get(entry["v"]["indices"], F.lit(0)).alias("slot"))
+
+
 # ------------------------------------------------------------------ observed streams
 
 @query("stream_stage_counts", with_transactions(f"""

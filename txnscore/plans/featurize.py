@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as FE
 from ..operators import scale as SC
@@ -141,19 +141,54 @@ def model_features(fitted: PipelineModel, available: Sequence[str] | None = None
     return base + onehot.outputCols() + scaler.outputCols()
 
 
+# Values a sparse one-hot may have (its vocabulary is a driver-side list in the saved model).
+SPARSE_MAX_CATEGORIES = 1_000_000
+SPARSE_COL = "category_onehot"
+
+
+def sparse_one_hot(vocabulary: Sequence[str], input_col: str = "category", output_col: str = SPARSE_COL) -> list:
+    """Fitted stages from a category column to one sparse vector column of k - 1 slots
+    in vocabulary order, the first value being the dropped baseline.
+
+    The baseline gets the last index, the encoder's last slot goes to unseen and NULL
+    values, and the slicer drops the baseline's: those rows are all zeros, as in the
+    dense form. A row costs one entry instead of k - 1 columns."""
+    if len(vocabulary) < 2:
+        raise ValueError("a sparse one-hot needs at least two category values")
+    index, slots = f"{output_col}_index", f"{output_col}_slots"
+    indexer = StringIndexerModel.from_labels([*vocabulary[1:], vocabulary[0]], inputCol=input_col, outputCol=index, handleInvalid="keep")
+    encoder = OneHotEncoder(inputCols=[index], outputCols=[slots], dropLast=True, handleInvalid="error")
+    spark = SparkSession.getActiveSession()
+    # the encoder only learns the number of indices, which the indexer's column states
+    encoder = encoder.fit(indexer.transform(spark.createDataFrame([(vocabulary[0],)], f"{input_col} string")))
+    return [indexer, encoder, VectorSlicer(inputCol=slots, outputCol=output_col, indices=list(range(len(vocabulary) - 1)))]
+
+
 def fit_features(df: DataFrame, relative_error: float = SC.DEFAULT_RELATIVE_ERROR,
-                 handle_invalid: str = "keep", features_col: str = "features") -> PipelineModel:
+                 handle_invalid: str = "keep", features_col: str = "features", one_hot: str = "dense") -> PipelineModel:
     """Fit vocabulary and quartiles on ``df``; return stages ending in the assembler.
 
+    ``one_hot``: ``dense`` (named 0/1 columns, at most 10,000 values; what feature
+    tables, requests by name and compiled models need) or ``sparse`` (one vector
+    column, for vocabularies of thousands of values).
+
     The two fits are independent passes over the same rows and run at once. The
     assembler keeps every row (NULL becomes NaN): rows that cannot be scored are
     told by ``invalid_reason``, never dropped on the way.
     """
+    if one_hot not in ("dense", "sparse"):
+        raise ValueError(f"one_hot must be dense or sparse, not {one_hot!r}")
     base = TransactionFeatures()
     with_base = base.transform(df)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        onehot = pool.submit(CategoryOneHot().fit, with_base)
         scaler = pool.submit(IqrScaler(SCALED_SOURCES, relative_error).fit, with_base)
+        if one_hot == "sparse":
+            stages = sparse_one_hot(FE.fit_vocabulary(with_base, "category", SPARSE_MAX_CATEGORIES))
+            scaled = scaler.result()
+            names = [c for c in BASE_FEATURES if c in with_base.columns] + [SPARSE_COL, *scaled.outputCols()]
+            assembler = VectorAssembler(inputCols=names, outputCol=features_col, handleInvalid=handle_invalid)
+            return PipelineModel(stages=[base, *stages, scaled, assembler])
+        onehot = pool.submit(CategoryOneHot().fit, with_base)
         fitted = PipelineModel(stages=[base, onehot.result(), scaler.result()])
     assembler = VectorAssembler(inputCols=model_features(fitted, with_base.columns),
                                 outputCol=features_col, handleInvalid=handle_invalid)
