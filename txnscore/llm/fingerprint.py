@@ -63,8 +63,9 @@ def _borders(labels: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 
 def phrases(column: pa.Array, level: int = LEVEL) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the phrases of every text at ``level`` (at a lower one where a
-    text has no more than one phrase), and the n+1 offsets of the texts."""
+    """Names of the phrases of every text at ``level``, and the n+1 offsets of the
+    texts. A text too short to have a border there is one phrase, so its
+    fingerprint is like that of an equal text only."""
     data, offsets = utf8(column)
     texts = np.flatnonzero(np.diff(offsets))
     if not len(texts):
