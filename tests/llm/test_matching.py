@@ -282,3 +282,32 @@ def test_groups_are_real_id_lists(spark, libraries):
     for r in C.align(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         p = plain_alignment(libraries, ODD[r.doc_id])
         assert [(g.a, g.b) for g in r.groups] == (p[2] if p else [])
+
+
+# signatures that meet
+
+def test_groups_that_go_over_many_batches_meet_as_one(spark):
+    """Sorted partitions read in batches of three rows: every group gets its least
+    document, wherever its rows are cut."""
+    from txnscore.llm import partenum
+    rng = random.Random(8)
+    rows = []
+    for sig in range(12):
+        docs = [rng.randrange(40) for _ in range(rng.choice([1, 1, 2, 7, 30]))]
+        rows += [(sig, sig % 2, d, d, rng.choice([0, 0, 0, 5]) if sig % 3 else 0) for d in set(docs)]
+    rows += [(sig, 0, 100 + k, 3, 0) for k, sig in enumerate((1, 2, 2))]  # linked inside a block
+    least, members = {}, {}
+    for s, s2, d, p, _ in rows:
+        if d == p:
+            least[s, s2] = min(d, least.get((s, s2), d))
+            members.setdefault((s, s2), set()).add(d)
+    want = {(s, s2, d, least[s, s2], n) if d == p else (s, s2, d, p, n) for s, s2, d, p, n in rows
+            if d != p or n or len(members[s, s2]) > 1}
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = spark.createDataFrame(rows, partenum.SIGNED).repartition(4)
+        got = [tuple(r) for r in partenum.meet(df).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert set(got) == want and len(got) == len(want)
