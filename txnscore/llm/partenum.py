@@ -334,10 +334,12 @@ def _close(group, limits, percent: int, best: bool):
 def close_pairs(members: DataFrame, percent: int, best: bool = False, files: int = 1 << 20) -> DataFrame:
     """Pairs of one (sig, i, j) block in different components whose sketches and
     sizes allow a link (rows of NEAR). side 0 is compared with side 1, side 2 with
-    itself and with side 1; members: sig, i, j, side, doc, comp, size, sketch.
+    itself and with side 1; members: lead (the signature's least document), sig, i,
+    j, side, doc, comp, size, sketch.
     ``best``: for every document the closest of its pairs only."""
-    # a group lies in one partition, sorted; partitions put behind one another keep that
-    parts = members.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").coalesce(files)
+    # a group lies in one partition, sorted; partitions put behind one another keep that. Signatures with one
+    # least document mostly have the same members: they go to one task, which names a pair once
+    parts = members.repartition("lead", "i", "j").sortWithinPartitions("sig", "i", "j").coalesce(files)
 
     def task(batches):
         limits, group, found = Limits(percent), [], {}
@@ -399,9 +401,10 @@ def _dealt(open_: DataFrame, sketch: DataFrame) -> DataFrame:
     """The members of unresolved signatures dealt to the blocks in which all pairs
     outside the largest component's own meet once."""
     files = _files(open_)
-    count = open_.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n")).coalesce(files)
-    per = count.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-    per = written(per.select("sig", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"),
+    count = open_.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least")).coalesce(files)
+    per = count.groupBy("sig").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"),
+                                   F.min("least").alias("lead"))
+    per = written(per.select("sig", "lead", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main"),
                              (F.col("all") - F.col("top.n")).alias("n_rest")).coalesce(files), "partenum-groups")
     m = open_.join(per, "sig")
     blocks_of = lambda c: (F.floor(F.col(c) / BLOCK) + 1).cast("long")
@@ -410,14 +413,14 @@ def _dealt(open_: DataFrame, sketch: DataFrame) -> DataFrame:
     # main: one block, met by every block of the rest (i: rest block, j: -1 - main block)
     main = m.where(is_main).select("*", at("n_main").alias("j0")).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of("n_rest") - 1)).alias("i")).select(
-        "sig", "i", (-1 - F.col("j0")).alias("j"), F.lit(1).alias("side"), "doc", "comp")
+        "lead", "sig", "i", (-1 - F.col("j0")).alias("j"), F.lit(1).alias("side"), "doc", "comp")
     rest = m.where(~is_main).withColumn("own", at("n_rest"))
     rest_main = rest.select("*", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of("n_main") - 1)).alias("j0")).select(
-        "sig", F.col("own").alias("i"), (-1 - F.col("j0")).alias("j"), F.lit(0).alias("side"), "doc", "comp")
+        "lead", "sig", F.col("own").alias("i"), (-1 - F.col("j0")).alias("j"), F.lit(0).alias("side"), "doc", "comp")
     # rest against rest: block pairs i <= j; i = j holds its own pairs
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks_of("n_rest") - 1)).alias("o")
     rest_rest = rest.select("*", other).select(
-        "sig", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"),
+        "lead", "sig", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"),
         F.when(F.col("own") == F.col("o"), 2).when(F.col("own") < F.col("o"), 0).otherwise(1).alias("side"),
         "doc", "comp")
     return written(main.unionByName(rest_main).unionByName(rest_rest), "partenum-dealt").join(sketch, "doc")
