@@ -18,7 +18,7 @@ from ..views import transactions, with_transactions
 from . import models as MD
 from . import trees as T
 from .catalog import HASH_SQL, SCORED_SQL, _fixed_scored, tx_long
-from .catalog_models import trained
+from .catalog_models import even_transactions, trained
 from .fixed import FIXED_TREE_FEATURES, fixed_trees
 from .registry import query
 
@@ -67,7 +67,7 @@ def q_gbt_trees(spark, d):
 select trans_num, true as {MD.LR_NAME}_same, true as {MD.GBT_NAME}_same from transactions""")
 def q_score_batch_compiled(spark, d):
     """Every transaction scored by both models' SQL and by the saved scorer."""
-    model, raw = trained(spark, d).scorer(), transactions(spark, d)
+    model, raw = trained(spark, d).scorer(), even_transactions(spark, d)
     return _same(T.score_compiled(model, raw), MD.score(model, raw), [MD.LR_NAME, MD.GBT_NAME])
 
 

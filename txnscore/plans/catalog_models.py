@@ -16,7 +16,7 @@ from ..operators import metrics as M
 from ..operators.split import split_random
 from ..schemas import KEY, LABEL
 from ..session import scratch_path
-from ..sources.files import read_dataset, write_dataset
+from ..sources.files import read_dataset, stored_evenly, write_dataset
 from ..sources.requests import expand_requests, to_requests
 from ..views import transactions, with_transactions
 from . import models as MD
@@ -40,9 +40,15 @@ def exact_features(spark, d):
                  lambda: fit_features(transactions(spark, d), relative_error=0.0))
 
 
+def even_transactions(spark, d) -> DataFrame:
+    """All transactions, in files of even size where the table is large: what the
+    fits and the scorers read."""
+    return _memo(spark, ("transactions", d), lambda: stored_evenly(transactions(spark, d), "transactions"))
+
+
 def trained(spark, d) -> MD.Trained:
     """Hash split, feature stages on the train side, exact balance, LR + GBT."""
-    return _memo(spark, ("trained", d), lambda: MD.train(transactions(spark, d)))
+    return _memo(spark, ("trained", d), lambda: MD.train(even_transactions(spark, d)))
 
 
 FEATURE_SQL = f"""
@@ -133,7 +139,7 @@ def q_train_gbt(spark, d):
 
 @query("score_batch")
 def q_score_batch(spark, d):
-    return MD.score(trained(spark, d).scorer(), transactions(spark, d))
+    return MD.score(trained(spark, d).scorer(), even_transactions(spark, d))
 
 
 @query("model_roundtrip", with_transactions() + f"""
@@ -173,7 +179,7 @@ def q_split_random(spark, d):
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Fit on the training side, score every raw row with both models and
     count predictions per class and model."""
-    scored = MD.score(trained(spark, d).scorer(), transactions(spark, d))
+    scored = MD.score(trained(spark, d).scorer(), even_transactions(spark, d))
     return M.prediction_counts(scored, [MD.LR_NAME, MD.GBT_NAME])
 
 
@@ -193,7 +199,7 @@ def q_score_model_requests(spark, d):
     in reverse order) and scored by both trained models, bound by name."""
     t = trained(spark, d)
     scorer = t.scorer()
-    ft = feature_table(t.features, transactions(spark, d), keep=[KEY])
+    ft = feature_table(t.features, even_transactions(spark, d), keep=[KEY])
     reqs = to_requests(ft, list(reversed(MD.model_inputs(scorer))), KEY)
     # Requests arrive as stored rows: their maps are read, not built again in
     # every expression that looks a feature up.
@@ -210,7 +216,7 @@ def q_stream_model_counts(spark, d):
     from ..streaming import scoring as SS
     t = trained(spark, d)
     model_dir = MD.save_model(t.scorer(), scratch_path(spark, "model"))
-    src = write_dataset(transactions(spark, d), scratch_path(spark, "raw-stream"))
+    src = write_dataset(even_transactions(spark, d), scratch_path(spark, "raw-stream"))
     stream = spark.readStream.schema(TXN).parquet(src)
     scored = MD.score(MD.load_model(model_dir), stream, keep=("trans_date_trans_time",))
     counts = SS.windowed_prediction_counts(scored, [MD.LR_NAME, MD.GBT_NAME])

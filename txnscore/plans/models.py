@@ -26,6 +26,7 @@ from ..operators.features import invalid_reason, split_invalid
 from ..operators.split import split
 from ..schemas import KEY, LABEL, RUN
 from ..session import ensure_checkpoint_dir, scratch_path
+from ..sources.files import spread
 from .featurize import fit_features
 
 # Model names (as the scoring response and counter labels) and
@@ -134,14 +135,17 @@ def fit_models(assembled: DataFrame, with_gbt: bool = True, seed: int = 42):
     number of rows."""
     # GBT cuts its lineage every 10 trees into the session's checkpoint folder.
     ensure_checkpoint_dir(assembled.sparkSession)
-    # The training slice is read ~100 times by L-BFGS and once per tree level
-    # by GBT: keep it, spilling to disk under memory pressure. Both fits run
+    # Every pass of a fit (~100 of L-BFGS, one per tree level of GBT) takes as
+    # long as its largest partition: the rows are spread evenly first. Each fit
+    # turns the slice into a cached form of its own in a few passes, so the slice
+    # itself is kept on disk and leaves the memory to those. Both fits run
     # at once from two driver threads (as CrossValidator's ``parallelism``):
     # their jobs interleave on the cluster, and each model is the same as
     # when fitted alone.
-    train_set = assembled.select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = assembled.count()
+    train_set = spread(assembled.select("features", LABEL), rows).persist(StorageLevel.DISK_ONLY)
     try:
-        rows = train_set.count()  # fills the cache that both fits read
+        train_set.count()  # fills the cache that both fits read
         if not with_gbt:
             return train_lr(train_set), None, rows
         with ThreadPoolExecutor(max_workers=2) as pool:

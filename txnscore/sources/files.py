@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TXN
+from ..session import scratch_path
 
 # Fixed value: text form of event times in CSV files (keeps microseconds).
 CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+# Most rows of one partition of a spread table; a table of no more rows stays as it lies.
+SPREAD_ROWS = 500_000
+# Files of a stored table per task slot: several small ones pack into even tasks.
+FILES_PER_SLOT = 4
 
 
 def csv_options(header: bool = True) -> dict[str, str]:
@@ -73,3 +80,26 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
             w = w.options(**csv_options())
     w.save(path)
     return path
+
+
+def spread(df: DataFrame, rows: int | None = None, per_slot: int = 1) -> DataFrame:
+    """The same rows dealt round-robin to partitions of even size, at most
+    ``SPREAD_ROWS`` rows each and ``per_slot`` or more per task slot, however the
+    source lies (a file is read by one task per row group). Spark sorts each partition
+    before dealing it, so a retried task deals the same."""
+    rows = df.count() if rows is None else rows
+    if rows <= SPREAD_ROWS:
+        return df
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(per_slot * slots, math.ceil(rows / SPREAD_ROWS)))
+
+
+def stored_evenly(df: DataFrame, name: str) -> DataFrame:
+    """``df`` spread, written to the shared folder and read back: for tables that
+    are read many times, from a source of few large parts."""
+    even = spread(df, per_slot=FILES_PER_SLOT)
+    if even is df:
+        return df
+    path = scratch_path(df.sparkSession, name)
+    write_dataset(even, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
