@@ -27,7 +27,7 @@ from . import jobs as J
 from . import models as MD
 from .catalog import DIST_SQL, HASH_SQL, tx_long
 from .catalog_io import TX_ORACLE
-from .catalog_models import FEATURE_SQL, exact_features, trained
+from .catalog_models import FEATURE_SQL, even_transactions, exact_features, trained
 from .featurize import feature_table
 from .fixed import FIXED_MODEL, FIXED_SCORE_SQL, fixed_score
 from .registry import query
@@ -113,7 +113,7 @@ def q_requests_equal_batch(spark, d):
     """Requests scored by name give what the batch scorer gives."""
     t = trained(spark, d)
     scores, _ = MD.score_requests(t.scorer(), stored_requests(spark, d, t))
-    whole = MD.score(t.scorer(), transactions(spark, d))
+    whole = MD.score(t.scorer(), even_transactions(spark, d))
     both = scores.withColumnsRenamed({MD.LR_NAME: "a", MD.GBT_NAME: "b"}).join(
         whole, F.col("request_id") == F.col(KEY))
     return both.select(KEY, (F.col("a") == F.col(MD.LR_NAME)).alias("lr_same"),
@@ -122,7 +122,7 @@ def q_requests_equal_batch(spark, d):
 
 def stored_requests(spark, d, t) -> DataFrame:
     """Every transaction's features as a stored request, as requests arrive."""
-    ft = feature_table(t.features, transactions(spark, d), keep=[KEY])
+    ft = feature_table(t.features, even_transactions(spark, d), keep=[KEY])
     reqs = to_requests(ft, list(reversed(MD.model_inputs(t.scorer()))), KEY)
     return read_dataset(spark, write_dataset(reqs, scratch_path(spark, "requests")))
 
@@ -274,7 +274,7 @@ def q_score_stream_totals(spark, d):
     """The stream job counts every row once per model and day."""
     model = MD.save_model(trained(spark, d).scorer(), scratch_path(spark, "model"))
     log, out = scratch_path(spark, "log"), scratch_path(spark, "scores")
-    publish(encode_messages(transactions(spark, d)), "parquet", log)
+    publish(encode_messages(even_transactions(spark, d)), "parquet", log)
     counts = scratch_path(spark, "counts")
     J.score_stream(spark, model, log, out, counts).awaitTermination()
     return SS.current_totals(spark, counts).groupBy("window_start", "model_name").agg(F.sum("n").alias("n"))
