@@ -10,9 +10,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from txnscore.llm import crosstoken as C
 from txnscore.llm import license as L
+from txnscore.llm import partenum
 from txnscore.llm import periodic as P
 
 from . import brute
@@ -311,3 +313,17 @@ def test_groups_that_go_over_many_batches_meet_as_one(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     assert set(got) == want and len(got) == len(want)
+
+
+def test_texts_are_sorted_out_before_their_join(spark):
+    """Texts without a partner went through the shuffle of the join that drops them."""
+    rows = spark.range(-3000, 30000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    rows = rows.unionByName(rows.where("doc_id % 3 = 0"))
+    ids = rows.where("doc_id % 7 = 0").select("doc_id").distinct()
+    got, whole = partenum._among(rows, ids), rows.join(ids, "doc_id")
+    assert got.columns == rows.columns
+    assert got.count() == whole.count() and got.exceptAll(whole).count() == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan.lower()
+    none = partenum._among(rows, ids.where("doc_id is null"))
+    assert none.count() == 0
