@@ -430,3 +430,30 @@ def test_substring_dedup_keeps_columns_that_need_quoting(spark):
     out = substring.without_repeats(docs.withColumn("n_chars", F.length("text").cast("long")))
     rows = {r["doc_id"]: r for r in out.collect()}
     assert rows[2]["my col-1"] == 6 and rows[2]["a.b"] is None and rows[2]["text"].split() == ["a"] and rows[1]["text"] == text
+
+
+def test_scorers_take_small_blocks(spark, monkeypatch):
+    """Blocks of 2 MB made arrays of some hundred MB in each of an executor's workers."""
+    from txnscore.llm import common, langid, toxicity
+    seen = {}
+
+    def noted(module):
+        real = module.blocks
+
+        def run(batches, text="text", limit=common.BLOCK_BYTES):
+            seen[module.__name__] = limit
+            return real(batches, text, limit)
+        return run
+
+    docs = spark.createDataFrame([(1, "the cat", "en"), (2, None, "en")], "doc_id long, text string, lang string")
+    tasks = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema, *a: tasks.append(task))
+    for module, steps in ((toxicity, (toxicity.score, toxicity.clean)), (langid, (langid.predict, langid.identified))):
+        monkeypatch.setattr(module, "blocks", noted(module))
+        model = toxicity.Model() if module is toxicity else langid.Model([], "_", np.zeros((1, 0)))
+        for step in steps:
+            tasks.clear()
+            seen.clear()
+            step(docs, model)
+            assert list(tasks[0](iter(()))) == []
+            assert seen == {module.__name__: common.SMALL_BLOCK}

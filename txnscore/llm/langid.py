@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnscore.llm.common import HashTable, blocks, crc_bucket, mix, ship
+from txnscore.llm.common import SMALL_BLOCK, HashTable, blocks, crc_bucket, mix, ship
 
 SAMPLE, LEAST, TYPES, ROUNDS = 4000, 500, 20_000, 4
 FOLDS, HELD_OUT = 4, 2
@@ -324,7 +324,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def task(batches):
         run = _predictor(shared.value)
-        for b in blocks(batches):
+        for b in blocks(batches, limit=SMALL_BLOCK):
             best, conf = run(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(best, pa.string()), pa.array(conf, pa.float64())],
@@ -345,7 +345,7 @@ def identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
 
     def task(batches):
         run = _predictor(shared.value)
-        for b in blocks(batches):
+        for b in blocks(batches, limit=SMALL_BLOCK):
             best, conf = run(b.column("text").to_pylist())
             yield b.filter(pa.array([k != UNKNOWN and c >= least for k, c in zip(best, conf)]))
 
