@@ -457,3 +457,59 @@ def test_scorers_take_small_blocks(spark, monkeypatch):
             step(docs, model)
             assert list(tasks[0](iter(()))) == []
             assert seen == {module.__name__: common.SMALL_BLOCK}
+
+
+def test_near_duplicates_hash_small_blocks():
+    """Hashing the shingles of a 2 MB block held arrays of some 80 MB in each of an executor's workers."""
+    import tracemalloc
+
+    from txnscore.llm import common, partenum
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    rows = [None, "", "one", *(" ".join(rng.choices(words, k=300)) for _ in range(960))]
+    column = pa.array(rows, pa.string())
+    common._POWERS.clear()
+    tracemalloc.start()
+    try:
+        grams, at = partenum.shingle_sets(column, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60e6
+    assert len(at) == len(rows) + 1 and at[0] == 0 and at[-1] == len(grams)
+    for k in [0, 1, 2, 3, 500, 962]:  # as the text alone
+        alone, ends = partenum.shingle_sets(column.slice(k, 1), 5)
+        assert grams[at[k]:at[k + 1]].tolist() == alone.tolist() and ends.tolist() == [0, len(alone)]
+    none, ends = partenum.shingle_sets(column.slice(0, 0), 5)
+    assert len(none) == 0 and none.dtype == np.uint64 and ends.tolist() == [0]
+
+
+def test_large_token_caches_go_with_the_task(monkeypatch):
+    """A worker kept the encoded chunks of the packing stage while it ran other stages."""
+    from txnscore.llm import bpe
+    coder = bpe.Chunked(bpe.load(bpe.vocabulary_path()), bpe.bytes_by_library, b"".join)
+    batch = pa.RecordBatch.from_arrays([pa.array([f"w{k} x{k}" for k in range(50)])], names=["text"])
+    for most, stays in ((1000, True), (20, False)):
+        monkeypatch.setattr(bpe, "KEPT", most)
+        ids = [coder.block(b.column("text").to_pylist()) for b in coder.blocks([batch])]
+        assert bool(coder.saved) is stays and bool(coder.words) is stays
+        assert ids == [coder.block(batch.column("text").to_pylist())]
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    """A batch was 10,000 rows of whatever length, in the JVM and in Python."""
+    from txnscore.llm import common
+    session = spark.newSession()
+    common.ship(session)
+    docs = session.range(0, 2000, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def task(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    got = docs.mapInArrow(task, "n long, size long").collect()
+    assert sum(r["n"] for r in got) == 2000
+    assert max(r["size"] for r in got) < 2 * common.ARROW_BYTES
+    session.conf.set(common.ARROW_CONF, 1 << 20)  # a session's own figure stays
+    common.ship(session)
+    assert int(session.conf.get(common.ARROW_CONF)) == 1 << 20

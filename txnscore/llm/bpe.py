@@ -10,8 +10,8 @@ and a word's ids are read by walking its states backwards. The last letter of a
 word carries the end mark and is a symbol of its own.
 
 The vocabulary file is a parameter (``path``), read where the task runs. A
-worker keeps up to ``CACHE`` encoded chunks and as many words; they are only saved
-work.
+task keeps up to ``CACHE`` encoded chunks and as many words, and a worker up to
+``KEPT`` of both between tasks; they are only saved work.
 
 Defined results: null or blank text has no tokens (decoded: empty); an empty
 table gives no rows; repeated rows are encoded alike; control strings of the
@@ -37,6 +37,8 @@ from txnscore.llm.common import blocks, ship, uncollected
 
 END = "</w>"
 CACHE, CACHE_CHARS = 400_000, 64
+#: Chunks and words that stay in a worker after a task; more of them go, as the worker's next task may be another stage's.
+KEPT = 50_000
 #: White space as the vocabulary's pattern sees it (str.split also takes \x1c-\x1f).
 _WHITE = "[\t-\r \x85\xa0  -     　]+"
 _WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -283,6 +285,14 @@ class Chunked:
             if not isinstance(w, int) and len(w) > CACHE_CHARS:
                 del known[w]
 
+    def blocks(self, batches):
+        """The blocks of a task's batches; large caches go with the task."""
+        try:
+            yield from blocks(batches)
+        finally:
+            if len(self.saved) + len(self.words) > KEPT:
+                self.saved, self.words = {}, {}
+
     @uncollected()
     def block(self, texts) -> list[list]:
         """The values of the chunks of each text."""
@@ -350,7 +360,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     def task(batches):
         bpe = load(path or vocabulary_path())
         coder = chunked(path or vocabulary_path(), ids_by_trie)
-        for b in blocks(batches):
+        for b in coder.blocks(batches):
             rows = [list(_flat(values)) for values in coder.block(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(rows, pa.list_(pa.int32())), pa.array([bpe.decode(r) for r in rows])],
@@ -369,7 +379,7 @@ def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def task(batches):
         coder = chunked(path or vocabulary_path(), texts_by_trie)
-        for b in blocks(batches):
+        for b in coder.blocks(batches):
             joined, back = zip(*(_spaced(values) or ("", "") for values in coder.block(b.column("text").to_pylist())))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([s.count(" ") + 1 if s else 0 for s in joined], pa.int64()),

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnscore.llm.bpe import chunked, vocabulary_path
-from txnscore.llm.common import blocks, ship, written
+from txnscore.llm.common import ship, written
 
 CAPACITY, GRAIN, EOS = 4096, 32, 2
 #: Pieces per salted ranking group.
@@ -54,7 +54,7 @@ def pieces(docs: DataFrame, path: str | None = None, keep_ids: bool = False) ->
     def task(batches):
         coder = chunked(path or vocabulary_path())
         end = struct.pack("<I", EOS)
-        for b in blocks(batches):
+        for b in coder.blocks(batches):
             out = []
             for doc, values in zip(b.column("doc_id").to_pylist(), coder.block(b.column("text").to_pylist())):
                 raw = memoryview(b"".join([*values, end]))
