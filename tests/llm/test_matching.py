@@ -327,3 +327,45 @@ def test_texts_are_sorted_out_before_their_join(spark):
     assert "bitmap_construct_agg" in plan.lower()
     none = partenum._among(rows, ids.where("doc_id is null"))
     assert none.count() == 0
+
+
+def _row_counts(monkeypatch, partenum):
+    """Rows of every table that near duplicates write, by name."""
+    counts, real = {}, partenum.written
+
+    def noted(df, name):
+        out = real(df, name)
+        counts.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(partenum, "written", noted)
+    return counts
+
+
+def test_equal_texts_sign_once(spark, monkeypatch):
+    """Every block that held a text signed for it: rows grew with copies times signatures."""
+    rng = random.Random(5)
+    text, other = (" ".join(str(rng.randrange(10**6)) for _ in range(300)) for _ in "ab")
+    rows = [(k, text) for k in range(80)] + [(100, other), (100, text), (101, other), (102, other + " end"), (103, None), (104, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id")
+    counts = _row_counts(monkeypatch, partenum)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in partenum.join_components(docs).collect()}
+    assert got == {(k, 296): 0 for k in [*range(80), 100, 101]} | {(102, 297): 0, (103, 0): 103, (104, 0): 104}
+    assert counts["partenum-met"][0] < 600
+
+
+def test_pairs_of_a_family_are_compared_once(spark, monkeypatch):
+    """Near copies and half copies share hundreds of signatures, each compared for itself."""
+    rng = random.Random(6)
+    base = [str(rng.randrange(10**6)) for _ in range(300)]
+    rows = []
+    for k in range(60):  # every fourth is too far from the others
+        words, at = list(base), rng.randrange(260)
+        words[at] = f"own{k}"
+        if k % 4 == 0:
+            words[at:at + 60] = [f"far{k}x{i}" for i in range(60)]
+        rows.append((k, " ".join(words[:300])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    want = {d: c for d, c in brute.components(rows, 5, 80).items()}
+    counts = _row_counts(monkeypatch, partenum)
+    assert {r.doc_id: r.component_id for r in partenum.join_components(docs).collect()} == want
+    assert 1 < len(set(want.values())) and max(counts["partenum-dealt"]) <= 4 * len(rows)
