@@ -513,3 +513,58 @@ def test_arrow_batches_are_bounded_by_bytes(spark):
     session.conf.set(common.ARROW_CONF, 1 << 20)  # a session's own figure stays
     common.ship(session)
     assert int(session.conf.get(common.ARROW_CONF)) == 1 << 20
+
+
+def _judged(rng, n, bad, size):
+    words = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(n):
+        text = [words[i] for i in rng.integers(0, 400, size)]
+        if bad(k):
+            text[::5] = ["vile"] * len(text[::5])
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_all_labelled_texts_train(spark):
+    """2,000 ids of a class, one text of an id and none above 64 KB trained before."""
+    rows = [(k, f"text number {k}") for k in range(4500)] + [(7, "second text"), (8, "x" * 70_000), (9, None), (10, "text number 3"), (None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, int(k == 3)) for k in range(4500)] + [(4, None), (5, 2)], "doc_id long, toxic int")
+    want = {}
+    for d, t in sorted((d, t or "") for d, t in rows if d is not None and d < 4500 and fold(d, 5) != 0):
+        want.setdefault(t, int(d == 3))
+    got = {}
+    for row in toxicity._labelled(docs, labels).collect():
+        ends = np.frombuffer(row["ends"], np.int64)
+        for x, y, label in zip(ends, ends[1:], np.frombuffer(row["label"], np.int8)):
+            assert row["text"][x:y].decode() not in got
+            got[row["text"][x:y].decode()] = int(label)
+    assert len(want) > 3000 and got == want
+
+
+def test_long_texts_train(spark):
+    """Toxic texts above 64 KB did not train: every text was called clean."""
+    rng = np.random.default_rng(4)
+    rows = [(d, t) for d, t in _judged(rng, 60, lambda k: k % 2, 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert sum(got[k] == k % 2 for k in range(60)) >= 57
+
+
+def test_shards_average_to_a_model_that_holds(spark, monkeypatch):
+    """Many shards, and the same model however the rows are dealt."""
+    monkeypatch.setattr(toxicity, "SHARD", 150)
+    rng = np.random.default_rng(5)
+    rows = _judged(rng, 900, lambda k: k % 4 == 0, 60)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(900)], "doc_id long, toxic int")
+    models = []
+    for parts in (2, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        models.append(toxicity.train(docs, labels.repartition(parts)))
+    for a, b in zip(toxicity._parameters(models[0]), toxicity._parameters(models[1])):
+        assert np.array_equal(a, b)
+    assert np.array_equal(models[0].limits, models[1].limits) and np.array_equal(models[0].keys, models[1].keys)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, models[0]).collect()}
+    assert np.mean([got[k] == (k % 4 == 0) for k in range(900) if fold(k, 5) == 0]) > 0.97
